@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -40,6 +40,9 @@ def fences(q1: float, q3: float) -> dict:
     return found
 
 
+STAGES = ("quartiles", "gaps", "values", "samples", "duplicates")
+
+
 @dataclass
 class Profile:
     spark: SparkSession
@@ -126,8 +129,8 @@ def _dates(typed, rows) -> None:
         r["date_gaps"] = gaps.get((r["table"], r["column"]), 0)
 
 
-def _values(tables, typed, rows, with_samples) -> None:
-    """Top values of key and category columns; samples of every column."""
+def _top_values(tables, rows) -> None:
+    """Top values of key and category columns."""
     listed: dict[str, list[str]] = {}
     for r in rows:
         if r["inferred_type"] in ("id", "categorical") and r["kind"] == "string":
@@ -139,8 +142,11 @@ def _values(tables, typed, rows, with_samples) -> None:
             by_key[v["table"], v["column"]]["top_values"].append(
                 {"value": v["value"], "count": v["n"]}
             )
-    if not with_samples:
-        return
+
+
+def _samples(tables, rows) -> None:
+    """The smallest distinct values of every column."""
+    by_key = {(r["table"], r["column"]): r for r in rows}
     long_text = [r for r in rows if r["kind"] == "string" and r["inferred_type"] == "text"]
     skipped = {(r["table"], r["column"]) for r in long_text}
     short: dict[str, list[str]] = {}
@@ -212,10 +218,13 @@ def profile(
     tables: Mapping[str, DataFrame],
     as_of: str | None = None,
     declared_keys: Mapping[str, str] | None = None,
-    with_samples: bool = True,
+    stages: Iterable[str] = STAGES,
     sorted_rows: int | None = None,
 ) -> Profile:
-    """Profile every column and table; `as_of` is the moment after which dates are future."""
+    """Profile every column and table; `as_of` is the moment after which dates are future.
+
+    Counts, types and keys are always taken; each further stage can be left out."""
+    stages = set(stages)
     tables = {name: normalise(df) for name, df in tables.items()}
     spark = next(iter(tables.values())).sparkSession
     position = {name: i for i, name in enumerate(tables)}
@@ -255,13 +264,18 @@ def profile(
         r["has_negatives"] = r["negative_count"] > 0
         r["date_future"] = r["date_future"] or 0
         r["cardinality_flag"] = cardinality_flag(r)
-    _numeric(typed, rows, sorted_rows)
-    _dates(typed, rows)
-    _values(tables, typed, rows, with_samples)
+    if "quartiles" in stages:
+        _numeric(typed, rows, sorted_rows)
+    if "gaps" in stages:
+        _dates(typed, rows)
+    if "values" in stages:
+        _top_values(tables, rows)
+    if "samples" in stages:
+        _samples(tables, rows)
 
     table_rows = [r.asDict() for r in facts.table_sizes(tables).collect()]
     table_rows.sort(key=lambda r: r["table_position"])
-    groups = _duplicates(tables, rows, table_rows)
+    groups = _duplicates(tables, rows, table_rows) if "duplicates" in stages else {}
     for t in table_rows:
         key = next((r for r in rows if r["table"] == t["table"] and r["is_likely_pk"]), None)
         t["likely_pk"] = key["column"] if key else None
