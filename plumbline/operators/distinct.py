@@ -39,19 +39,14 @@ def cells(
     parts = []
     for table, df in tables.items():
         wanted = set(df.columns if columns is None else columns.get(table, ()))
-        chosen = [
-            quoted(field.name)
+        pairs = [
+            f"{literal(field.name)}, CAST({quoted(field.name)} AS {slot})"
             for field in df.schema.fields
             if field.name in wanted and _slot(field.dataType) == slot
         ]
-        if not chosen:
-            continue
-        narrow = df.selectExpr(*[f"CAST({c} AS {slot}) AS {c}" for c in chosen])
-        parts.append(
-            narrow.unpivot([], chosen, "column", "value").selectExpr(
-                f"{literal(table)} AS table", "column", "value"
-            )
-        )
+        if pairs:
+            stacked = f"stack({len(pairs)}, {', '.join(pairs)}) AS (column, value)"
+            parts.append(df.selectExpr(f"{literal(table)} AS table", stacked))
     return union_all(parts).where("value IS NOT NULL") if parts else None
 
 

@@ -114,7 +114,7 @@ def asof_join(
         F.col("__date__"),
         F.lit(0).alias("__side__"),
         F.struct(*[ref(c) for c in columns]).alias("__found__"),
-        F.lit(None).cast(left.schema.simpleString()).alias("__left__"),
+        F.lit(None).cast(left.schema).alias("__left__"),
     )
     rows = left.select(
         ref(left_date).alias("__date__"),

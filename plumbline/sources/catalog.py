@@ -60,14 +60,14 @@ def settle_types(df: DataFrame) -> DataFrame:
         return df
     number = anywhere_stripped((K.NUMBER_PATTERN, K.INFINITY_PATTERN))
     tests = {
-        "filled": "{0} IS NOT NULL",
-        "truth": "lower({0}) IN ('true', 'false')",
-        "whole": "{0} RLIKE " + literal(INTEGER_PATTERN),
-        "number": "{0} RLIKE " + literal(number),
+        "filled": lambda c: f"{c} IS NOT NULL",
+        "truth": lambda c: f"lower({c}) IN ('true', 'false')",
+        "whole": lambda c: f"{c} RLIKE {literal(INTEGER_PATTERN)}",
+        "number": lambda c: f"{c} RLIKE {literal(number)}",
     }
     counts = df.selectExpr(
         *[
-            f"count_if({test.format(quoted(c))}) AS `{i}_{name}`"
+            f"count_if({test(quoted(c))}) AS `{i}_{name}`"
             for i, c in enumerate(text)
             for name, test in tests.items()
         ]

@@ -156,13 +156,25 @@ VIEWS: dict[str, Callable] = {
         FROM {{part}} WHERE p_partkey % 10 = 0""",
 }
 
+_READ: dict[tuple[str, int, str], DataFrame] = {}
+
+
+def _given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. The reader lists files and reads the schema once per session."""
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _READ:
+        _READ[key] = normalise(spark.read.parquet(path))
+    return _READ[key]
+
+
 FIELD = re.compile(r"\{(\w+)\}")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table or a derived view as a lazy DataFrame."""
     if name in BASE:
-        return normalise(spark.read.parquet(f"{folder}/{name}.parquet"))
+        return _given(spark, folder, name)
     text = VIEWS[name](SparkText)
     needed = {n: table(spark, folder, n) for n in FIELD.findall(text)}
     return normalise(spark.sql(text, **needed))
