@@ -15,7 +15,7 @@ from plumbline.functions import parsing as P
 from plumbline.functions.columns import STRING, kinds, ref
 from plumbline.operators.distinct import TEXT_TESTS, distinct_counts
 from plumbline.operators.facts import DATES, NULLS, NUMBERS, column_facts
-from plumbline.session import pin
+from plumbline.session import pin, together
 
 ALL_FAMILIES = (NULLS, NUMBERS, DATES)
 
@@ -100,8 +100,11 @@ def infer_columns(
     families: tuple[str, ...] = ALL_FAMILIES,
 ) -> DataFrame:
     """Facts, counts, inferred type and key marks of every column; evaluated once."""
-    facts = pin(column_facts(tables, families, as_of))
-    counts = pin(distinct_counts(tables, with_tests=True))
+    facts, counts = together(
+        next(iter(tables.values())).sparkSession,
+        lambda: pin(column_facts(tables, families, as_of)),
+        lambda: pin(distinct_counts(tables, with_tests=True)),
+    )
     joined = facts.join(F.broadcast(counts), ["table", "column"], "left")  # one row per column
     typed = with_foreign_key_hint(with_percentages(with_types(joined)))
     return pin(with_primary_key(pin(typed), declared_keys))

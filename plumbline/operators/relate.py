@@ -159,7 +159,7 @@ def discover(tables: Mapping[str, DataFrame], columns: DataFrame) -> tuple[DataF
     """All relationships (pinned, schema-sized) and the value members they came from."""
     keys = key_columns(columns)
     wanted: dict[str, list[str]] = {}
-    for row in keys.select("table", "column").collect():
+    for row in keys.collect():
         wanted.setdefault(row["table"], []).append(row["column"])
     if len(wanted) < 2:
         empty = keys.sparkSession.createDataFrame(

@@ -12,7 +12,7 @@ from plumbline.functions.columns import literal, quoted
 from plumbline.operators import duplicates, relate, rules, snippets, temporal
 from plumbline.plans.profile import Profile, local
 from plumbline.schemas import FINDINGS
-from plumbline.session import union_all
+from plumbline.session import together, union_all
 
 # fixed values: stages in which findings arise, in order
 TABLES, REFERENCES, COVERAGE, ISOLATION, RULES = range(5)
@@ -445,6 +445,11 @@ def all_findings(
     """Every finding in order: issues before observations, by severity, then as they arise.
 
     The result has at most a few rows per column, so ordering it in one task is fine."""
+    configured, _ = together(
+        profile.spark,
+        lambda: business_rules(profile, config or {}),
+        lambda: profile.relationships,
+    )
     parts = [check(profile.table_profile) for check in TABLE_CHECKS]
     parts += [check(profile.columns) for check in COLUMN_CHECKS]
     if with_additions:
@@ -454,7 +459,6 @@ def all_findings(
         coverage(profile.columns),
         isolated(profile.relationships, profile.table_profile, profile.columns),
     ]
-    configured = business_rules(profile, config or {})
     if configured is not None:
         parts.append(configured)
     rank = F.expr("CASE severity WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'LOW' THEN 2 ELSE 3 END")

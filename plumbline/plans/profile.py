@@ -16,6 +16,7 @@ from plumbline.functions.columns import normalise, quoted
 from plumbline.operators import distinct, duplicates, facts, infer, relate, temporal
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.schemas import COLUMN_PROFILE, TABLE_PROFILE
+from plumbline.session import together
 
 
 def local(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -194,24 +195,23 @@ def _round(value: float | None) -> float | None:
     return None if value is None else round(value, 6)
 
 
-def _duplicates(tables, rows, table_rows) -> dict[str, DataFrame]:
-    """Duplicate rows per table. A complete column without repeats rules them out, so such
-    tables are not shuffled."""
-    groups = {}
-    for t in table_rows:
-        t["duplicate_rows"] = 0
-        own = [r for r in rows if r["table"] == t["table"]]
+def _duplicates(tables, rows) -> tuple[dict[str, int], dict[str, DataFrame]]:
+    """Copies and duplicate groups per table. A complete column without repeats rules them
+    out, so such tables are not shuffled."""
+    copies, groups = {}, {}
+    for table, df in tables.items():
         if any(
-            r["unique_count"] == r["row_count"] and r["null_count"] == 0 for r in own
+            r["unique_count"] == r["row_count"] and r["null_count"] == 0
+            for r in rows
+            if r["table"] == table
         ):
             continue
-        found = duplicates.duplicate_groups(tables[t["table"]])
-        t["duplicate_rows"] = (
-            found.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).first()["d"]
-        )
-        if t["duplicate_rows"]:
-            groups[t["table"]] = found
-    return groups
+        found = duplicates.duplicate_groups(df)
+        total = found.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"))
+        copies[table] = total.first()["copies"]
+        if copies[table]:
+            groups[table] = found
+    return copies, groups
 
 
 def profile(
@@ -264,19 +264,22 @@ def profile(
         r["has_negatives"] = r["negative_count"] > 0
         r["date_future"] = r["date_future"] or 0
         r["cardinality_flag"] = cardinality_flag(r)
-    if "quartiles" in stages:
-        _numeric(typed, rows, sorted_rows)
-    if "gaps" in stages:
-        _dates(typed, rows)
-    if "values" in stages:
-        _top_values(tables, rows)
-    if "samples" in stages:
-        _samples(tables, rows)
-
-    table_rows = [r.asDict() for r in facts.table_sizes(tables).collect()]
-    table_rows.sort(key=lambda r: r["table_position"])
-    groups = _duplicates(tables, rows, table_rows) if "duplicates" in stages else {}
+    work = {
+        "quartiles": lambda: _numeric(typed, rows, sorted_rows),
+        "gaps": lambda: _dates(typed, rows),
+        "values": lambda: _top_values(tables, rows),
+        "samples": lambda: _samples(tables, rows),
+        "duplicates": lambda: _duplicates(tables, rows),
+    }
+    # every stage fills fields of its own
+    chosen = {name: task for name, task in work.items() if name in stages}
+    sizes, *done = together(
+        spark, lambda: facts.table_sizes(tables).collect(), *chosen.values()
+    )
+    copies, groups = dict(zip(chosen, done)).get("duplicates", ({}, {}))
+    table_rows = sorted((r.asDict() for r in sizes), key=lambda r: r["table_position"])
     for t in table_rows:
+        t["duplicate_rows"] = copies.get(t["table"], 0)
         key = next((r for r in rows if r["table"] == t["table"] and r["is_likely_pk"]), None)
         t["likely_pk"] = key["column"] if key else None
         # a declared key may hold nulls, which count as equal to each other

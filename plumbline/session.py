@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +22,19 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     return level[0]
 
 
+CONCURRENT_JOBS = 6
+
+
+def together(spark: SparkSession, *tasks: Callable) -> list:
+    """Run independent jobs at the same time, so that one fills the executors while another
+    waits for its last tasks. Results come in the order of the tasks."""
+    if len(tasks) < 2:
+        return [task() for task in tasks]
+    with ThreadPoolExecutor(min(CONCURRENT_JOBS, len(tasks))) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [future.result() for future in started]
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Evaluate a result whose size is bounded by the schema (one row per table, column,
     column pair or finding) and hand it back as a local relation.
