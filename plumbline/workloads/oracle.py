@@ -122,7 +122,7 @@ def raw_columns(names: Iterable[str]) -> str:
           quantile_cont({num}, 0.25) AS q1, quantile_cont({num}, 0.75) AS q3,
           count_if({num} < 0) AS negative_count,
           min({ts}) AS date_min, max({ts}) AS date_max,
-          count_if({ts} > TIMESTAMP '{AS_OF}') AS date_future
+          CAST(count_if({ts} > TIMESTAMP '{AS_OF}') AS BIGINT) AS date_future
         FROM {name}""")
     return "raw AS (" + "\n UNION ALL ".join(parts) + ")"
 
@@ -204,10 +204,10 @@ def gap_counts(names: Iterable[str], text: bool = False) -> str:
                 continue
             parts.append(f"""
         SELECT '{name}' AS tab, '{c}' AS col,
-          CASE WHEN count(ts) <= 5 OR any_value(med) IS NULL OR any_value(med) <= 0 THEN 0
+          CAST(CASE WHEN count(ts) <= 5 OR any_value(med) IS NULL OR any_value(med) <= 0 THEN 0
                WHEN any_value(med) <= 2 * {DAY_US}
                  THEN count_if({weekdays('ts')} - {weekdays('prev')} > 1)
-               ELSE count_if(diff > 3 * med) END AS gaps
+               ELSE count_if(diff > 3 * med) END AS BIGINT) AS gaps
         FROM (SELECT *, quantile_cont(diff, 0.5) OVER () AS med FROM (
           SELECT ts, prev, epoch_us(ts) - epoch_us(prev) AS diff FROM (
             SELECT ts, lag(ts) OVER (ORDER BY ts) AS prev

@@ -461,8 +461,8 @@ SCORED = ["events", "orders", "dirty_lineitem", "documents"]
 @query(
     O.with_clause(SCORED, *O.profiled(SCORED))
     + " UNION ALL ".join(
-        f"""SELECT '{t}' AS "table", '{c}' AS "column", count_if(abs(("{c}" - m) / s) > 3)
-          AS outlier_count FROM {t}, (SELECT avg("{c}"::DOUBLE) AS m,
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", 
+          CAST(count_if(abs(("{c}" - m) / s) > 3) AS BIGINT) AS outlier_count FROM {t}, (SELECT avg("{c}"::DOUBLE) AS m,
           stddev_samp("{c}"::DOUBLE) AS s FROM {t}) WHERE s > 0"""
         for t in SCORED for c, kind in O.COLUMNS[t] if kind == "numeric"
     )
@@ -675,11 +675,11 @@ def findings_all(spark, folder):
 
 
 @query(
-    FOUND + """SELECT count_if(NOT is_observation AND severity = 'HIGH') AS high,
-      count_if(NOT is_observation AND severity = 'MEDIUM') AS medium,
-      count_if(NOT is_observation AND severity = 'LOW') AS low,
-      count_if(is_observation) AS observations,
-      count_if(NOT is_observation AND severity IN ('HIGH', 'MEDIUM')) AS to_remediate FROM found"""
+    FOUND + """SELECT CAST(count_if(NOT is_observation AND severity = 'HIGH') AS BIGINT) AS high,
+      CAST(count_if(NOT is_observation AND severity = 'MEDIUM') AS BIGINT) AS medium,
+      CAST(count_if(NOT is_observation AND severity = 'LOW') AS BIGINT) AS low,
+      CAST(count_if(is_observation) AS BIGINT) AS observations,
+      CAST(count_if(NOT is_observation AND severity IN ('HIGH', 'MEDIUM')) AS BIGINT) AS to_remediate FROM found"""
 )
 def findings_summary(spark, folder):
     return results.severity_counts(_findings(spark, folder)[1])
