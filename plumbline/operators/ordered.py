@@ -17,10 +17,20 @@ from plumbline.functions.columns import orderable, ref
 from plumbline.session import cut
 
 BUCKET, RUNNING = "__bucket__", "__running__"
+BROADCAST_ROWS = 1_000_000
+
+
+def _has_shuffle(df: DataFrame) -> bool:
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def bucketed(df: DataFrame, order: list[Column], buckets: int | None = None) -> DataFrame:
-    """Rows with a fixed bucket number; buckets follow each other in the given order."""
+    """Rows with a fixed bucket number; buckets follow each other in the given order.
+
+    The running number repeats itself when a lost task is run again, provided its input comes
+    in the same sequence. Files give that, a shuffle does not, so its rows are written first."""
+    if _has_shuffle(df):
+        df = cut(df)
     numbered = df.withColumn(RUNNING, F.monotonically_increasing_id())
     keys = [*order, F.col(RUNNING).asc()]
     ranged = (
@@ -105,24 +115,26 @@ def asof_join(
 ) -> DataFrame:
     """Add to each left row the values of the latest right row on or before its date.
 
-    Right rows of one date are reduced to their greatest values first. A null in that latest
-    row stays null: the date decides, not the presence of a value."""
-    latest = right.groupBy(ref(right_date).alias("__date__")).agg(
-        *[F.max(ref(c)).alias(c) for c in columns]
-    )
-    packed = latest.select(
-        F.col("__date__"),
-        F.lit(0).alias("__side__"),
-        F.struct(*[ref(c) for c in columns]).alias("__found__"),
-        F.lit(None).cast(left.schema).alias("__left__"),
+    Only the distinct dates of both sides are put in order; the values found for each date are
+    then joined back by equality. Right rows of one date are reduced to their greatest values
+    first. A null in the latest row stays null: the date decides, not the presence of a value."""
+    found = F.struct(*[F.max(ref(c)).alias(c) for c in columns])
+    known = right.groupBy(ref(right_date).alias("__date__")).agg(found.alias("__found__"))
+    wanted = left.select(ref(left_date).alias("__date__")).distinct()
+    dates = known.where("__date__ IS NOT NULL").withColumn("__side__", F.lit(0)).unionByName(
+        wanted.where("__date__ IS NOT NULL").withColumns(
+            {
+                "__found__": F.lit(None).cast(known.schema["__found__"].dataType),
+                "__side__": F.lit(1),
+            }
+        )
     )
-    rows = left.select(
-        ref(left_date).alias("__date__"),
-        F.lit(1).alias("__side__"),
-        F.lit(None).cast(packed.schema["__found__"].dataType).alias("__found__"),
-        F.struct(*[ref(c) for c in left.columns]).alias("__left__"),
+    order = [F.col("__date__").asc(), F.col("__side__").asc()]
+    filled = cut(
+        carry_forward(bucketed(dates, order, buckets), order, ["__found__"])
+        .where("__side__ = 1")
+        .select("__date__", "__found__.*")
     )
-    both = packed.where("__date__ IS NOT NULL").unionByName(rows)
-    order = [F.col("__date__").asc_nulls_first(), F.col("__side__").asc()]
-    filled = carry_forward(bucketed(both, order, buckets), order, ["__found__"])
-    return filled.where("__side__ = 1").select("__left__.*", "__found__.*")
+    if filled.count() <= BROADCAST_ROWS:  # one row per date
+        filled = F.broadcast(filled)
+    return left.join(filled, ref(left_date) == F.col("__date__"), "left").drop("__date__")

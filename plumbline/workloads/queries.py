@@ -527,19 +527,31 @@ def _sql_catalogue(schema: dict[str, list[str]]) -> str:
 
 
 @query(
-    f"""WITH have AS (SELECT regexp_replace(t, '_v\\d+$', '', 'i') AS t, c
+    O.with_clause(["transactions", "products", "fx"])
+    + f""", have AS (SELECT regexp_replace(t, '_v\\d+$', '', 'i') AS t, c
         FROM {_sql_catalogue(DELIVERED)} x(t, c, i)),
-    want AS (SELECT t, c FROM {_sql_catalogue(drift.K.EXPECTED_SCHEMA)} x(t, c, i))
-    SELECT DISTINCT 'TABLE_MISSING' AS "type", t AS "table", NULL AS "column", 'HIGH' AS risk
+    want AS (SELECT t, c FROM {_sql_catalogue(drift.K.EXPECTED_SCHEMA)} x(t, c, i)),
+    events AS (SELECT DISTINCT 'TABLE_MISSING' AS "type", t AS "table", NULL AS "column", 'HIGH' AS risk
       FROM want WHERE t NOT IN (SELECT t FROM have)
     UNION ALL SELECT 'COLUMN_MISSING', t, c, 'HIGH' FROM want
       WHERE t IN (SELECT t FROM have) AND (t, c) NOT IN (SELECT t, c FROM have)
     UNION ALL SELECT 'COLUMN_ADDED', t, c, 'LOW' FROM have
-      WHERE t IN (SELECT t FROM want) AND (t, c) NOT IN (SELECT t, c FROM want)"""
+      WHERE t IN (SELECT t FROM want) AND (t, c) NOT IN (SELECT t, c FROM want)),
+    sizes AS (SELECT 'transactions' AS "table", count(*) AS row_count FROM transactions
+      UNION ALL SELECT 'products', count(*) FROM products
+      UNION ALL SELECT 'fx', count(*) FROM fx)
+    SELECT * FROM events LEFT JOIN sizes USING ("table")"""
 )
 def drift_schema(spark, folder):
-    events = drift.schema_drift(spark, drift.schema_of(_delivered(spark, folder)))
-    return events.select("type", "table", "column", "risk")
+    """Drift events with the rows of the table concerned."""
+    delivered = _delivered(spark, folder)
+    events = drift.schema_drift(spark, drift.schema_of(delivered))
+    sizes = facts.table_sizes(delivered).select(
+        drift.normalised_name().alias("table"), "row_count"
+    )
+    return events.join(sizes, "table", "left").select(
+        "type", "table", "column", "risk", "row_count"
+    )
 
 
 BEFORE, NOW = ["orders", "part", "events"], ["dirty_orders_dups", "part_gap", "nation"]
@@ -827,14 +839,17 @@ def data_dictionary(spark, folder):
 
 
 @query(
-    "SELECT CAST({} AS BIGINT) AS tables, CAST({} AS BIGINT) AS total_columns".format(
-        len(EVERY), sum(len(O.COLUMNS[t]) for t in EVERY)
-    )
+    O.with_clause(KEYED, *O.profiled(KEYED))
+    + """SELECT count(DISTINCT tab) AS tables, count(*) AS total_columns,
+      CAST(count_if(null_count > 0) AS BIGINT) AS nullable_columns FROM p"""
 )
 def dictionary_metadata(spark, folder):
-    return results.dictionary_metadata(
-        facts.column_facts(tables(spark, folder, EVERY), (facts.NULLS,))
-    )
+    found = pin(facts.column_facts(tables(spark, folder, KEYED), (facts.NULLS,)))
+    nullable = found.agg(F.count_if(F.col("null_count") > 0).alias("nullable_columns"))
+    one = F.lit(1).alias("one")
+    return results.dictionary_metadata(found).select("*", one).join(
+        nullable.select("*", one), "one"
+    ).drop("one")
 
 
 # ---- remediation ---------------------------------------------------------------------
