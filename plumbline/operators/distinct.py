@@ -21,6 +21,7 @@ from plumbline.functions.columns import BOOLEAN, DATE, NUMERIC, STRING, is_float
 from plumbline.session import union_all
 
 LONG_TEXT = 64
+SLOTS = ("bigint", "double", "timestamp_ntz", "string")
 
 
 def _slot(data_type: T.DataType) -> str | None:
@@ -35,21 +36,31 @@ def _slot(data_type: T.DataType) -> str | None:
 def cells(
     tables: Mapping[str, DataFrame], slot: str, columns: Mapping[str, Iterable[str]] | None = None
 ) -> DataFrame | None:
-    """(table, column, value) for every non-null cell of the columns with this slot type."""
-    parts = []
+    """(key, value) for every non-null cell of the columns with this slot type.
+
+    The key numbers the columns of all tables, so that names are not shuffled with the values;
+    `named` puts them back."""
+    parts, key = [], 0
     for table, df in tables.items():
         wanted = set(df.columns if columns is None else columns.get(table, ()))
-        pairs = [
-            f"{literal(field.name)}, CAST({quoted(field.name)} AS {slot})"
-            for field in df.schema.fields
-            if field.name in wanted and _slot(field.dataType) == slot
-        ]
+        pairs = []
+        for field in df.schema.fields:
+            if field.name in wanted and _slot(field.dataType) == slot:
+                pairs.append(f"{key}, CAST({quoted(field.name)} AS {slot})")
+            key += 1
         if pairs:
-            stacked = f"stack({len(pairs)}, {', '.join(pairs)}) AS (column, value)"
-            parts.append(df.selectExpr(f"{literal(table)} AS table", stacked))
+            parts.append(df.selectExpr(f"stack({len(pairs)}, {', '.join(pairs)}) AS (key, value)"))
     return union_all(parts).where("value IS NOT NULL") if parts else None
 
 
+def named(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Replace the key of a column by the names of table and column."""
+    listing = [(table, column) for table, source in tables.items() for column in source.columns]
+    names = [f"array({', '.join(literal(pair[i]) for pair in listing)})[key]" for i in (0, 1)]
+    rest = [c for c in df.columns if c != "key"]
+    return df.selectExpr(f"{names[0]} AS table", f"{names[1]} AS column", *rest)
+
+
 def compact(value: Column) -> Column:
     """Short text as it is, long text as its SHA-256 digest (always longer than short text):
     a distinct count then shuffles at most 64 characters per value."""
@@ -81,9 +92,9 @@ def _count_values(found: DataFrame, slot: str, with_tests: bool) -> DataFrame:
         if slot == "string":
             found = found.withColumn("value", compact(F.col("value")))
         return (
-            found.groupBy("table", "column", "value")
+            found.groupBy("key", "value")
             .agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("table", "column")
+            .groupBy("key")
             .agg(*counts, *[F.lit(None).cast("bigint").alias(name) for name in TEXT_TESTS])
         )
     # Short texts are tested once per distinct value; long ones once per row, while the text
@@ -91,21 +102,19 @@ def _count_values(found: DataFrame, slot: str, with_tests: bool) -> DataFrame:
     is_long = F.length("value") >= LONG_TEXT
     values = (
         found.select(
-            "table",
-            "column",
+            "key",
             compact(F.col("value")).alias("value"),
             F.when(is_long, _test_bits(F.col("value"))).alias("long_bits"),
         )
-        .groupBy("table", "column", "value")
+        .groupBy("key", "value")
         .agg(F.count(F.lit(1)).alias("n"), F.max("long_bits").alias("long_bits"))
         .select(
-            "table",
-            "column",
+            "key",
             "n",
             F.coalesce("long_bits", _test_bits(F.col("value"))).alias("bits"),
         )
     )
-    return values.groupBy("table", "column").agg(
+    return values.groupBy("key").agg(
         *counts,
         *[
             F.sum(F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0, F.col("n")).otherwise(0))
@@ -119,7 +128,7 @@ def distinct_counts(
     tables: Mapping[str, DataFrame],
     columns: Mapping[str, Iterable[str]] | None = None,
     with_tests: bool = False,
-    slots: Iterable[str] = ("bigint", "double", "timestamp_ntz", "string"),
+    slots: Iterable[str] = SLOTS,
 ) -> DataFrame | None:
     """Exact distinct count per column, the rows that share their value with another and,
     on request, how many rows of a text column pass each of the text tests."""
@@ -131,7 +140,7 @@ def distinct_counts(
     if not parts:
         return None
     tests = TEXT_TESTS if with_tests else ()
-    return union_all(parts).select(
+    return named(union_all(parts), tables).select(
         "table", "column", "unique_count", "repeated_rows", *tests
     )
 
@@ -145,12 +154,8 @@ def value_counts(
         for table, df in tables.items()
         if columns.get(table)
     }
-    counted = (
-        cells(text, "string")
-        .groupBy("table", "column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return counted
+    counted = cells(text, "string").groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+    return named(counted, text)
 
 
 def top_values(counts: DataFrame, k: int = K.TOP_VALUES) -> DataFrame:
@@ -166,18 +171,18 @@ def smallest_values(
 ) -> DataFrame:
     """The k smallest distinct values per column as text."""
     parts = []
-    for slot in ("bigint", "double", "timestamp_ntz", "string"):
+    for slot in SLOTS:
         found = cells(tables, slot, columns)
         if found is None:
             continue
-        order = Window.partitionBy("table", "column").orderBy("value")
+        order = Window.partitionBy("key").orderBy("value")
         parts.append(
             found.distinct()
             .withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= k)
             .withColumn("value", F.col("value").cast("string"))
         )
-    return union_all(parts).select("table", "column", "rank", "value")
+    return named(union_all(parts), tables).select("table", "column", "rank", "value")
 
 
 def smallest_texts(df: DataFrame, name: str, k: int = K.SAMPLE_VALUES) -> list[str]:

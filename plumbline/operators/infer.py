@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumbline import constants as K
 from plumbline.functions import parsing as P
 from plumbline.functions.columns import STRING, kinds, ref
-from plumbline.operators.distinct import TEXT_TESTS, distinct_counts
+from plumbline.operators.distinct import SLOTS, TEXT_TESTS, distinct_counts
 from plumbline.operators.facts import DATES, NULLS, NUMBERS, column_facts
 from plumbline.session import pin, together
 
@@ -93,33 +93,46 @@ def with_primary_key(facts: DataFrame, declared: Mapping[str, str] | None = None
     return marked.withColumn("is_likely_pk", flag).drop("inferred_pk")
 
 
+def _with_counts(facts: DataFrame, counts: DataFrame | None) -> DataFrame:
+    if counts is not None:
+        return facts.join(F.broadcast(counts), ["table", "column"], "left")  # one row per column
+    names = ("unique_count", "repeated_rows", *TEXT_TESTS)
+    return facts.selectExpr("*", *[f"CAST(NULL AS BIGINT) AS {name}" for name in names])
+
+
 def infer_columns(
     tables: Mapping[str, DataFrame],
     as_of: str | None = None,
     declared_keys: Mapping[str, str] | None = None,
     families: tuple[str, ...] = ALL_FAMILIES,
+    slots: tuple[str, ...] = SLOTS,
 ) -> DataFrame:
-    """Facts, counts, inferred type and key marks of every column; evaluated once."""
+    """Facts, counts, inferred type and key marks of every column; evaluated once.
+
+    Types need the values of text columns only. Keys need those of all columns, so with fewer
+    slots no key is inferred."""
+
+    def counted() -> DataFrame | None:
+        counts = distinct_counts(tables, with_tests=True, slots=slots)
+        return None if counts is None else pin(counts)
+
     facts, counts = together(
         next(iter(tables.values())).sparkSession,
         lambda: pin(column_facts(tables, families, as_of)),
-        lambda: pin(distinct_counts(tables, with_tests=True)),
+        counted,
     )
-    joined = facts.join(F.broadcast(counts), ["table", "column"], "left")  # one row per column
-    typed = with_foreign_key_hint(with_percentages(with_types(joined)))
+    typed = with_foreign_key_hint(with_percentages(with_types(_with_counts(facts, counts))))
+    if set(slots) != set(SLOTS):
+        return pin(typed.withColumn("is_likely_pk", F.lit(False)))
     return pin(with_primary_key(pin(typed), declared_keys))
 
 
 def infer_types(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Inferred type of every column. Only text columns need their values counted."""
     facts = column_facts(tables, (NULLS,))
-    text = {t: [c for c, k in kinds(df).items() if k == STRING] for t, df in tables.items()}
-    counts = distinct_counts(tables, text, with_tests=True, slots=("string",))
-    if counts is None:
-        for name in ("unique_count", "repeated_rows", *TEXT_TESTS):
-            facts = facts.withColumn(name, F.lit(None).cast("bigint"))
-        return with_types(facts)
-    return with_types(facts.join(F.broadcast(counts), ["table", "column"], "left"))
+    return with_types(
+        _with_counts(facts, distinct_counts(tables, with_tests=True, slots=("string",)))
+    )
 
 
 def typed_table(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

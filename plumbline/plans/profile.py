@@ -41,7 +41,7 @@ def fences(q1: float, q3: float) -> dict:
     return found
 
 
-STAGES = ("quartiles", "gaps", "values", "samples", "duplicates")
+STAGES = ("distinct", "quartiles", "gaps", "values", "samples", "duplicates")
 
 
 @dataclass
@@ -223,14 +223,17 @@ def profile(
 ) -> Profile:
     """Profile every column and table; `as_of` is the moment after which dates are future.
 
-    Counts, types and keys are always taken; each further stage can be left out."""
+    Counts and types are always taken; each stage can be left out. Without the distinct counts
+    of all columns no keys are inferred."""
     stages = set(stages)
+    slots = ("string", "timestamp_ntz") if "gaps" in stages else ("string",)
+    slots = distinct.SLOTS if "distinct" in stages else slots
     tables = {name: normalise(df) for name, df in tables.items()}
     spark = next(iter(tables.values())).sparkSession
     position = {name: i for i, name in enumerate(tables)}
     rows = [
         r.asDict() | {"top_values": [], "sample_values": [], "outlier_count": 0, "date_gaps": 0}
-        for r in infer.infer_columns(tables, as_of, declared_keys).collect()
+        for r in infer.infer_columns(tables, as_of, declared_keys, slots=slots).collect()
     ]
     rows.sort(key=lambda r: (position[r["table"]], r["position"]))
     for r in rows:

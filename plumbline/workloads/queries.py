@@ -254,7 +254,7 @@ def discover_relationships(spark, folder):
 
 @query(O.check(["dirty_orders", "fx"], O.nulls(), *O.profiled(["dirty_orders", "fx"])))
 def check_nulls(spark, folder):
-    return shown(checks.nulls(profile(tables(spark, folder, ["dirty_orders", "fx"]), stages=()).columns))
+    return shown(checks.nulls(profile(tables(spark, folder, ["dirty_orders", "fx"]), stages=("distinct",)).columns))
 
 
 @query(
@@ -267,7 +267,7 @@ def check_nulls(spark, folder):
 def check_nulls_declared_key(spark, folder):
     """With a declared key, nulls in a primary key can be found."""
     given = tables(spark, folder, ["dirty_orders"])
-    found = profile(given, declared_keys={"dirty_orders": "o_custkey"}, stages=())
+    found = profile(given, declared_keys={"dirty_orders": "o_custkey"}, stages=("distinct",))
     return shown(checks.nulls(found.columns))
 
 
@@ -281,7 +281,7 @@ DUPLICATED = ["dirty_orders_dups", "orders", "nation"]
 
 @query(O.check(DUPLICATED, O.duplicate_rows(), O.table_counts(DUPLICATED, duplicates=True)))
 def check_duplicate_rows(spark, folder):
-    found = profile(tables(spark, folder, DUPLICATED), stages=("duplicates",))
+    found = profile(tables(spark, folder, DUPLICATED), stages=("distinct", "duplicates"))
     return shown(checks.duplicate_rows(found.table_profile))
 
 
@@ -290,13 +290,13 @@ def check_duplicate_rows(spark, folder):
             *O.profiled(["dirty_orders_dups", "orders"]))
 )
 def check_duplicate_pk(spark, folder):
-    found = profile(tables(spark, folder, ["dirty_orders_dups", "orders"]), stages=())
+    found = profile(tables(spark, folder, ["dirty_orders_dups", "orders"]), stages=("distinct",))
     return shown(checks.duplicate_keys(found.table_profile))
 
 
 @query(O.check(["nation", "part"], O.high_cardinality(), *O.profiled(["nation", "part"])))
 def check_high_cardinality(spark, folder):
-    return shown(checks.high_cardinality(profile(tables(spark, folder, ["nation", "part"]), stages=()).columns))
+    return shown(checks.high_cardinality(profile(tables(spark, folder, ["nation", "part"]), stages=("distinct",)).columns))
 
 
 TYPE_RULE = {
@@ -318,7 +318,7 @@ RANGE_RULE = {
 
 
 def _rules(spark, folder, *configured):
-    found = profile(tables(spark, folder, ["products"]), stages=())
+    found = profile(tables(spark, folder, ["products"]), stages=("distinct",))
     return shown(checks.business_rules(found, {"business_rules": list(configured)}))
 
 
@@ -669,7 +669,7 @@ FOUND = _book_findings(
 
 def _findings(spark, folder, with_snippets=False):
     found = profile(
-        tables(spark, folder, CHECKED), AS_OF, stages=("quartiles", "gaps", "duplicates")
+        tables(spark, folder, CHECKED), AS_OF, stages=("distinct", "quartiles", "gaps", "duplicates")
     )
     return found, checks.all_findings(found, CONFIG, with_snippets)
 
@@ -737,7 +737,7 @@ def _sql_snippet(t: str, where: str, check: str, column: str | None) -> str:
 )
 def findings_snippets(spark, folder):
     found = profile(
-        tables(spark, folder, SNIPPED), AS_OF, stages=("quartiles", "gaps", "duplicates")
+        tables(spark, folder, SNIPPED), AS_OF, stages=("distinct", "quartiles", "gaps", "duplicates")
     )
     listed = checks.all_findings(found)
     return listed.select(
@@ -831,7 +831,7 @@ def _sql_samples(names) -> str:
 )
 def data_dictionary(spark, folder):
     """Samples of measures and dates are shown as '*': the engines print those differently."""
-    found = profile(tables(spark, folder, DESCRIBED), AS_OF, stages=("quartiles", "samples"))
+    found = profile(tables(spark, folder, DESCRIBED), AS_OF, stages=("distinct", "quartiles", "samples"))
     plain = F.expr("inferred_type NOT IN ('numeric', 'date') OR endswith(`column`, 'key')")
     return results.data_dictionary(found.columns).withColumn(
         "samples", F.when(plain, F.col("samples")).otherwise("*")
@@ -1073,7 +1073,7 @@ def sink_cleaned(spark, folder):
 def sink_results(spark, folder):
     """Findings written as JSON lines and read back."""
     path = scratch(spark)
-    found = profile(tables(spark, folder, ["dirty_orders"]), AS_OF, stages=())
+    found = profile(tables(spark, folder, ["dirty_orders"]), AS_OF, stages=("distinct",))
     sinks.write_results(checks.all_findings(found, with_snippets=False), path)
     return spark.read.json(path).select("ordinal", "severity", "table", "column", "affected")
 

@@ -114,11 +114,11 @@ def test_type_thresholds(spark):
 def test_primary_key_rules(spark):
     rows = [(i, f"K-{i}", "x", i if i else 1) for i in range(200)]
     df = frame(spark, rows, "n int, code string, kind string, almost int")
-    found = profile({"t": df, "tiny": df.limit(4)}, stages=())
+    found = profile({"t": df, "tiny": df.limit(4)}, stages=("distinct",))
     assert [t["likely_pk"] for t in found.table_rows] == ["code", None]
     flags = {r["column"]: (r["is_likely_pk"], r["is_likely_fk"]) for r in found.rows if r["table"] == "t"}
     assert flags == {"n": (False, False), "code": (True, False), "kind": (False, False), "almost": (False, False)}
-    declared = profile({"t": df}, declared_keys={"t": "almost"}, stages=())
+    declared = profile({"t": df}, declared_keys={"t": "almost"}, stages=("distinct",))
     assert declared.table_rows[0]["likely_pk"] == "almost"
     assert declared.table_rows[0]["duplicate_pk_rows"] == 2
 
