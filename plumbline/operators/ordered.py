@@ -24,40 +24,35 @@ def _has_shuffle(df: DataFrame) -> bool:
     return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def bucketed(df: DataFrame, order: list[Column], buckets: int | None = None) -> DataFrame:
-    """Rows with a fixed bucket number; buckets follow each other in the given order.
+def bucketed(df: DataFrame, keys: list[Column], buckets: int | None = None) -> DataFrame:
+    """Rows with a fixed bucket number; buckets follow each other in the order of the keys.
 
     The running number repeats itself when a lost task is run again, provided its input comes
     in the same sequence. Files give that, a shuffle does not, so its rows are written first."""
     if _has_shuffle(df):
         df = cut(df)
     numbered = df.withColumn(RUNNING, F.monotonically_increasing_id())
-    keys = [*order, F.col(RUNNING).asc()]
+    order = [*keys, F.col(RUNNING)]
     ranged = (
-        numbered.repartitionByRange(buckets, *keys) if buckets else
-        numbered.repartitionByRange(*keys)
+        numbered.repartitionByRange(buckets, *order) if buckets else
+        numbered.repartitionByRange(*order)
     )
     return cut(ranged.withColumn(BUCKET, F.spark_partition_id()))
 
 
-def carry_forward(df: DataFrame, order: list[Column], columns: list[str]) -> DataFrame:
+def carry_forward(df: DataFrame, keys: list[Column], columns: list[str]) -> DataFrame:
     """Replace nulls in the columns by the last known value before them; needs bucketed rows."""
-    within = Window.partitionBy(BUCKET).orderBy(*order, F.col(RUNNING).asc()).rowsBetween(
+    order = [*keys, F.col(RUNNING)]
+    within = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     filled = df.withColumns({c: F.last(ref(c), ignorenulls=True).over(within) for c in columns})
-    # the last value of a bucket is the one at its greatest place in the order
-    lasts = df.select(
-        BUCKET,
-        *[ref(c).alias(f"v{i}") for i, c in enumerate(columns)],
-        F.row_number().over(
-            Window.partitionBy(BUCKET).orderBy(*order, F.col(RUNNING).asc())
-        ).alias("place"),
-    ).groupBy(BUCKET).agg(
+    # A task holds one bucket, so this grouping shuffles about one row per bucket.
+    place = F.struct(*[key.alias(f"k{i}") for i, key in enumerate(order)])
+    lasts = df.groupBy(BUCKET).agg(
         *[
-            F.max_by(F.col(f"v{i}"), F.when(F.col(f"v{i}").isNotNull(), F.col("place")))
-            .alias(f"v{i}")
-            for i in range(len(columns))
+            F.max_by(ref(c), F.when(ref(c).isNotNull(), place)).alias(f"v{i}")
+            for i, c in enumerate(columns)
         ]
     )
     # one row per bucket, so this window sorts as many rows as there are partitions
@@ -101,8 +96,8 @@ def forward_fill(
             if f.name not in columns and f.name != date and orderable(f.dataType)
         ]
     moment = ref(date) if isinstance(date, str) else date
-    order = [moment.asc_nulls_last(), *[ref(c).asc_nulls_last() for c in ties]]
-    return carry_forward(bucketed(df, order, buckets), order, columns)
+    keys = [moment.isNull(), moment, *[ref(c) for c in ties]]
+    return carry_forward(bucketed(df, keys, buckets), keys, columns)
 
 
 def asof_join(
@@ -129,9 +124,9 @@ def asof_join(
             }
         )
     )
-    order = [F.col("__date__").asc(), F.col("__side__").asc()]
+    keys = [F.col("__date__"), F.col("__side__")]
     filled = cut(
-        carry_forward(bucketed(dates, order, buckets), order, ["__found__"])
+        carry_forward(bucketed(dates, keys, buckets), keys, ["__found__"])
         .where("__side__ = 1")
         .select("__date__", "__found__.*")
     )

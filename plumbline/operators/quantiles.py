@@ -56,17 +56,25 @@ class Target:
 def _narrow(tables: Mapping[str, DataFrame], targets: list[Target]) -> None:
     """One round: propose an interval per target by sketch, then prove it by counting."""
     margin = 3 / SKETCH_ACCURACY
-
-    def sketch(t: Target) -> dict[str, str]:
+    shares: dict[tuple, list[float]] = {}
+    places = []
+    for t in targets:  # targets of one column and interval share a sketch
+        wanted = shares.setdefault((t.table, t.number, t.interval), [])
         share = (t.rank - t.below) / t.inside
-        low, high = max(0.0, share - margin), min(1.0, share + margin)
-        return {
-            "ends": f"percentile_approx(CASE WHEN {t.interval} THEN {t.number} END, "
-            f"array({low}D, {high}D), {SKETCH_ACCURACY})"
-        }
-
-    sketched = measure(tables, [(t.table, sketch(t)) for t in targets])
-    ends = [row["ends"] for row in sketched]
+        places.append(((t.table, t.number, t.interval), len(wanted)))
+        wanted += [max(0.0, share - margin), min(1.0, share + margin)]
+    sketches = [
+        (
+            table,
+            {
+                "found": f"percentile_approx(CASE WHEN {interval} THEN {number} END, "
+                f"array({', '.join(f'{s}D' for s in wanted)}), {SKETCH_ACCURACY})"
+            },
+        )
+        for (table, number, interval), wanted in shares.items()
+    ]
+    found = {key: row["found"] for key, row in zip(shares, measure(tables, sketches))}
+    ends = [found[key][i : i + 2] for key, i in places]
     counted = measure(
         tables,
         [

@@ -32,6 +32,13 @@ def severity_counts(findings: DataFrame, drift: DataFrame | None = None) -> Data
     return counts.select("*", one).join(events, "one").drop("one")
 
 
+def to_remediate(findings: DataFrame) -> DataFrame:
+    """The issues that call for a remediation, with what to do."""
+    return findings.where("NOT is_observation AND severity IN ('HIGH', 'MEDIUM')").select(
+        "ordinal", "severity", "table", "column", "suggestion"
+    )
+
+
 def overview(findings: DataFrame) -> DataFrame:
     """Issues, then observations, with the suggestion cut for display."""
     limit = K.OVERVIEW_SUGGESTION_CHARS

@@ -81,6 +81,7 @@ def test_derived_tables(run):
     assert states["CHK-12"] == "high" and states["CHK-04"] == "clean"
     counts = results.severity_counts(run.findings, run.drift).first()
     assert (counts["high"], counts["medium"], counts["low"], counts["observations"]) == (2, 2, 3, 0)
+    assert results.to_remediate(run.findings).count() == counts["to_remediate"] == 4
     notes = {(r["table"], r["column"]): r["notes"] for r in run.data_dictionary.collect()}
     assert notes["trades", "trade-code"] == "inferred PK; high cardinality"
     assert notes["trades", "customer-code"] == "inferred FK"
