@@ -114,3 +114,59 @@ CHECK_REGISTRY = (
     ("CHK-19", "Mixed Type Detection", "STRUCTURE"),
     ("CHK-20", "Encoding Issue Detection", "STRUCTURE"),
 )
+
+# --- fixed values: wording of findings; {x:2} shows x with two decimals ------------
+FINDING_TEXT = {
+    "empty_rows": "{fully_empty_rows} fully empty row(s) found",
+    "duplicate_rows": "{duplicate_rows} fully duplicate row(s) detected",
+    "duplicate_keys": "{duplicate_pk_rows} rows share a duplicate inferred primary key [{likely_pk}]",
+    "nulls": "{null_count} null(s) in [{column}] ({null_pct:1}% of rows)",
+    "outliers": "{outlier_count} statistical outlier(s) in [{column}] (3×IQR fence: [{outlier_fence_lo:4} → {outlier_fence_hi:4}])",
+    "negatives": "{negative_count} negative value(s) in [{column}] — unexpected for this field",
+    "unparsed_dates": "{date_parse_fail} value(s) in [{column}] could not be parsed as dates",
+    "future_dates": "{date_future} future date(s) in [{column}]",
+    "date_gaps": "{date_gaps} business-day gap(s) in date sequence of [{column}]",
+    "mixed_types": "[{column}] contains mixed types — some values cannot be parsed as {inferred_type}",
+    "high_cardinality": "[{column}] has high cardinality ({unique_count} unique values) for a categorical field",
+    "orphans": "{orphan_rows} value(s) in [{table}.{column}] not found in [{to_table}.{to_column}] — {orphan_values} orphaned codes",
+    "start": "[{table}.{column}] starts {own_date} — [{reference_table}.{reference_column}] goes back to {reference_date} ({gap_days}-day gap)",
+    "end": "[{table}.{column}] ends {own_date} — [{reference_table}.{reference_column}] goes up to {reference_date} ({gap_days}-day gap)",
+    "isolated": "[{table}] has no direct key relationship to other tables",
+}
+
+# --- fixed values: names of the statistics of a finding ----------------------------
+FINDING_STATISTICS = {
+    "empty_rows": {"Empty rows": "{fully_empty_rows}", "Total rows": "{row_count}"},
+    "duplicate_rows": {"Duplicate rows": "{duplicate_rows}", "Total rows": "{row_count}"},
+    "duplicate_keys": {"Duplicate key rows": "{duplicate_pk_rows}", "Key column": "{likely_pk}"},
+    "nulls": {
+        "Null count": "{null_count}", "Null %": "{null_pct:1}%", "Total rows": "{row_count}",
+    },
+    "outliers": {
+        "Q1 (25th percentile)": "{num_q1:4}",
+        "Q3 (75th percentile)": "{num_q3:4}",
+        "IQR": "{num_iqr:4}",
+        "Lower fence (Q1 − 3×IQR)": "{outlier_fence_lo:4}",
+        "Upper fence (Q3 + 3×IQR)": "{outlier_fence_hi:4}",
+        "Outlier count": "{outlier_count}",
+        "Min value": "{num_min:4}",
+        "Max value": "{num_max:4}",
+    },
+    "negatives": {"Negative count": "{negative_count}", "Column min": "{num_min:4}"},
+    "unparsed_dates": {"Parse failures": "{date_parse_fail}"},
+    "future_dates": {"Future date count": "{date_future}", "Column max date": "{date_max}"},
+    "date_gaps": {"Business-day gaps": "{date_gaps}", "Date range": "{date_min} → {date_max}"},
+    "mixed_types": {"Inferred type": "{inferred_type}"},
+    "high_cardinality": {
+        "Unique values": "{unique_count}", "Unique %": "{unique_pct:1}%",
+        "Total rows": "{row_count}",
+    },
+    "orphans": {
+        "Orphaned values": "{orphan_values}", "Affected rows": "{orphan_rows}",
+        "Relationship confidence": "{confidence}", "Detection reason": "{reason}",
+    },
+    "isolated": {
+        "Date columns found": "{found_dates}",
+        "Reason": "No shared key column detected with any other table",
+    },
+}

@@ -29,7 +29,7 @@ def unknown_values(df: DataFrame, column: str, allowed: list) -> DataFrame:
     spark = df.sparkSession
     known = spark.createDataFrame(
         pa.table({"value": [str(v) for v in allowed]}), schema="value string"
-    )
+    ).select(F.col("value").try_cast(df.schema[column].dataType).cast("string").alias("value"))
     counted = (
         df.select(ref(column).cast("string").alias("value"))
         .where("value IS NOT NULL")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
@@ -51,9 +52,35 @@ def finding(
     )
 
 
-def stats(entries: Mapping[str, str]) -> str:
-    pairs = ", ".join(f"{literal(k)}, CAST({e} AS STRING)" for k, e in entries.items())
-    return f"map({pairs})"
+PLACEHOLDER = re.compile(r"\{(\w+)(?::(\d))?\}")
+
+
+def worded(template: str) -> str:
+    """A template as a SQL expression: {x} is a column, {x:2} a number with two decimals."""
+    parts, end = [], 0
+    for match in PLACEHOLDER.finditer(template):
+        name, digits = match.groups()
+        value = f"`{name}`"
+        if digits:
+            value = f"format_number({value}, {digits})"
+        elif name in ("date_min", "date_max"):
+            value = f"date_format({value}, 'yyyy-MM-dd')"
+        parts += [literal(template[end : match.start()]), value]
+        end = match.end()
+    parts.append(literal(template[end:]))
+    return f"concat({', '.join(parts)})"
+
+
+def text(name: str) -> str:
+    return worded(K.FINDING_TEXT[name])
+
+
+def stats(name: str) -> str:
+    pairs = [
+        f"{literal(label)}, {worded(value)}"
+        for label, value in K.FINDING_STATISTICS[name].items()
+    ]
+    return f"map({', '.join(pairs)})"
 
 
 def _flow() -> str:
@@ -71,11 +98,11 @@ def empty_rows(tables: DataFrame) -> DataFrame:
     return finding(
         tables, "CHK-04", 0, "COMPLETENESS", "fully_empty_rows > 0",
         severity="'HIGH'", column="NULL", place="array(table_position, -1)",
-        description="concat(fully_empty_rows, ' fully empty row(s) found')",
+        description=text("empty_rows"),
         affected="fully_empty_rows",
         suggestion="'Drop the rows in which every column is null.'",
         explanation="concat(fully_empty_rows, ' of ', row_count, ' rows in [', `table`, '] have no value in any column.')",
-        stats=stats({"Empty rows": "fully_empty_rows", "Total rows": "row_count"}),
+        stats=stats("empty_rows"),
         snippet="'empty'", snippet_flag="'EMPTY ROW'",
     )
 
@@ -84,11 +111,11 @@ def duplicate_rows(tables: DataFrame) -> DataFrame:
     return finding(
         tables, "CHK-05", 1, "INTEGRITY", "duplicate_rows > 0",
         severity="'MEDIUM'", column="NULL", place="array(table_position, -1)",
-        description="concat(duplicate_rows, ' fully duplicate row(s) detected')",
+        description=text("duplicate_rows"),
         affected="duplicate_rows",
         suggestion="'Keep one copy of each row (dropDuplicates).'",
         explanation="concat(duplicate_rows, ' rows in [', `table`, '] repeat another row in every column and would be counted twice in sums.')",
-        stats=stats({"Duplicate rows": "duplicate_rows", "Total rows": "row_count"}),
+        stats=stats("duplicate_rows"),
         snippet="'duplicates'", snippet_flag="'DUPLICATE'",
     )
 
@@ -98,11 +125,11 @@ def duplicate_keys(tables: DataFrame) -> DataFrame:
         tables, "CHK-06", 2, "INTEGRITY",
         f"likely_pk IS NOT NULL AND duplicate_pk_rows > 0 AND row_count >= {K.MIN_ROWS_DUPLICATE_KEY}",
         severity="'HIGH'", column="likely_pk", place="array(table_position, -1)",
-        description="concat(duplicate_pk_rows, ' rows share a duplicate inferred primary key [', likely_pk, ']')",
+        description=text("duplicate_keys"),
         affected="duplicate_pk_rows",
         suggestion="concat('Check repeated [', likely_pk, '] values; suffixes such as -01 and -02 may be versions of one code.')",
         explanation="concat('[', likely_pk, '] identifies the rows of [', `table`, '], yet ', duplicate_pk_rows, ' rows share a value; joins on it would multiply rows.')",
-        stats=stats({"Duplicate key rows": "duplicate_pk_rows", "Key column": "likely_pk"}),
+        stats=stats("duplicate_keys"),
         snippet="'keys'", snippet_flag="'DUPLICATE KEY'",
     )
 
@@ -115,7 +142,7 @@ def nulls(columns: DataFrame) -> DataFrame:
         columns, "CHK-01", 3, "COMPLETENESS", "null_count > 0",
         check_id="CASE WHEN is_likely_pk THEN 'CHK-01' WHEN is_likely_fk THEN 'CHK-02' ELSE 'CHK-03' END",
         severity="CASE WHEN is_likely_pk THEN 'HIGH' WHEN is_likely_fk THEN 'MEDIUM' ELSE 'LOW' END",
-        description="concat(null_count, ' null(s) in [', `column`, '] (', format_number(null_pct, 1), '% of rows)')",
+        description=text("nulls"),
         affected="null_count",
         suggestion="""CASE
             WHEN inferred_type = 'date' THEN concat('Fill [', `column`, '] forward if it is a series; otherwise ask the source.')
@@ -124,32 +151,22 @@ def nulls(columns: DataFrame) -> DataFrame:
             WHEN is_likely_fk THEN concat('Rows without [', `column`, '] will not join and drop out of reports.')
             ELSE concat('Find out whether nulls in [', `column`, '] are expected.') END""",
         explanation="concat(null_count, ' of ', row_count, ' rows in [', `table`, '] have no value in [', `column`, '].')",
-        stats=stats({"Null count": "null_count", "Null %": "concat(format_number(null_pct, 1), '%')", "Total rows": "row_count"}),
+        stats=stats("nulls"),
         snippet="'null'", snippet_flag="'NULL'",
     )
 
 
 def outliers(columns: DataFrame) -> DataFrame:
-    number = "format_number({}, 4)"
     return finding(
         columns, "CHK-11", 4, "OUTLIER", "inferred_type = 'numeric' AND outlier_count > 0",
         check_id=f"CASE WHEN {_flow()} THEN 'CHK-16' ELSE 'CHK-11' END",
         severity=f"CASE WHEN NOT {_flow()} AND outlier_count / greatest(row_count, 1) > {K.OUTLIER_MEDIUM_SHARE} THEN 'MEDIUM' ELSE 'LOW' END",
         is_observation=_flow(),
-        description="concat(outlier_count, ' statistical outlier(s) in [', `column`, '] (3×IQR fence: [', format_number(outlier_fence_lo, 4), ' → ', format_number(outlier_fence_hi, 4), '])')",
+        description=text("outliers"),
         affected="outlier_count",
         suggestion=f"CASE WHEN {_flow()} THEN concat('Look for offsetting pairs among the large [', `column`, '] values; keep them in sums.') ELSE concat('Flag outliers of [', `column`, '] in a column of their own and leave flagged rows out of averages.') END",
         explanation=f"concat('Half of the [', `column`, '] values lie between ', format_number(num_q1, 2), ' and ', format_number(num_q3, 2), '; ', outlier_count, ' lie outside the fence.', CASE WHEN {_flow()} THEN ' Large flows are normal in a trading book.' ELSE '' END)",
-        stats=stats({
-            "Q1 (25th percentile)": number.format("num_q1"),
-            "Q3 (75th percentile)": number.format("num_q3"),
-            "IQR": number.format("num_iqr"),
-            "Lower fence (Q1 − 3×IQR)": number.format("outlier_fence_lo"),
-            "Upper fence (Q3 + 3×IQR)": number.format("outlier_fence_hi"),
-            "Outlier count": "outlier_count",
-            "Min value": number.format("num_min"),
-            "Max value": number.format("num_max"),
-        }),
+        stats=stats("outliers"),
         snippet="'outlier'", snippet_flag="'OUTLIER'",
     )
 
@@ -159,11 +176,11 @@ def negatives(columns: DataFrame) -> DataFrame:
         columns, "CHK-12", 5, "INTEGRITY",
         f"inferred_type = 'numeric' AND has_negatives AND NOT {_flow()} AND {_positive()}",
         severity="'MEDIUM'",
-        description="concat(negative_count, ' negative value(s) in [', `column`, '] — unexpected for this field')",
+        description=text("negatives"),
         affected="negative_count",
         suggestion="concat('Confirm and document the sign convention of [', `column`, '].')",
         explanation="concat('The name of [', `column`, '] suggests values of zero or more; ', negative_count, ' are below.')",
-        stats=stats({"Negative count": "negative_count", "Column min": "format_number(num_min, 4)"}),
+        stats=stats("negatives"),
         snippet="'negative'", snippet_flag="'NEGATIVE'",
     )
 
@@ -172,11 +189,11 @@ def unparsed_dates(columns: DataFrame) -> DataFrame:
     return finding(
         columns, "CHK-D1", 6, "COMPLETENESS", "inferred_type = 'date' AND date_parse_fail > 0",
         severity="'HIGH'",
-        description="concat(date_parse_fail, ' value(s) in [', `column`, '] could not be parsed as dates')",
+        description=text("unparsed_dates"),
         affected="date_parse_fail",
         suggestion="concat('Deliver [', `column`, '] as YYYY-MM-DD.')",
         explanation="concat(date_parse_fail, ' values of [', `column`, '] are no dates in a known form and are lost to date logic.')",
-        stats=stats({"Parse failures": "date_parse_fail"}),
+        stats=stats("unparsed_dates"),
     )
 
 
@@ -184,11 +201,11 @@ def future_dates(columns: DataFrame) -> DataFrame:
     return finding(
         columns, "CHK-D2", 7, "INTEGRITY", "inferred_type = 'date' AND date_future > 0",
         severity="'MEDIUM'",
-        description="concat(date_future, ' future date(s) in [', `column`, ']')",
+        description=text("future_dates"),
         affected="date_future",
         suggestion="concat('Check [', `column`, ']: dates after today may be entry errors.')",
         explanation="concat(date_future, ' rows have a date in [', `column`, '] after the as-of date.')",
-        stats=stats({"Future date count": "date_future", "Column max date": "date_format(date_max, 'yyyy-MM-dd')"}),
+        stats=stats("future_dates"),
         snippet="'future'", snippet_flag="'FUTURE DATE'",
     )
 
@@ -197,11 +214,11 @@ def date_gaps(columns: DataFrame) -> DataFrame:
     return finding(
         columns, "CHK-15", 8, "TEMPORAL",
         f"inferred_type = 'date' AND date_gaps > {K.MAX_UNREPORTED_GAPS}",
-        description="concat(date_gaps, ' business-day gap(s) in date sequence of [', `column`, ']')",
+        description=text("date_gaps"),
         affected="date_gaps",
         suggestion="concat('Check whether the days missing from [', `column`, '] are intended.')",
         explanation="concat('Weekends aside, the sequence of [', `column`, '] is interrupted ', date_gaps, ' times.')",
-        stats=stats({"Business-day gaps": "date_gaps", "Date range": "concat(date_format(date_min, 'yyyy-MM-dd'), ' → ', date_format(date_max, 'yyyy-MM-dd'))"}),
+        stats=stats("date_gaps"),
     )
 
 
@@ -209,10 +226,10 @@ def mixed_types(columns: DataFrame) -> DataFrame:
     return finding(
         columns, "CHK-10", 9, "STRUCTURE", "has_mixed_types",
         severity="'HIGH'",
-        description="concat('[', `column`, '] contains mixed types — some values cannot be parsed as ', inferred_type)",
+        description=text("mixed_types"),
         suggestion="concat('Set the type of [', `column`, '] and turn other values into nulls.')",
         explanation="concat('[', `column`, '] is mostly ', inferred_type, ', but some values do not convert.')",
-        stats=stats({"Inferred type": "inferred_type"}),
+        stats=stats("mixed_types"),
     )
 
 
@@ -220,10 +237,10 @@ def high_cardinality(columns: DataFrame) -> DataFrame:
     return finding(
         columns, "CHK-07", 10, "INTEGRITY",
         "cardinality_flag = 'HIGH' AND inferred_type = 'categorical' AND NOT is_likely_pk",
-        description="concat('[', `column`, '] has high cardinality (', unique_count, ' unique values) for a categorical field')",
+        description=text("high_cardinality"),
         suggestion="concat('Move [', `column`, '] to a lookup table if its values repeat.')",
         explanation="concat('[', `column`, '] has ', unique_count, ' distinct values in ', row_count, ' rows; a category should have few.')",
-        stats=stats({"Unique values": "unique_count", "Unique %": "concat(format_number(unique_pct, 1), '%')", "Total rows": "row_count"}),
+        stats=stats("high_cardinality"),
     )
 
 
@@ -236,7 +253,7 @@ def encoding(columns: DataFrame) -> DataFrame:
         affected="encoding_count",
         suggestion="concat('Deliver [', `column`, '] as clean UTF-8.')",
         explanation="concat('Control characters in [', `column`, '] break exact joins and imports.')",
-        stats=stats({"Values": "encoding_count"}),
+        stats="map('Values', CAST(encoding_count AS STRING))",
         snippet="'encoding'", snippet_flag="'ENCODING'",
     )
 
@@ -262,15 +279,12 @@ def orphans(relations: DataFrame, members: DataFrame) -> DataFrame:
         rows, "CHK-13", 0, "REFERENTIAL",
         check_id="CASE WHEN confidence = 'HIGH' THEN 'CHK-13' ELSE 'CHK-14' END",
         severity="confidence",
-        description="concat(orphan_rows, ' value(s) in [', `table`, '.', `column`, '] not found in [', to_table, '.', to_column, '] — ', orphan_values, ' orphaned codes')",
+        description=text("orphans"),
         affected="orphan_rows",
         examples="examples",
         suggestion="concat('Add the orphaned codes to [', to_table, '] or keep their rows apart; never drop them silently.')",
         explanation="concat('[', `column`, '] points to [', to_table, '.', to_column, '] (', format_number(match_share, 0), '% of values overlap); ', orphan_values, ' values have no partner there.')",
-        stats=stats({
-            "Orphaned values": "orphan_values", "Affected rows": "orphan_rows",
-            "Relationship confidence": "confidence", "Detection reason": "reason",
-        }),
+        stats=stats("orphans"),
         stage=str(REFERENCES),
         place="array(found_at.o0, found_at.o1, found_at.o2, found_at.o3)",
         snippet="'examples'", snippet_flag="'ORPHANED'",
@@ -281,18 +295,15 @@ def coverage(columns: DataFrame) -> DataFrame:
     """Date columns that start later or end earlier than the widest one."""
     differences = temporal.coverage_differences(columns.where("inferred_type = 'date'"))
     parts = []
-    for check_id, side, verb, other in (
-        ("CHK-17", "start", "starts", "goes back to"),
-        ("CHK-18", "end", "ends", "goes up to"),
-    ):
+    for check_id, side in (("CHK-17", "start"), ("CHK-18", "end")):
         parts.append(
             finding(
                 differences, check_id, 0 if side == "start" else 1, "TEMPORAL", f"side = '{side}'",
                 is_observation="true", stage=str(COVERAGE),
-                description=f"concat('[', `table`, '.', `column`, '] {verb} ', own_date, ' — [', reference_table, '.', reference_column, '] {other} ', reference_date, ' (', gap_days, '-day gap)')",
+                description=text(side),
                 suggestion=f"concat('Check whether [', `table`, '] should {side} at ', own_date, '.')",
                 explanation="concat('The dates of [', `table`, '] cover less than those of [', reference_table, ']; as-of lookups bridge this.')",
-                stats=f"map('Gap in days', CAST(gap_days AS STRING), concat(`table`, ' {verb}'), own_date, concat(reference_table, ' {verb}'), reference_date)",
+                stats=f"map('Gap in days', CAST(gap_days AS STRING), concat(`table`, ' {side}s'), own_date, concat(reference_table, ' {side}s'), reference_date)",
             )
         )
     return union_all(parts)
@@ -306,14 +317,16 @@ def isolated(relations: DataFrame, tables: DataFrame, columns: DataFrame) -> Dat
         .agg(F.sort_array(F.collect_list(F.struct("position", "column"))).alias("d"))
         .select("table", F.array_join(F.transform("d", lambda x: x["column"]), ", ").alias("dates"))
     )
-    rows = relate.unconnected_tables(relations, tables).join(dates, "table", "left")
+    rows = relate.unconnected_tables(relations, tables).join(dates, "table", "left").withColumn(
+        "found_dates", F.coalesce("dates", F.lit("None"))
+    )
     return finding(
         rows, "CHK-19", 0, "ARCHITECTURE", column="NULL", is_observation="true",
         stage=str(ISOLATION), place="array(table_position)",
-        description="concat('[', `table`, '] has no direct key relationship to other tables', coalesce(concat(' — date column(s) [', dates, '] suggest as-of date logic is required'), ''))",
+        description=f"concat({text('isolated')}, coalesce(concat(' — date column(s) [', dates, '] suggest as-of date logic is required'), ''))",
         suggestion="'Do not join by key; look values up by date.'",
         explanation="concat('[', `table`, '] shares no key or code column with another table.')",
-        stats="map('Date columns found', coalesce(dates, 'None'), 'Reason', 'No shared key column detected with any other table')",
+        stats=stats("isolated"),
     )
 
 
@@ -358,7 +371,7 @@ def business_rules(profile: Profile, config: Mapping) -> DataFrame | None:
             total["rows"], f"Map unknown [{rule['column']}] values.", "UNKNOWN VALUE",
             first[: K.EXAMPLES])
     by_id = {i: r for i, r in enumerate(configured)}
-    for rule in rules.range_violations(profile.tables, [r | {"_n": i} for i, r in by_id.items()]):
+    for rule in rules.range_violations(profile.typed, [r | {"_n": i} for i, r in by_id.items()]):
         if rule["affected"]:
             add(by_id[rule["_n"]], "X6", "LOW", "INTEGRITY",
                 f"[{rule.get('id', '?')}] [{rule['column']}] has {rule['affected']} value(s) outside "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 
@@ -61,10 +62,11 @@ def run_quality(
     with_snippets: bool = True,
     with_additions: bool = False,
 ) -> Results:
-    """Run everything. Cleaned tables stay lazy unless a series has to be filled.
+    """Run everything; dates after `as_of`, by default now, are future dates.
 
     Configuration: business_rules, expected_schema, primary_keys (all optional)."""
     config = config or {}
+    as_of = as_of or datetime.now().isoformat(sep=" ", timespec="seconds")
     found = profile(tables, as_of, config.get("primary_keys"))
     findings = all_findings(found, config, with_snippets, with_additions)
     expected = config.get("expected_schema", drift.K.EXPECTED_SCHEMA)

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline import load_tables, run_quality
+from plumbline import export, load_tables, run_quality
+from plumbline.operators import rules
 from plumbline.plans import results
 from plumbline.sources import catalog, sinks, snapshots
 
@@ -143,3 +144,27 @@ def test_a_single_table(spark):
     df = spark.createDataFrame([(i, "a") for i in range(3)], "id int, v string")
     found = run_quality({"t": df})
     assert [r["check_id"] for r in found.findings.collect()] == ["CHK-19"]
+
+
+def test_export(spark, run, tmp_path):
+    config = CONFIG | {"sources": {
+        "trades": {"type": "csv", "file": "in/trades.csv"}, "customers": {"type": "parquet", "file": "in/customers"},
+    }}
+    paths, before = export(run, config, str(tmp_path), "run-1")
+    assert before.count() == 0 and len(paths) == 10
+    _, before = export(run, config, str(tmp_path), "run-2")
+    assert before.first()["files"] == ["customers", "trades.csv"]
+    assert spark.read.parquet(str(tmp_path / "cleaned_customers")).count() == 10
+    assert spark.read.parquet(str(tmp_path / "checklist")).count() == run.issues.count()
+
+
+def test_allowed_values_of_numbers(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (2.5,), (None,)], "v double")
+    assert [(r["value"], r["n"]) for r in rules.unknown_values(df, "v", [1, 2]).collect()] == [("2.5", 1)]
+
+
+def test_range_rule_on_text_numbers(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(30)] + [("N/A",)], "v string")
+    rule = {"id": "R", "applies_to": "t", "validator": "value_range", "column": "v", "min": 2, "max": 20}
+    found = run_quality({"t": df}, {"business_rules": [rule]}).findings.where("check_id = 'X6'").collect()
+    assert [r["affected"] for r in found] == [11]
