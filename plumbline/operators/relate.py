@@ -155,22 +155,30 @@ def relationships(overlaps: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def discover(tables: Mapping[str, DataFrame], columns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All relationships (pinned, schema-sized) and the value members they came from."""
-    keys = key_columns(columns)
+def group_values(tables: Mapping[str, DataFrame], keys: DataFrame) -> DataFrame:
+    """The value members of all key columns, written once: top values, relationships and
+    orphans are all read from them."""
     wanted: dict[str, list[str]] = {}
     for row in keys.collect():
         wanted.setdefault(row["table"], []).append(row["column"])
-    if len(wanted) < 2:
-        empty = keys.sparkSession.createDataFrame(
-            [], "key int, other int, overlap bigint, overlap_rows bigint"
-        )
-        none = keys.sparkSession.createDataFrame(
+    if not wanted:
+        return keys.sparkSession.createDataFrame(
             [], "value string, members array<struct<key:int,n:bigint>>, keys array<int>"
         )
-        return pin(relationships(empty, keys)), none
-    members = cut(value_members(value_counts(tables, wanted), keys))
-    return pin(relationships(pair_overlaps(members), keys)), members
+    return cut(value_members(value_counts(tables, wanted), keys))
+
+
+def counts_of(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """Back to the histogram (table, column, value, n)."""
+    names = F.broadcast(keys.select("key", "table", "column"))  # one row per key column
+    return members.select("value", F.inline("members")).join(names, "key").select(
+        "table", "column", "value", "n"
+    )
+
+
+def discover(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """All relationships, one row each; evaluated once."""
+    return pin(relationships(pair_overlaps(members), keys))
 
 
 def checked(relations: DataFrame) -> DataFrame:

@@ -63,16 +63,16 @@ class Profile:
         return local(self.spark, self.table_rows, TABLE_PROFILE)
 
     @cached_property
-    def _discovered(self) -> tuple[DataFrame, DataFrame]:
-        return relate.discover(self.tables, self.columns)
+    def keys(self) -> DataFrame:
+        return relate.key_columns(self.columns)
 
-    @property
-    def relationships(self) -> DataFrame:
-        return self._discovered[0]
-
-    @property
+    @cached_property
     def value_members(self) -> DataFrame:
-        return self._discovered[1]
+        return relate.group_values(self.tables, self.keys)
+
+    @cached_property
+    def relationships(self) -> DataFrame:
+        return relate.discover(self.value_members, self.keys)
 
 
 def _numeric(typed, rows, sorted_rows) -> None:
@@ -130,19 +130,16 @@ def _dates(typed, rows) -> None:
         r["date_gaps"] = gaps.get((r["table"], r["column"]), 0)
 
 
-def _top_values(tables, rows) -> None:
-    """Top values of key and category columns."""
-    listed: dict[str, list[str]] = {}
-    for r in rows:
-        if r["inferred_type"] in ("id", "categorical") and r["kind"] == "string":
-            listed.setdefault(r["table"], []).append(r["column"])
+def _top_values(tables, rows, keys) -> DataFrame:
+    """Top values of key and category columns; returns the value members they are read from."""
+    members = relate.group_values(tables, keys)
     by_key = {(r["table"], r["column"]): r for r in rows}
-    if listed:
-        top = distinct.top_values(distinct.value_counts(tables, listed)).collect()
-        for v in sorted(top, key=lambda v: v["rank"]):
-            by_key[v["table"], v["column"]]["top_values"].append(
-                {"value": v["value"], "count": v["n"]}
-            )
+    top = distinct.top_values(relate.counts_of(members, keys)).collect()
+    for v in sorted(top, key=lambda v: v["rank"]):
+        by_key[v["table"], v["column"]]["top_values"].append(
+            {"value": v["value"], "count": v["n"]}
+        )
+    return members
 
 
 def _samples(tables, rows) -> None:
@@ -198,20 +195,25 @@ def _round(value: float | None) -> float | None:
 def _duplicates(tables, rows) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Copies and duplicate groups per table. A complete column without repeats rules them
     out, so such tables are not shuffled."""
-    copies, groups = {}, {}
-    for table, df in tables.items():
-        if any(
-            r["unique_count"] == r["row_count"] and r["null_count"] == 0
-            for r in rows
-            if r["table"] == table
-        ):
-            continue
+    complete = {
+        r["table"]
+        for r in rows
+        if r["unique_count"] == r["row_count"] and r["null_count"] == 0
+    }
+
+    def look(df: DataFrame) -> tuple[int, DataFrame]:
         found = duplicates.duplicate_groups(df)
         total = found.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"))
-        copies[table] = total.first()["copies"]
-        if copies[table]:
-            groups[table] = found
-    return copies, groups
+        return total.first()["copies"], found
+
+    open_tables = [name for name in tables if name not in complete]
+    looked = together(
+        next(iter(tables.values())).sparkSession,
+        *[lambda df=tables[name]: look(df) for name in open_tables],
+    )
+    found = dict(zip(open_tables, looked))
+    copies = {name: n for name, (n, _) in found.items()}
+    return copies, {name: groups for name, (n, groups) in found.items() if n}
 
 
 def profile(
@@ -267,10 +269,11 @@ def profile(
         r["has_negatives"] = r["negative_count"] > 0
         r["date_future"] = r["date_future"] or 0
         r["cardinality_flag"] = cardinality_flag(r)
+    keys = relate.key_columns(local(spark, rows, COLUMN_PROFILE)) if "values" in stages else None
     work = {
         "quartiles": lambda: _numeric(typed, rows, sorted_rows),
         "gaps": lambda: _dates(typed, rows),
-        "values": lambda: _top_values(tables, rows),
+        "values": lambda: _top_values(tables, rows, keys),
         "samples": lambda: _samples(tables, rows),
         "duplicates": lambda: _duplicates(tables, rows),
     }
@@ -279,7 +282,8 @@ def profile(
     sizes, *done = together(
         spark, lambda: facts.table_sizes(tables).collect(), *chosen.values()
     )
-    copies, groups = dict(zip(chosen, done)).get("duplicates", ({}, {}))
+    results = dict(zip(chosen, done))
+    copies, groups = results.get("duplicates", ({}, {}))
     table_rows = sorted((r.asDict() for r in sizes), key=lambda r: r["table_position"])
     for t in table_rows:
         t["duplicate_rows"] = copies.get(t["table"], 0)
@@ -288,4 +292,7 @@ def profile(
         # a declared key may hold nulls, which count as equal to each other
         repeated_nulls = key["null_count"] if key and key["null_count"] > 1 else 0
         t["duplicate_pk_rows"] = key["repeated_rows"] + repeated_nulls if key else 0
-    return Profile(spark, tables, typed, rows, table_rows, as_of, groups)
+    found = Profile(spark, tables, typed, rows, table_rows, as_of, groups)
+    if "values" in results:
+        found.keys, found.value_members = keys, results["values"]
+    return found

@@ -1069,7 +1069,15 @@ def sink_cleaned(spark, folder):
     return spark.read.parquet(f"{path}/cleaned_fx")
 
 
-@query()
+@query(
+    O.with_clause(
+        ["dirty_orders"], *O.related(["dirty_orders"]), O.table_counts(["dirty_orders"]),
+        O.found(O.duplicate_keys(["dirty_orders"]), O.nulls(), O.negatives(), O.future_dates(),
+                O.high_cardinality(), O.isolated()).strip(),
+    )
+    + """SELECT ordinal, severity, tab AS "table", coalesce(col, '—') AS "column", affected
+      FROM found"""
+)
 def sink_results(spark, folder):
     """Findings written as JSON lines and read back."""
     path = scratch(spark)
