@@ -31,7 +31,7 @@ def _slot(data_type: T.DataType) -> str | None:
         if is_float(data_type):
             return "double"
         return "string" if isinstance(data_type, T.DecimalType) else "bigint"
-    return {BOOLEAN: "bigint", DATE: "timestamp_ntz", STRING: "string"}.get(kind)
+    return {BOOLEAN: "string", DATE: "timestamp_ntz", STRING: "string"}.get(kind)
 
 
 def cells(

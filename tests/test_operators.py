@@ -422,3 +422,31 @@ def test_facts_split_wide_tables(spark):
     found = {r["column"]: r for r in facts.column_facts({"t": df}).collect()}
     assert len(found) == width
     assert found["c.39-x"]["num_max"] == 9.0 * 39 and found["c.39-x"]["null_count"] == 0
+
+
+def test_samples_are_exact_whatever_rows_come_first(spark):
+    random.seed(2)
+    n = 3000
+    rows = [
+        (
+            n - i, float(i % 3), random.choice(["é", "z", "Ω", "a", "A", "b", None]),
+            datetime(2024, 1, 1) + timedelta(hours=n - i), i % 2 == 0, f"w{n - i:05d}",
+            None if i < 2000 else i,
+        )
+        for i in range(n)
+    ]
+    schema = "i int, d double, s string, t timestamp_ntz, b boolean, w string, late int"
+    df = spark.createDataFrame(rows, schema).withColumn("day", F.col("t").cast("date"))
+    df = df.withColumn("m", F.col("i").cast("decimal(9,2)")).withColumn("f", F.col("d").cast("float"))
+    found = {}
+    for r in distinct.smallest_values({"t": df.coalesce(1)}, k=5).collect():
+        found.setdefault(r["column"], []).append((r["rank"], r["value"]))
+    got = {c: [v for _, v in sorted(vs)] for c, vs in found.items()}
+    assert got["i"] == ["1", "2", "3", "4", "5"]
+    assert got["d"] == ["0.0", "1.0", "2.0"] == got["f"]
+    assert got["s"] == sorted({r[2] for r in rows if r[2]}, key=lambda v: v.encode())[:5]
+    assert got["w"] == [f"w{i:05d}" for i in range(1, 6)]
+    assert got["b"] == ["false", "true"]
+    assert got["late"] == ["2000", "2001", "2002", "2003", "2004"]
+    assert got["t"][0] == "2024-01-01 01:00:00" and got["day"][0] == "2024-01-01 00:00:00"
+    assert len(got["m"]) == 5
