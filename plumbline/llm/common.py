@@ -19,6 +19,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SLICE_BYTES = 4 << 20
 #: Rows Spark hands to a Python worker at once; whole texts travel in them.
 BATCH_ROWS = 1000
+#: Shuffle files of a written table go when it is complete; nothing reads them again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A key is heavy if it has more than this share of all rows, so there are at most HEAVY_KEYS of them.
 HEAVY_KEYS = 1000
 
@@ -37,7 +39,12 @@ def written(df: DataFrame) -> DataFrame:
     it survives lost executors and is computed once."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/plumbline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

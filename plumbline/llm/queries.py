@@ -10,6 +10,8 @@ from plumbline.llm.common import table
 from plumbline.llm.decontaminate import find_leaks
 from plumbline.llm.fingerprint import fingerprints
 from plumbline.llm.line_dedup import dedup_lines
+from plumbline.llm.ngram_join import similar_documents
+from plumbline.llm.sentencepiece import encode_texts
 from plumbline.llm.token_counts import count_tokens
 from plumbline.llm.url_filter import Rule, judge_urls
 
@@ -27,6 +29,20 @@ URL_RULES = [
 ]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    same = F.col("decoded").eqNullSafe(F.translate(F.coalesce("row.text", F.lit("")), "▁", " "))
+    return found.select(
+        "row.doc_id",
+        "n_tokens",
+        F.col("n_bytes").alias("n_byte_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        same.alias("lossless"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"])
@@ -60,7 +76,19 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op4_url_filter, op5_line_dedup, op6_decontaminate, op8_fingerprints)
+    for f in (
+        op1_sentencepiece,
+        op2_token_counts,
+        op4_url_filter,
+        op5_line_dedup,
+        op6_decontaminate,
+        op8_fingerprints,
+        op9_ngram_join,
+    )
 }
