@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from plumbline.llm.licenses import RULES, SENTENCES, normalise
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP4 = f"""
@@ -81,4 +83,48 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES = {"op4_url_filter": OP4, "op5_line_dedup": OP5, "op6_decontaminate": OP6}
+
+
+def _op3() -> str:
+    """The known sentences as a table, each text cut and named in SQL, the rules as a chain of
+    replacements."""
+    known = ", ".join(
+        f"('{normalise(t)}', '{name}')" for name, texts in SENTENCES.items() for t in texts
+    )
+    steps, chain = [], "chain"
+    for k, rule in enumerate(RULES):
+        wanted = "|" + "||".join(rule.sequence) + "|"
+        steps.append((f"contains({chain}, '{wanted}')", rule.licence, k))
+        chain = f"replace({chain}, '{wanted}', '|-|')"
+    licences = ", ".join(f"CASE WHEN {test} THEN '{name}' END" for test, name, _ in steps)
+    return f"""
+WITH known(sentence, name) AS (VALUES {known}), cut AS (
+  SELECT doc_id, string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '\\n|(?:[.!?:][ \\t\\r]+)') AS parts FROM documents
+), parts AS (
+  SELECT doc_id, nr, trim(regexp_replace(parts[nr], '[^a-z0-9]+', ' ', 'g')) AS sentence
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS nr FROM cut)
+), named AS (
+  SELECT doc_id, nr, CASE WHEN starts_with(sentence, 'copyright ')
+    AND regexp_matches(sentence, ' [12][0-9]{{3}}( |$)') THEN 'copyright' ELSE known.name END AS name
+  FROM parts LEFT JOIN known USING (sentence)
+), listed AS (
+  SELECT doc_id, string_agg(name, ',' ORDER BY nr) AS ids,
+    coalesce(string_agg('|' || name || '|', '' ORDER BY nr) FILTER (name <> 'copyright'), '') AS chain
+  FROM named WHERE name IS NOT NULL GROUP BY doc_id
+), ruled AS (
+  SELECT doc_id, ids, [{licences}] AS found, {chain} AS rest FROM listed
+)
+SELECT doc_id, coalesce(ids, '') AS sentence_ids,
+  coalesce(array_to_string([x FOR x, i IN found IF x IS NOT NULL AND list_position(found, x) = i], ','), '') AS licences,
+  coalesce(len([x FOR x IN string_split(rest, '|') IF x <> '' AND x <> '-']), 0) AS n_unused
+FROM documents LEFT JOIN ruled USING (doc_id)
+"""
+
+
+ORACLES = {
+    "op3_license_scan": _op3(),
+    "op4_url_filter": OP4,
+    "op5_line_dedup": OP5,
+    "op6_decontaminate": OP6,
+}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import table
 from plumbline.llm.decontaminate import find_leaks
 from plumbline.llm.fingerprint import fingerprints
+from plumbline.llm.licenses import scan_licences
 from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.ngram_join import similar_documents
 from plumbline.llm.sentencepiece import encode_texts
@@ -48,6 +49,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"])
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licences(docs).select(
+        "row.doc_id",
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licences"),
+        "n_unused",
+    )
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("row.page_id", "host", "path", "rule", "verdict")
@@ -85,6 +96,7 @@ QUERIES = {
     for f in (
         op1_sentencepiece,
         op2_token_counts,
+        op3_license_scan,
         op4_url_filter,
         op5_line_dedup,
         op6_decontaminate,
