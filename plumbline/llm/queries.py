@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm import langid, quality
 from plumbline.llm.common import table
 from plumbline.llm.decontaminate import find_leaks
 from plumbline.llm.fingerprint import fingerprints
@@ -83,6 +84,17 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "row.doc_id",
+        (~quality.learnable(F.col("row.doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -91,6 +103,14 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify_languages(docs, langid.learnable(F.col("doc_id")))
+    return found.select(
+        "row.doc_id", (~langid.learnable(F.col("row.doc_id"))).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,7 +120,9 @@ QUERIES = {
         op4_url_filter,
         op5_line_dedup,
         op6_decontaminate,
+        op7_quality,
         op8_fingerprints,
         op9_ngram_join,
+        op10_language_id,
     )
 }
