@@ -134,6 +134,18 @@ FINDING_TEXT = {
     "isolated": "[{table}] has no direct key relationship to other tables",
 }
 
+# --- wording of the findings and suggestions of configured rules --------------------
+RULE_TEXT = {
+    "missing_column": "[{id}] Required column [{column}] missing from [{table}]",
+    "unknown_values": "[{id}] [{column}] has {values} value(s) outside the allowed set, listed in [unknown_values]",
+    "value_range": "[{id}] [{column}] has {outside} value(s) outside [{min}, {max}]",
+}
+RULE_SUGGESTION = {
+    "missing_column": "Add [{column}] to [{table}], or take the rule out of the configuration.",
+    "unknown_values": "Extend the allowed set or correct the listed values of [{column}].",
+    "value_range": "Check the bounds of [{column}].",
+}
+
 # --- fixed values: names of the statistics of a finding ----------------------------
 FINDING_STATISTICS = {
     "empty_rows": {"Empty rows": "{fully_empty_rows}", "Total rows": "{row_count}"},

@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from plumbline import constants as K
 
 DAY_FIRST = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{4})([ T].*)?$"
+COMPACT = r"^\s*(\d{4})(\d{2})(\d{2})\s*$"
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+SPELLED = (
+    r"(?i)^\s*(\d{1,2})[ -](jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    r"sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)[ -](\d{4})([ T].*)?$"
+)
+SHORT_YEAR = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{2})\s*$"
+FIRST_TWO = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](?:\d{4}|\d{2})(?:[ T].*)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d{1,18}\s*$"
 YEAR_FIRST = r"^\s*(\d{4})[./-](\d{1,2})[./-](\d{1,2})([ T].*)?$"
 
@@ -29,13 +37,38 @@ def to_number(column: Column) -> Column:
     )
 
 
-def to_timestamp(column: Column) -> Column:
-    """Text to timestamp: ISO first, then day-first forms. Independent of the session zone."""
-    iso = F.regexp_replace(column, DAY_FIRST, "$3-$2-$1$4")
-    iso = F.regexp_replace(iso, YEAR_FIRST, "$1-$2-$3$4")
-    return F.when(
-        column.rlike(anywhere_stripped((DAY_FIRST, YEAR_FIRST))), iso.try_cast("timestamp_ntz")
+def to_timestamp(column: Column, month_first: bool = False) -> Column:
+    """Text to timestamp: ISO first, then day-first forms (month-first ones if the column holds
+    them), `20240105`, `05-Jan-2024` or `5 January 2024`, and years of two digits (69 to 99 are
+    of the last century). Independent of the session zone."""
+    short = F.regexp_replace(column, SHORT_YEAR, "$3")
+    century = F.when(short.try_cast("int") >= 69, "19").otherwise("20")
+    day, month = ("2", "1") if month_first else ("1", "2")
+    spelled = F.substring(F.lower(F.regexp_extract(column, SPELLED, 2)), 1, 3)
+    number = ((F.instr(F.lit(MONTHS), spelled) + 2) / 3).cast("int").cast("string")
+    branches = (
+        (DAY_FIRST, F.regexp_replace(column, DAY_FIRST, f"$3-${month}-${day}$4")),
+        (YEAR_FIRST, F.regexp_replace(column, YEAR_FIRST, "$1-$2-$3$4")),
+        (COMPACT, F.regexp_replace(column, COMPACT, "$1-$2-$3")),
+        (SPELLED, F.concat(F.regexp_extract(column, SPELLED, 3), F.lit("-"), number, F.lit("-"),
+                           F.regexp_extract(column, SPELLED, 1), F.regexp_extract(column, SPELLED, 4))),
+        (SHORT_YEAR, F.concat(century, F.regexp_replace(column, SHORT_YEAR, f"$3-${month}-${day}"))),
     )
+    iso = F.lit(None).cast("string")
+    for pattern, parts in reversed(branches):
+        iso = F.when(column.rlike(pattern), parts).otherwise(iso)
+    return F.trim(iso).try_cast("timestamp_ntz")
+
+
+def proves_month_first(column: Column) -> Column:
+    """The second of three numbers is no month, the first may be one."""
+    first, second = (F.regexp_extract(column, FIRST_TWO, k).try_cast("int") for k in (1, 2))
+    return (second > 12) & (first <= 12)
+
+
+def proves_day_first(column: Column) -> Column:
+    first = F.regexp_extract(column, FIRST_TWO, 1).try_cast("int")
+    return first > 12
 
 
 def looks_like_date(column: Column) -> Column:

@@ -13,7 +13,7 @@ from plumbline.functions.columns import literal, quoted
 from plumbline.operators import duplicates, relate, rules, snippets, temporal
 from plumbline.plans.profile import Profile, local
 from plumbline.schemas import FINDINGS
-from plumbline.session import together, union_all
+from plumbline.session import cut, together, union_all
 
 # fixed values: stages in which findings arise, in order
 TABLES, REFERENCES, COVERAGE, ISOLATION, RULES = range(5)
@@ -330,55 +330,49 @@ def isolated(relations: DataFrame, tables: DataFrame, columns: DataFrame) -> Dat
     )
 
 
-LISTED_VALUES = 100
-
+def business_rules(
+    profile: Profile, config: Mapping, unknown: DataFrame | None = None
+) -> DataFrame:
+    """Findings of the configured rules; one row per violated rule.
 
-def business_rules(profile: Profile, config: Mapping) -> DataFrame | None:
-    """Findings of the configured rules; one row per violated rule."""
+    A finding on allowed values gives the number of unknown values and the first few; all of
+    them are the rows of `unknown`, which is computed here if the run has not done so."""
     configured = list(config.get("business_rules", []))
     number = {id(r): i for i, r in enumerate(configured)}
     sizes = {t["table"]: t["row_count"] for t in profile.table_rows}
     found = []
 
-    def add(rule, check_id, severity, category, description, affected, suggestion, flag="", examples=()):
+    def add(rule, check_id, severity, category, name, affected, flag="", examples=(), **parts):
+        parts |= {"id": rule.get("id", "?"), "column": rule.get("column"), "table": rule["applies_to"]}
         found.append({
             "rule": number[id(rule)], "check_id": check_id, "severity": severity,
             "category": category, "table": rule["applies_to"], "column": rule.get("column"),
-            "description": description, "affected": affected, "examples": list(examples),
-            "suggestion": rule.get("note", suggestion), "flag": flag,
+            "description": K.RULE_TEXT[name].format(**parts), "affected": affected,
+            "examples": list(examples),
+            "suggestion": rule.get("note", K.RULE_SUGGESTION[name].format(**parts)), "flag": flag,
         })
 
     for rule in rules.missing_columns(profile.tables, configured):
-        add(rule, "CHK-09", "HIGH", "STRUCTURE",
-            f"[{rule.get('id', '?')}] Required column [{rule['column']}] missing from [{rule['applies_to']}]",
-            sizes[rule["applies_to"]],
-            f"Column [{rule['column']}] must exist in [{rule['applies_to']}].")
-    for rule in rules.allowed_value_rules(profile.tables, configured):
-        unknown = rules.unknown_values(
-            profile.tables[rule["applies_to"]], rule["column"], rule["values"]
+        add(rule, "CHK-09", "HIGH", "STRUCTURE", "missing_column", sizes[rule["applies_to"]])
+    if unknown is None and rules.allowed_value_rules(profile.tables, configured):
+        unknown = cut(rules.all_unknown_values(profile.tables, configured))
+    if unknown is not None:
+        totals = unknown.groupBy("rule").agg(
+            F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")
+        )
+        ranked = F.row_number().over(Window.partitionBy("rule").orderBy("value"))
+        first = (
+            unknown.withColumn("rank", ranked).where(f"rank <= {K.EXAMPLES}").groupBy("rule")
+            .agg(F.sort_array(F.collect_list("value")).alias("first"))
         )
-        total = unknown.agg(
-            F.count(F.lit(1)).alias("values"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
-        ).first()
-        if not total["values"]:
-            continue
-        # the text lists the first values; rules.unknown_values gives all of them as rows
-        first = [r["value"] for r in unknown.orderBy("value").limit(LISTED_VALUES).collect()]
-        more = total["values"] - len(first)
-        add(rule, "CHK-08", "LOW", "INTEGRITY",
-            f"[{rule.get('id', '?')}] [{rule['column']}] contains values outside allowed set: "
-            f"{first}" + (f" and {more} more" if more else ""),
-            total["rows"], f"Map unknown [{rule['column']}] values.", "UNKNOWN VALUE",
-            first[: K.EXAMPLES])
+        for r in totals.join(first, "rule").orderBy("rule").collect():  # one row per rule
+            add(configured[r["rule"]], "CHK-08", "LOW", "INTEGRITY", "unknown_values", r["rows"],
+                "UNKNOWN VALUE", r["first"], values=r["values"])
     by_id = {i: r for i, r in enumerate(configured)}
     for rule in rules.range_violations(profile.typed, [r | {"_n": i} for i, r in by_id.items()]):
         if rule["affected"]:
-            add(by_id[rule["_n"]], "X6", "LOW", "INTEGRITY",
-                f"[{rule.get('id', '?')}] [{rule['column']}] has {rule['affected']} value(s) outside "
-                f"[{rule.get('min')}, {rule.get('max')}]",
-                rule["affected"], f"Check the bounds of [{rule['column']}].")
-    if not found:
-        return None
+            add(by_id[rule["_n"]], "X6", "LOW", "INTEGRITY", "value_range", rule["affected"],
+                outside=rule["affected"], min=rule.get("min"), max=rule.get("max"))
     rows = local(
         profile.spark, found,
         "rule int, check_id string, severity string, category string, table string, "
@@ -453,14 +447,14 @@ def _snippets(profile: Profile, rows: list[dict]) -> dict[int, list]:
 
 def all_findings(
     profile: Profile, config: Mapping | None = None, with_snippets: bool = True,
-    with_additions: bool = False,
+    with_additions: bool = False, unknown: DataFrame | None = None,
 ) -> DataFrame:
     """Every finding in order: issues before observations, by severity, then as they arise.
 
     The result has at most a few rows per column, so ordering it in one task is fine."""
     configured, _ = together(
         profile.spark,
-        lambda: business_rules(profile, config or {}),
+        lambda: business_rules(profile, config or {}, unknown),
         lambda: profile.relationships,
     )
     parts = [check(profile.table_profile) for check in TABLE_CHECKS]
@@ -472,8 +466,7 @@ def all_findings(
         coverage(profile.columns),
         isolated(profile.relationships, profile.table_profile, profile.columns),
     ]
-    if configured is not None:
-        parts.append(configured)
+    parts.append(configured)
     rank = F.expr("CASE severity WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'LOW' THEN 2 ELSE 3 END")
     order = Window.partitionBy(F.lit(1)).orderBy("is_observation", rank, "stage", "place", "step")
     numbered = union_all(parts).withColumn("ordinal", F.row_number().over(order))

@@ -6,10 +6,14 @@ import logging
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from plumbline import constants as K
 from plumbline.functions.columns import STRING, kinds, literal, normalise, quoted, ref
-from plumbline.functions.parsing import INTEGER_PATTERN, anywhere_stripped, to_timestamp
+from plumbline.functions.parsing import (
+    INTEGER_PATTERN, anywhere_stripped, proves_day_first, proves_month_first, to_timestamp,
+)
 
 log = logging.getLogger(__name__)
 
@@ -18,6 +22,10 @@ class NoTables(ValueError):
     """No source of the configuration could be loaded."""
 
 
+class MalformedSource(ValueError):
+    """A delimited file whose records do not fit its header."""
+
+
 def clean_header(name: str) -> str:
     return name.strip().lstrip("﻿")
 
@@ -43,12 +51,34 @@ def missing_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """A delimited file with a header; all columns are text, missing tokens are null."""
-    df = spark.read.csv(
-        path, header=True, sep=delimiter, inferSchema=False, multiLine=False, escape='"'
-    )
-    return missing_to_null(df.toDF(*[clean_header(c) for c in df.columns]))
+SURPLUS = "__surplus__"
+
+
+def _has_open_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether a line holds an odd number of quotes: a value may go on in the next line."""
+    quotes = "length(value) - length(replace(value, '\"', ''))"
+    return not spark.read.text(path).where(f"({quotes}) % 2 = 1").limit(1).isEmpty()
+
+
+def read_csv(
+    spark: SparkSession, path: str, delimiter: str = ",", multiline: bool | None = None
+) -> DataFrame:
+    """A delimited file with a header; all columns are text, missing tokens are null.
+
+    Files in which a quoted value spans lines are read whole by one task each; `multiline` says
+    so, or else the quotes of all lines are counted first. A record with more fields than the
+    header is an error, not cut; one with fewer has nulls."""
+    if multiline is None:
+        multiline = _has_open_quotes(spark, path)
+    reader = spark.read.options(header=True, sep=delimiter, multiLine=multiline, escape='"')
+    names = reader.csv(path).columns
+    fields = [StructField(c, StringType()) for c in [*names, SURPLUS]]
+    # the header is one field short of this schema, which is no mistake
+    df = reader.option("enforceSchema", True).schema(StructType(fields)).csv(path)
+    surplus = df.where(f"{SURPLUS} IS NOT NULL").count()
+    if surplus:
+        raise MalformedSource(f"{path}: {surplus} record(s) have more fields than the header")
+    return missing_to_null(df.drop(SURPLUS).toDF(*[clean_header(c) for c in names]))
 
 
 def settle_types(df: DataFrame) -> DataFrame:
@@ -87,12 +117,32 @@ def settle_types(df: DataFrame) -> DataFrame:
 
 
 def coerce_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Declared date columns, day first; what does not parse becomes null."""
+    """Declared date columns; what does not parse becomes null and is counted in a warning.
+
+    Dates are day first, unless a column holds numbers that only fit month first (`12/25/2022`)
+    and none that only fit day first: then all of the column is read month first."""
     column_kinds = kinds(df)
-    for c in columns:
-        if column_kinds.get(c) == STRING:
-            df = df.withColumn(c, to_timestamp(ref(c)))
-    return df
+    text = [c for c in dict.fromkeys(columns) if column_kinds.get(c) == STRING]
+    if not text:
+        return df
+    proofs = df.agg(
+        *[
+            F.count_if(test(ref(c))).alias(f"{name}{i}")
+            for i, c in enumerate(text)
+            for name, test in (("month", proves_month_first), ("day", proves_day_first))
+        ]
+    ).first()
+    parsed = {
+        c: to_timestamp(ref(c), month_first=proofs[f"month{i}"] > 0 and proofs[f"day{i}"] == 0)
+        for i, c in enumerate(text)
+    }
+    lost = df.agg(
+        *[F.count_if(ref(c).isNotNull() & parsed[c].isNull()).alias(f"lost{i}") for i, c in enumerate(text)]
+    ).first()
+    for i, c in enumerate(text):
+        if lost[f"lost{i}"]:
+            log.warning("%d value(s) of date column %r do not parse", lost[f"lost{i}"], c)
+    return df.withColumns(parsed)
 
 
 def load_tables(
@@ -110,7 +160,7 @@ def load_tables(
             log.warning("file not found: %s: skipping %r", path, name)
             continue
         if kind == "csv":
-            df = read_csv(spark, path, source.get("delimiter", ","))
+            df = read_csv(spark, path, source.get("delimiter", ","), source.get("multiline"))
             df = coerce_dates(df, source.get("date_columns", []))
             df = settle_types(df) if typed else df
         else:

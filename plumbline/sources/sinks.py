@@ -12,21 +12,38 @@ from plumbline.functions.columns import columns_of_kind, ref
 FORMATS = ("csv", "parquet")
 
 
+NESTED = ("array", "map", "struct")
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, the only form that a delimited file can hold."""
+    return df.select(
+        *[
+            F.to_json(ref(f.name)).alias(f.name) if f.dataType.typeName() in NESTED else ref(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 def write_cleaned(
     cleaned: Mapping[str, DataFrame], sources: Mapping[str, Mapping], folder: str
 ) -> list[str]:
-    """One output per source, in the format of the source, written in parallel part files."""
+    """One output per source, in the format of the source, written in parallel part files.
+
+    Spaces around values and line breaks in them survive; a null and an empty text are one."""
     paths = []
     for name, source in sources.items():
         if name not in cleaned:
             continue
         kind = source["type"] if source["type"] in FORMATS else "parquet"
         path = f"{folder}/cleaned_{name}"
-        writer = cleaned[name].write.mode("overwrite")
         if kind == "csv":
-            writer.csv(path, header=True, sep=source.get("delimiter", ","), escape='"')
+            _flat(cleaned[name]).write.mode("overwrite").csv(
+                path, header=True, sep=source.get("delimiter", ","), escape='"',
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            )
         else:
-            writer.parquet(path)
+            cleaned[name].write.mode("overwrite").parquet(path)
         paths.append(path)
     return paths
 

@@ -480,10 +480,10 @@ def rule_values(index: int, rule: dict) -> str:
     return (
         f"SELECT 4 AS stage, {index} AS o0, 0 AS o1, 0 AS o2, 0 AS o3, 0 AS step, "
         f"'CHK-08' AS check_id, 'LOW' AS severity, 'INTEGRITY' AS category, '{name}' AS tab, "
-        f"'{c}' AS col, '[{rule['id']}] [{c}] contains values outside allowed set: [' || "
-        f"string_agg('''' || v || '''', ', ' ORDER BY v) || ']' AS description, "
+        f"'{c}' AS col, '[{rule['id']}] [{c}] has ' || count(*) || ' value(s) outside the allowed "
+        f"set, listed in [unknown_values]' AS description, "
         f"CAST(sum(n) AS BIGINT) AS affected, false AS is_observation, "
-        f"string_agg(v, '|' ORDER BY v) AS examples "
+        f"array_to_string(list_slice(list(v ORDER BY v), 1, 5), '|') AS examples "
         f"FROM (SELECT \"{c}\" AS v, count(*) AS n FROM {name} WHERE \"{c}\" IS NOT NULL "
         f"AND \"{c}\" NOT IN ({allowed}) GROUP BY 1) HAVING count(*) > 0"
     )

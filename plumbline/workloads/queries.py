@@ -311,6 +311,11 @@ PRESENT_RULE = {
     "id": "BR-003", "applies_to": "products", "validator": "column_exists",
     "column": "product-type",
 }
+NAME_RULE = {
+    "id": "BR-005", "applies_to": "customer", "validator": "allowed_values",
+    "column": "c_name", "values": ["no such customer"],
+}
+SEGMENT_RULE = NAME_RULE | {"id": "BR-006", "column": "c_mktsegment", "values": ["BUILDING", "MACHINERY"]}
 RANGE_RULE = {
     "id": "BR-004", "applies_to": "products", "validator": "value_range",
     "column": "loan-property-value-ratio", "min": 0.5, "max": 10,
@@ -318,13 +323,36 @@ RANGE_RULE = {
 
 
 def _rules(spark, folder, *configured):
-    found = profile(tables(spark, folder, ["products"]), stages=("distinct",))
+    names = list(dict.fromkeys(rule["applies_to"] for rule in configured))
+    found = profile(tables(spark, folder, names), stages=("distinct",))
     return shown(checks.business_rules(found, {"business_rules": list(configured)}))
 
 
-@query(O.check(["products"], O.rule_values(0, TYPE_RULE)))
+@query(
+    O.check(
+        ["products", "customer"],
+        " UNION ALL ".join(
+            O.rule_values(i, r) for i, r in enumerate([TYPE_RULE, NAME_RULE, SEGMENT_RULE])
+        ),
+    )
+)
 def check_allowed_values(spark, folder):
-    return _rules(spark, folder, TYPE_RULE)
+    return _rules(spark, folder, TYPE_RULE, NAME_RULE, SEGMENT_RULE)
+
+
+@query(
+    O.with_clause(["products", "customer"])
+    + " UNION ALL ".join(
+        f"""SELECT {i} AS rule, '{r['id']}' AS rule_id, '{r['applies_to']}' AS "table",
+      '{r['column']}' AS "column", "{r['column']}" AS value, count(*) AS n FROM {r['applies_to']}
+      WHERE "{r['column']}" NOT IN ({", ".join(f"'{v}'" for v in r['values'])}) GROUP BY 5"""
+        for i, r in enumerate([TYPE_RULE, NAME_RULE, SEGMENT_RULE])
+    )
+)
+def rule_all_unknown_values(spark, folder):
+    """Every unknown value of every rule, the customer names among them."""
+    given = tables(spark, folder, ["products", "customer"])
+    return rules.all_unknown_values(given, [TYPE_RULE, NAME_RULE, SEGMENT_RULE])
 
 
 @query(O.check(["products"], O.rule_column(0, COLUMN_RULE)))
@@ -378,6 +406,26 @@ def src_date_coerce(spark, folder):
     )
 
 
+@query(
+    """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS mixed,
+      CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS american FROM orders"""
+)
+def src_date_forms(spark, folder):
+    """Order dates written in seven forms by formula and parsed back; the second column is month
+    first throughout, which its days above 12 prove."""
+    forms = (
+        "yyyyMMdd", "dd-MMM-yyyy", "d MMMM yyyy", "dd/MM/yy", "d.M.yyyy", "yyyy/M/d", "yyyy-MM-dd",
+    )
+    chosen = F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        written = F.date_format("o_orderdate", form)
+        chosen = F.when(F.col("o_orderkey") % len(forms) == k, written).otherwise(chosen)
+    texts = table(spark, folder, "orders").select(
+        "o_orderkey", chosen.alias("mixed"), F.date_format("o_orderdate", "MM/dd/yyyy").alias("american")
+    )
+    return catalog.coerce_dates(texts, ["mixed", "american"])
+
+
 SPREAD = ["events", "documents", "dirty_lineitem", "dirty_orders", "products"]
 
 
@@ -1069,6 +1117,39 @@ def sink_cleaned(spark, folder):
     return spark.read.parquet(f"{path}/cleaned_fx")
 
 
+# text with quotes, delimiters, line breaks and spaces at both ends; the same formula on both sides
+HARD_TEXT = (
+    "concat('  ', text, ' ', CASE key % 4 WHEN 0 THEN concat('say \"', key, '\"; ') "
+    "WHEN 1 THEN concat(key, chr(10), ' next; \"line\"', chr(10)) WHEN 2 THEN ';;\"' ELSE ', ' END, ' ')"
+)
+
+
+@query(
+    f"""SELECT 'documents' AS source, CAST(doc_id AS BIGINT) AS key,
+      {HARD_TEXT.replace('key', 'doc_id')} AS text FROM documents
+    UNION ALL SELECT 'conversations', CAST(conv_id * 1000 + turn AS BIGINT),
+      {HARD_TEXT.replace('key', 'turn')} FROM conversations"""
+)
+def sink_cleaned_text(spark, folder):
+    """Whole texts, made harder by formula, written as delimited files and loaded back."""
+    path = scratch(spark)
+    docs = table(spark, folder, "documents").selectExpr(
+        "doc_id AS key", f"{HARD_TEXT.replace('key', 'doc_id')} AS text"
+    )
+    turns = table(spark, folder, "conversations").selectExpr(
+        "conv_id * 1000 + turn AS key", f"{HARD_TEXT.replace('key', 'turn')} AS text"
+    )
+    sources = {n: {"type": "csv", "file": n, "delimiter": ";"} for n in ("documents", "conversations")}
+    sinks.write_cleaned({"documents": docs, "conversations": turns}, sources, path)
+    config = {
+        "sources": {n: c | {"file": f"{path}/cleaned_{n}"} for n, c in sources.items()}
+    }
+    loaded = catalog.load_tables(spark, config)
+    return union_all(
+        [df.select(F.lit(n).alias("source"), "key", "text") for n, df in loaded.items()]
+    )
+
+
 @query(
     O.with_clause(
         ["dirty_orders"], *O.related(["dirty_orders"]), O.table_counts(["dirty_orders"]),
