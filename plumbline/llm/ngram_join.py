@@ -21,6 +21,8 @@ PROBE = 0.3
 LISTS = 3
 #: Documents of one side of a comparison of two blocks.
 BLOCK = 256
+#: Rows of two numbers that may be broadcast.
+SENT = 200_000
 #: Ranges of the shingle hash that the suffix filter counts, and columns of one matrix product.
 RANGES = 16
 COLUMNS = 8192
@@ -256,7 +258,9 @@ def similar_documents(
     sets = written(rows.mapInArrow(_digests(size), f"id {id_type}, n long, c long, d long"))
     classes = written(_classes(sets))
     maybe = written(_candidates(rows, classes, size, percent))
-    wanted = rows.join(maybe.select(F.col("rep").alias("id"), F.col("c").alias("wanted")), "id")
+    named = maybe.select(F.col("rep").alias("id"), F.col("c").alias("wanted"))
+    # two numbers a row: a few MB at most are sent to the texts, else the texts are shuffled
+    wanted = rows.join(F.broadcast(named) if maybe.count() <= SENT else named, "id")
     held = written(
         wanted.select("text", "wanted")
         .mapInArrow(_sets(size), "c long, n long, hashes array<long>")
