@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline import constants as K
 from plumbline.functions.columns import comparable, quoted, ref
+from plumbline.operators.skew import lookup
 from plumbline.session import cut
 
 BROADCAST_ROWS = 1_000_000
@@ -35,12 +36,14 @@ def duplicate_groups(df: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("row_hash")
     )
+    rows = df
     if candidates.count() <= BROADCAST_ROWS:  # at most 8 MB of hashes
-        candidates = F.broadcast(candidates)
+        rows = df.withColumn("row_hash", _row_hash(df)).join(
+            F.broadcast(candidates), "row_hash", "left_semi"
+        )
+    # else so many rows repeat that all are grouped; no row is shuffled before its copies met
     return (
-        df.withColumn("row_hash", _row_hash(df))
-        .join(candidates, "row_hash", "left_semi")
-        .groupBy(*[comparable(df, c).alias(c) for c in df.columns])
+        rows.groupBy(*[comparable(df, c).alias(c) for c in df.columns])
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
@@ -85,8 +88,8 @@ def flag_duplicates(df: DataFrame, keys: list[str], version: str) -> DataFrame:
     )
     # single rows need no partner: only repeated keys are joined back
     repeated = latest.where("copies > 1")
-    same_key = [ref(c).eqNullSafe(F.col(f"key_{i}")) for i, c in enumerate(keys)]
-    return df.join(repeated, same_key, "left").select(
+    pairs = [(c, f"key_{i}") for i, c in enumerate(keys)]
+    return lookup(df, repeated, pairs, null_safe=True).select(
         *[ref(c) for c in df.columns],
         F.col("copies").isNotNull().alias("is-duplicate"),
         F.when(

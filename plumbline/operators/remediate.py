@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import parsing as P
 from plumbline.functions.columns import STRING, kinds, ref
 from plumbline.operators.ordered import forward_fill
+from plumbline.operators.skew import lookup
 
 
 def outlier_flag(df: DataFrame, column: str, low: float, high: float):
@@ -48,12 +49,10 @@ def _reference_keys(reference: DataFrame, keys: list[str]) -> DataFrame:
 def mark_mapped(
     df: DataFrame, reference: DataFrame, keys: list[str], flag: str = "is-mapped"
 ) -> DataFrame:
-    """All rows with a flag that tells whether the key exists in the reference table.
-
-    The side to broadcast, if any, is left to Spark, which checks its size."""
+    """All rows with a flag that tells whether the key exists in the reference table."""
     known = _reference_keys(reference, keys).withColumn("known", F.lit(True))
-    same = [ref(c) == F.col(f"key_{i}") for i, c in enumerate(keys)]
-    return df.join(known, same, "left").select(
+    joined = lookup(df, known, [(c, f"key_{i}") for i, c in enumerate(keys)])
+    return joined.select(
         *[ref(c) for c in df.columns], F.coalesce("known", F.lit(False)).alias(flag)
     )
 
@@ -62,9 +61,9 @@ def split_mapped(
     df: DataFrame, reference: DataFrame, keys: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose key exists in the reference table, and the rows to log separately."""
-    known = _reference_keys(reference, keys)
-    same = [ref(c) == F.col(f"key_{i}") for i, c in enumerate(keys)]
-    return df.join(known, same, "left_semi"), df.join(known, same, "left_anti")
+    flag = "__mapped__"
+    marked = mark_mapped(df, reference, keys, flag)
+    return marked.where(ref(flag)).drop(flag), marked.where(~ref(flag)).drop(flag)
 
 
 def mark_reference_data(
@@ -76,30 +75,54 @@ def mark_reference_data(
     known = reference.groupBy(ref(reference_key).alias("reference_key")).agg(
         F.max(ref(value)).alias("reference_value")
     )
-    return df.join(known, ref(key) == F.col("reference_key"), "left").select(
+    return lookup(df, known.where("reference_key IS NOT NULL"), [(key, "reference_key")]).select(
         *[ref(c) for c in df.columns],
         F.col("reference_value").alias(value),
         F.col("reference_value").isNotNull().alias("has-reference-data"),
     )
 
 
+def clean_table(df: DataFrame, columns: list, fill: bool = True) -> DataFrame:
+    """Numeric nulls filled along the first date column, outliers flagged with the fences of the
+    raw data; `columns` are the profile rows of the table."""
+    dates = [r["column"] for r in columns if r["inferred_type"] == "date"]
+    numeric = [r for r in columns if r["inferred_type"] == "numeric"]
+    gaps = [r["column"] for r in numeric if r["null_count"] > 0]
+    if fill and gaps and dates:
+        df = fill_numeric_gaps(df, gaps, dates[0])
+    fences = {
+        r["column"]: (r["outlier_fence_lo"], r["outlier_fence_hi"])
+        for r in numeric
+        if r["outlier_count"] > 0
+    }
+    return flag_outliers(df, fences) if fences else df
+
+
+class Cleaned(Mapping):
+    """The remediated tables by name. A table is built when it is first asked for: filling one
+    starts jobs, which a run that only wants findings does not need."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], profile_rows: list, fill: bool = True) -> None:
+        self._tables, self._rows, self._fill = tables, profile_rows, fill
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            columns = [r for r in self._rows if r["table"] == name]
+            self._built[name] = clean_table(self._tables[name], columns, self._fill)
+        return self._built[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._tables
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
 def remediate(
     tables: Mapping[str, DataFrame], profile_rows: list, fill: bool = True
-) -> dict[str, DataFrame]:
-    """Cleaned tables: numeric nulls filled along the first date column, outliers flagged with
-    the fences of the raw data."""
-    cleaned = {}
-    for name, df in tables.items():
-        columns = [r for r in profile_rows if r["table"] == name]
-        dates = [r["column"] for r in columns if r["inferred_type"] == "date"]
-        numeric = [r for r in columns if r["inferred_type"] == "numeric"]
-        gaps = [r["column"] for r in numeric if r["null_count"] > 0]
-        if fill and gaps and dates:
-            df = fill_numeric_gaps(df, gaps, dates[0])
-        fences = {
-            r["column"]: (r["outlier_fence_lo"], r["outlier_fence_hi"])
-            for r in numeric
-            if r["outlier_count"] > 0
-        }
-        cleaned[name] = flag_outliers(df, fences) if fences else df
-    return cleaned
+) -> Mapping[str, DataFrame]:
+    return Cleaned(tables, profile_rows, fill)

@@ -33,6 +33,12 @@ def export(
         "checks_inventory": run.inventory,
         "relationships": run.relationships,
         "drift": run.drift,
+        "unknown_values": run.unknown_values,
+        "summary": run.summary,
+        "overview": run.overview,
+        "to_remediate": run.to_remediate,
+        "table_profile": run.table_profile,
+        "column_profile": run.column_profile,
     }.items():
         sinks.write_table(df, f"{folder}/{name}")
         paths.append(f"{folder}/{name}")

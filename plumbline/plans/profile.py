@@ -277,14 +277,29 @@ def profile(
         "samples": lambda: _samples(tables, rows),
         "duplicates": lambda: _duplicates(tables, rows),
     }
+    # a column without nulls proves that no row is empty; only the other tables are read again
+    known = {}
+    for r in rows:
+        if r["null_count"] == 0:
+            known[r["table"]] = {
+                "table": r["table"], "table_position": position[r["table"]],
+                "row_count": r["row_count"], "col_count": len(tables[r["table"]].columns),
+                "columns": tables[r["table"]].columns, "fully_empty_rows": 0,
+            }
+    others = {name: df for name, df in tables.items() if name not in known and df.columns}
+
+    def count_rows() -> list[dict]:
+        counted = facts.table_sizes(others).collect() if others else []
+        return [*known.values(), *(r.asDict() | {"table_position": position[r["table"]]} for r in counted)]
+
     # every stage fills fields of its own
     chosen = {name: task for name, task in work.items() if name in stages}
     sizes, *done = together(
-        spark, lambda: facts.table_sizes(tables).collect(), *chosen.values()
+        spark, count_rows, *chosen.values()
     )
     results = dict(zip(chosen, done))
     copies, groups = results.get("duplicates", ({}, {}))
-    table_rows = sorted((r.asDict() for r in sizes), key=lambda r: r["table_position"])
+    table_rows = sorted(sizes, key=lambda r: r["table_position"])
     for t in table_rows:
         t["duplicate_rows"] = copies.get(t["table"], 0)
         key = next((r for r in rows if r["table"] == t["table"] and r["is_likely_pk"]), None)

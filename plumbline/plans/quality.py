@@ -8,10 +8,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from plumbline.operators import drift, remediate
+from plumbline.operators import drift, remediate, rules
 from plumbline.plans import results
 from plumbline.plans.checks import all_findings
 from plumbline.plans.profile import Profile, profile
+from plumbline.session import cut
 
 
 @dataclass
@@ -20,7 +21,8 @@ class Results:
     findings: DataFrame
     drift: DataFrame
     suggestions: DataFrame
-    cleaned: dict[str, DataFrame]
+    cleaned: Mapping[str, DataFrame]
+    unknown_values: DataFrame
 
     @property
     def column_profile(self) -> DataFrame:
@@ -50,6 +52,19 @@ class Results:
     def checklist(self) -> DataFrame:
         return results.checklist(self.findings, self.suggestions)
 
+    @property
+    def overview(self) -> DataFrame:
+        return results.overview(self.findings)
+
+    @property
+    def to_remediate(self) -> DataFrame:
+        return results.to_remediate(self.findings)
+
+    @property
+    def summary(self) -> DataFrame:
+        """Rows and columns of every table, findings by severity, observations and drift events."""
+        return results.run_summary(self.table_profile, self.findings, self.drift)
+
     @property
     def inventory(self) -> DataFrame:
         return results.checks_inventory(self.profile.spark, self.findings, self.drift)
@@ -68,7 +83,11 @@ def run_quality(
     config = config or {}
     as_of = as_of or datetime.now().isoformat(sep=" ", timespec="seconds")
     found = profile(tables, as_of, config.get("primary_keys"))
-    findings = all_findings(found, config, with_snippets, with_additions)
+    configured = list(config.get("business_rules", []))
+    unknown = rules.all_unknown_values(found.tables, configured)
+    if rules.allowed_value_rules(found.tables, configured):
+        unknown = cut(unknown)
+    findings = all_findings(found, config, with_snippets, with_additions, unknown)
     expected = config.get("expected_schema", drift.K.EXPECTED_SCHEMA)
     events = drift.schema_drift(found.spark, drift.schema_of(found.tables), expected)
     return Results(
@@ -77,4 +96,5 @@ def run_quality(
         drift=events,
         suggestions=results.suggestions(findings),
         cleaned=remediate.remediate(found.tables, found.rows),
+        unknown_values=unknown,
     )

@@ -32,6 +32,22 @@ def severity_counts(findings: DataFrame, drift: DataFrame | None = None) -> Data
     return counts.select("*", one).join(events, "one").drop("one")
 
 
+def run_summary(table_profile: DataFrame, findings: DataFrame, drift: DataFrame) -> DataFrame:
+    """What a run has seen, one number per row: rows and columns of each table, issues by severity,
+    observations, findings to remediate and drift events."""
+    sizes = table_profile.selectExpr(
+        "'table' AS section", "`table` AS name",
+        "stack(2, 'rows', CAST(row_count AS BIGINT), 'columns', CAST(col_count AS BIGINT)) AS (measure, value)",
+    )
+    counts = severity_counts(findings, drift)
+    cells = ", ".join(f"'{c}', CAST(`{c}` AS BIGINT)" for c in counts.columns)
+    totals = counts.selectExpr(
+        "'findings' AS section", "'all' AS name",
+        f"stack({len(counts.columns)}, {cells}) AS (measure, value)",
+    )
+    return sizes.unionByName(totals)
+
+
 def to_remediate(findings: DataFrame) -> DataFrame:
     """The issues that call for a remediation, with what to do."""
     return findings.where("NOT is_observation AND severity IN ('HIGH', 'MEDIUM')").select(

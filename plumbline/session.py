@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -57,6 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="plumbline-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return named
 

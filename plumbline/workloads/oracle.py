@@ -176,7 +176,23 @@ fences AS (
 """
 
 
-def outlier_counts(names: Iterable[str]) -> str:
+def quartiles(names: Iterable[str]) -> str:
+    """CTE p of columns that are numbers by type, with just what outliers need."""
+    parts = [
+        f"SELECT '{name}' AS tab, '{c}' AS col, {tpos} AS tpos, {pos} AS pos, 'numeric' AS typ, "
+        f"count(*) AS row_count, round(quantile_cont({number(c, N)}, 0.25), 6) AS q1, "
+        f"round(quantile_cont({number(c, N)}, 0.75), 6) AS q3 FROM {name}"
+        for tpos, name in enumerate(names)
+        for pos, (c, kind) in enumerate(COLUMNS[name])
+        if kind == N
+    ]
+    return (
+        f"quarts AS ({' UNION ALL '.join(parts)}), p AS (SELECT *, round(q3 - q1, 6) AS iqr, "
+        "regexp_matches(lower(col), 'quantity|qty|volume|units') AS flow FROM quarts)"
+    )
+
+
+def outlier_counts(names: Iterable[str], of_kinds: tuple = ()) -> str:
     """CTE outl: values outside the fences per numeric column."""
     parts = [
         f"SELECT f.tab, f.col, any_value(f.lo) AS lo, any_value(f.hi) AS hi, "
@@ -184,7 +200,7 @@ def outlier_counts(names: Iterable[str]) -> str:
         f"FROM {name} JOIN fences f ON f.tab = '{name}' AND f.col = '{c}' GROUP BY ALL"
         for name in names
         for c, kind in COLUMNS[name]
-        if kind in (N, S)
+        if kind in (of_kinds or (N, S))
     ]
     return "outl AS (" + "\n UNION ALL ".join(parts) + ")"
 

@@ -430,7 +430,9 @@ SPREAD = ["events", "documents", "dirty_lineitem", "dirty_orders", "products"]
 
 
 @query(
-    O.check(SPREAD, O.outliers(), *O.profiled(SPREAD), O.FENCED.strip(), O.outlier_counts(SPREAD))
+    O.check(
+        SPREAD, O.outliers(), O.quartiles(SPREAD), O.FENCED.strip(), O.outlier_counts(SPREAD, (O.N,))
+    )
 )
 def check_iqr_outliers(spark, folder):
     return shown(checks.outliers(profile(tables(spark, folder, SPREAD), stages=("quartiles",)).columns))

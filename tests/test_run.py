@@ -151,7 +151,7 @@ def test_export(spark, run, tmp_path):
         "trades": {"type": "csv", "file": "in/trades.csv"}, "customers": {"type": "parquet", "file": "in/customers"},
     }}
     paths, before = export(run, config, str(tmp_path), "run-1")
-    assert before.count() == 0 and len(paths) == 10
+    assert before.count() == 0 and len(paths) == 16
     _, before = export(run, config, str(tmp_path), "run-2")
     assert before.first()["files"] == ["customers", "trades.csv"]
     assert spark.read.parquet(str(tmp_path / "cleaned_customers")).count() == 10
