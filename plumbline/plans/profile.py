@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegralType
 
 from plumbline import constants as K
 from plumbline.functions.columns import normalise, quoted
@@ -222,14 +223,16 @@ def profile(
     declared_keys: Mapping[str, str] | None = None,
     stages: Iterable[str] = STAGES,
     sorted_rows: int | None = None,
+    integer_keys: bool = False,
 ) -> Profile:
     """Profile every column and table; `as_of` is the moment after which dates are future.
 
     Counts and types are always taken; each stage can be left out. Without the distinct counts
-    of all columns no keys are inferred."""
+    of all columns no keys are inferred. With `integer_keys`, whole numbers in columns named like a
+    key are ids: they take part in relationships and are not measured."""
     stages = set(stages)
     slots = ("string", "timestamp_ntz") if "gaps" in stages else ("string",)
-    slots = distinct.SLOTS if "distinct" in stages else slots
+    slots = distinct.SLOTS if "distinct" in stages or integer_keys else slots
     tables = {name: normalise(df) for name, df in tables.items()}
     spark = next(iter(tables.values())).sparkSession
     position = {name: i for i, name in enumerate(tables)}
@@ -240,6 +243,9 @@ def profile(
     rows.sort(key=lambda r: (position[r["table"]], r["position"]))
     for r in rows:
         r["table_position"] = position[r["table"]]
+        whole = isinstance(tables[r["table"]].schema[r["column"]].dataType, IntegralType)
+        if integer_keys and whole and any(w in r["column"].lower() for w in K.FOREIGN_KEY_NAMES):
+            r["inferred_type"] = "id"
         _text_kinds(r)
     types: dict[str, dict[str, str]] = {}
     for r in rows:

@@ -76,13 +76,15 @@ def run_quality(
     as_of: str | None = None,
     with_snippets: bool = True,
     with_additions: bool = False,
+    integer_keys: bool = False,
 ) -> Results:
     """Run everything; dates after `as_of`, by default now, are future dates.
 
+    `integer_keys` lets whole numbers named like keys take part in relationships.
     Configuration: business_rules, expected_schema, primary_keys (all optional)."""
     config = config or {}
     as_of = as_of or datetime.now().isoformat(sep=" ", timespec="seconds")
-    found = profile(tables, as_of, config.get("primary_keys"))
+    found = profile(tables, as_of, config.get("primary_keys"), integer_keys=integer_keys)
     configured = list(config.get("business_rules", []))
     unknown = rules.all_unknown_values(found.tables, configured)
     if rules.allowed_value_rules(found.tables, configured):

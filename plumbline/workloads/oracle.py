@@ -255,14 +255,14 @@ def table_counts(names: Iterable[str], duplicates: bool = False) -> str:
     return "t AS (" + "\n UNION ALL ".join(parts) + ")"
 
 
-def histogram(names: Iterable[str]) -> str:
+def histogram(names: Iterable[str], integer_keys: bool = False) -> str:
     """CTE hist: value counts of the key and category columns."""
     parts = [
-        f"SELECT '{name}' AS tab, '{c}' AS col, \"{c}\" AS value, count(*) AS n "
+        f"SELECT '{name}' AS tab, '{c}' AS col, CAST(\"{c}\" AS VARCHAR) AS value, count(*) AS n "
         f"FROM {name} WHERE \"{c}\" IS NOT NULL GROUP BY \"{c}\""
         for name in names
         for c, kind in COLUMNS[name]
-        if kind == S
+        if kind == S or integer_keys and kind == N and any(w in c for w in ("id", "key"))
     ]
     return "allhist AS (" + "\n UNION ALL ".join(parts) + """),
 hist AS (SELECT h.* FROM allhist h JOIN p USING (tab, col) WHERE p.typ IN ('id', 'categorical'))"""
@@ -555,5 +555,12 @@ def profiled(names: list[str]) -> tuple[str, ...]:
     return (raw_columns(names), TYPED.strip())
 
 
-def related(names: list[str]) -> tuple[str, ...]:
-    return (*profiled(names), histogram(names), RELATED.strip())
+def related(names: list[str], integer_keys: bool = False) -> tuple[str, ...]:
+    raw, typed = profiled(names)
+    if integer_keys:  # of the given tables, only whole numbers have such names
+        typed = typed.replace(
+            "CASE WHEN kind IN ('date', 'numeric') THEN kind",
+            "CASE WHEN kind = 'numeric' AND regexp_matches(lower(col), 'id|key') THEN 'id'\n"
+            "         WHEN kind IN ('date', 'numeric') THEN kind",
+        )
+    return (raw, typed, histogram(names, integer_keys), RELATED.strip())

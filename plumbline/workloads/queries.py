@@ -249,6 +249,21 @@ def discover_relationships(spark, folder):
     return found.relationships.select(*RELATION_FIELDS.split(", "))
 
 
+RAW = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+@query(
+    O.with_clause(RAW, *O.related(RAW, integer_keys=True))
+    + """SELECT ft AS from_table, fc AS from_column, tt AS to_table, tc AS to_column, confidence,
+      round_even(pct, 1) AS match_pct, reason, orphan_values,
+      CAST(orphan_rows AS BIGINT) AS orphan_rows FROM rel"""
+)
+def discover_relationships_integer(spark, folder):
+    """The given tables as they are: whole numbers named like keys take part."""
+    found = profile(tables(spark, folder, RAW), stages=(), integer_keys=True)
+    return found.relationships.select(*RELATION_FIELDS.split(", "))
+
+
 # ---- checks -------------------------------------------------------------------------
 
 
@@ -756,6 +771,34 @@ def findings_overview(spark, folder):
     return results.overview(_findings(spark, folder)[1]).drop("suggestion")
 
 
+@query(
+    FOUND + """SELECT CAST(ordinal AS INTEGER) AS ordinal, severity, tab AS "table", col AS "column"
+      FROM found WHERE NOT is_observation AND severity IN ('HIGH', 'MEDIUM')"""
+)
+def findings_to_remediate(spark, folder):
+    return results.to_remediate(_findings(spark, folder)[1]).drop("suggestion")
+
+
+@query(
+    FOUND + """, sizes AS (SELECT tab, row_count, col_count FROM t)
+    SELECT 'table' AS section, tab AS name, 'rows' AS measure, CAST(row_count AS BIGINT) AS value FROM sizes
+    UNION ALL SELECT 'table', tab, 'columns', CAST(col_count AS BIGINT) FROM sizes
+    UNION ALL SELECT 'findings', 'all', 'high', count(*) FROM found WHERE NOT is_observation AND severity = 'HIGH'
+    UNION ALL SELECT 'findings', 'all', 'medium', count(*) FROM found WHERE NOT is_observation AND severity = 'MEDIUM'
+    UNION ALL SELECT 'findings', 'all', 'low', count(*) FROM found WHERE NOT is_observation AND severity = 'LOW'
+    UNION ALL SELECT 'findings', 'all', 'observations', count(*) FROM found WHERE is_observation
+    UNION ALL SELECT 'findings', 'all', 'to_remediate', count(*) FROM found
+      WHERE NOT is_observation AND severity IN ('HIGH', 'MEDIUM')
+    UNION ALL SELECT 'findings', 'all', 'drift', 0"""
+)
+def run_summary(spark, folder):
+    """The numbers a run exports; its tables are compared with themselves, so there is no drift."""
+    found, listed = _findings(spark, folder)
+    expected = drift.schema_of(found.tables)
+    events = drift.schema_drift(spark, expected, expected)
+    return results.run_summary(found.table_profile, listed, events)
+
+
 SNIPPED = ["dirty_orders", "dirty_orders_dups"]
 
 
