@@ -853,12 +853,30 @@ tasks AS (
 """
 
 
+#: What to do about a finding, by category; null where the hint is the suggestion itself.
+HINT = """CASE
+  WHEN category = 'REFERENTIAL'
+    THEN 'split_mapped(' || tab || ', reference, [$' || coalesce(col, '') || '$]): keep the mapped rows, log the others'
+  WHEN category = 'COMPLETENESS' AND col IS NOT NULL
+    THEN 'forward_fill(' || tab || ', date, [$' || col || '$]) if the table is a series'
+  WHEN category = 'INTEGRITY' AND lower(description) LIKE '%duplicate%'
+    THEN 'keep_latest or flag_duplicates on [' || coalesce(col, 'all columns') || ']'
+  WHEN category = 'OUTLIER'
+    THEN 'flag_outliers(' || tab || ', [' || col || ']); average over rows flagged OK'
+  WHEN category = 'TEMPORAL'
+    THEN 'mark_reference_data on [' || coalesce(col, '') || ']; show rows without reference data apart'
+  WHEN category = 'STRUCTURE'
+    THEN 'do not load ' || tab || ' before its columns are confirmed' END""".replace("$", "''")
+
+
 @query(
     FOUND + TASKS + """SELECT id, CAST(priority AS INTEGER) AS priority, severity, category,
-      tab AS "table", affected AS affected_rows, description FROM tasks"""
+      tab AS "table", affected AS affected_rows, description, """ + HINT + """ AS hint FROM tasks"""
 )
 def suggestions(spark, folder):
-    return results.suggestions(_findings(spark, folder)[1]).drop("action", "hint")
+    """The hint is null where it is the suggestion of the finding itself."""
+    listed = results.suggestions(_findings(spark, folder)[1])
+    return listed.withColumn("hint", F.when(F.col("hint") != F.col("action"), F.col("hint"))).drop("action")
 
 
 @query(
@@ -896,9 +914,11 @@ DESCRIBED = ["orders", "part", "nation", "events", "transactions", "products", "
 def _sql_samples(names) -> str:
     parts = [
         f"SELECT '{t}' AS tab, '{c}' AS col, (SELECT string_agg(v, ', ') FROM ("
-        f"SELECT CAST(\"{c}\" AS VARCHAR) AS v FROM {t} WHERE \"{c}\" IS NOT NULL "
+        f"SELECT CAST({value} AS VARCHAR) AS v FROM {t} WHERE \"{c}\" IS NOT NULL "
         f"GROUP BY \"{c}\" ORDER BY \"{c}\" LIMIT 3)) AS samples"
-        for t in names for c, kind in O.COLUMNS[t] if kind == "string" or c.endswith("key")
+        for t in names
+        for c, kind in O.COLUMNS[t]
+        for value in [f'CAST("{c}" AS TIMESTAMP)' if kind == O.D else f'"{c}"']
     ]
     return "samples AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -914,7 +934,7 @@ def _sql_samples(names) -> str:
         WHEN 'date' THEN CAST(CAST(date_min AS DATE) AS VARCHAR) END, '—') AS min_value,
       coalesce(CASE typ WHEN 'numeric' THEN format('{:,.4f}', num_max)
         WHEN 'date' THEN CAST(CAST(date_max AS DATE) AS VARCHAR) END, '—') AS max_value,
-      coalesce(s.samples, '*') AS samples,
+      coalesce(s.samples, '') AS samples,
       concat_ws('; ', CASE WHEN pk THEN 'inferred PK' END, CASE WHEN fk THEN 'inferred FK' END,
         CASE WHEN o.outliers > 0 THEN o.outliers || ' outlier(s)' END,
         CASE WHEN typ IN ('id', 'categorical') AND row_count >= 15 AND unique_count > 20
@@ -923,12 +943,8 @@ def _sql_samples(names) -> str:
       FROM p LEFT JOIN outl o USING (tab, col) LEFT JOIN samples s USING (tab, col)"""
 )
 def data_dictionary(spark, folder):
-    """Samples of measures and dates are shown as '*': the engines print those differently."""
     found = profile(tables(spark, folder, DESCRIBED), AS_OF, stages=("distinct", "quartiles", "samples"))
-    plain = F.expr("inferred_type NOT IN ('numeric', 'date') OR endswith(`column`, 'key')")
-    return results.data_dictionary(found.columns).withColumn(
-        "samples", F.when(plain, F.col("samples")).otherwise("*")
-    )
+    return results.data_dictionary(found.columns)
 
 
 @query(
