@@ -14,7 +14,7 @@ HEADLINE = (
     "discover_relationships", "check_iqr_outliers", "check_duplicate_rows", "check_orphans",
     "check_date_gaps", "check_benford", "remediate_ffill_rows", "remediate_unmapped",
     "remediate_keep_latest", "asof_rates", "measure_exposure", "measure_portfolio_value",
-    "findings_all",
+    "findings_all", "quality_run",
 )
 
 

@@ -1229,21 +1229,40 @@ def sink_results(spark, folder):
 
 
 @query(
-    FOUND + """SELECT 'findings' AS result, count(*) AS n FROM found
+    FOUND
+    + f""", have AS (SELECT t, c FROM {_sql_catalogue({n: [c for c, _ in O.COLUMNS[n]] for n in CHECKED})} x(t, c, i)),
+      want AS (SELECT t, c FROM {_sql_catalogue(drift.K.EXPECTED_SCHEMA)} y(t, c, i)),
+      filled AS (SELECT last_value(o_totalprice IGNORE NULLS) OVER (ORDER BY o_orderdate, o_orderkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price FROM dirty_orders),
+      limits AS (SELECT lo, hi FROM fences WHERE tab = 'dirty_orders' AND col = 'o_totalprice')
+      SELECT 'findings' AS result, count(*) AS n FROM found
       UNION ALL SELECT 'suggestions', (SELECT count(*) FROM (SELECT DISTINCT category, tab, col
         FROM found WHERE NOT is_observation))
       UNION ALL SELECT 'relationships', (SELECT count(*) FROM rel)
       UNION ALL SELECT 'columns', (SELECT count(*) FROM p)
-      UNION ALL SELECT 'tables', (SELECT count(*) FROM t)"""
+      UNION ALL SELECT 'tables', (SELECT count(*) FROM t)
+      UNION ALL SELECT 'cleaned rows', (SELECT count(*) FROM dirty_orders)
+      UNION ALL SELECT 'cleaned nulls', (SELECT count(*) FROM filled WHERE price IS NULL)
+      UNION ALL SELECT 'cleaned outliers', (SELECT count(*) FROM filled, limits WHERE price < lo OR price > hi)
+      UNION ALL SELECT 'drift', (SELECT count(DISTINCT t) FROM want WHERE t NOT IN (SELECT t FROM have))
+        + (SELECT count(*) FROM want WHERE t IN (SELECT t FROM have) AND (t, c) NOT IN (SELECT t, c FROM have))
+        + (SELECT count(*) FROM have WHERE t IN (SELECT t FROM want) AND (t, c) NOT IN (SELECT t, c FROM want))
+      UNION ALL SELECT 'unknown values', (SELECT count(DISTINCT "product-type") FROM products
+        WHERE "product-type" NOT IN ('LN', 'EQ', 'FI', 'FX', 'CASH'))"""
 )
 def quality_run(spark, folder):
-    """The whole run with snippets, samples, suggestions and cleaned tables; row counts."""
+    """The whole run with snippets, samples, suggestions, drift, unknown values and a cleaned
+    table whose fills and flags are counted."""
     run = run_quality(tables(spark, folder, CHECKED), CONFIG, AS_OF)
+    cleaned = run.cleaned["dirty_orders"]
     return union_all(
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("result"), "n")
         for name, df in (
             ("findings", run.findings), ("suggestions", run.suggestions),
             ("relationships", run.relationships), ("columns", run.column_profile),
-            ("tables", run.table_profile),
+            ("tables", run.table_profile), ("cleaned rows", cleaned),
+            ("cleaned nulls", cleaned.where("o_totalprice IS NULL")),
+            ("cleaned outliers", cleaned.where("`o_totalprice-quality-flag` = 'OUTLIER'")),
+            ("drift", run.drift), ("unknown values", run.unknown_values),
         )
     )

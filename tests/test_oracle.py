@@ -47,7 +47,7 @@ def rows_by_name(rows, columns):
     return sorted(tuple(text(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(Q.QUERIES))
 def test_query(spark, oracle, name):
     found = entry.queries()[name](spark, FOLDER)
     rows = found.collect()
