@@ -66,8 +66,6 @@ OVERVIEW_SUGGESTION_CHARS = 80
 
 # --- fixed values: order and priority of severities -------------------------------
 SEVERITY_RANK = {"HIGH": 0, "MEDIUM": 1, "LOW": 2}
-SEVERITY_PRIORITY = {"HIGH": 1, "MEDIUM": 2, "LOW": 3}
-RISK_RANK = {"HIGH": 0, "LOW": 1}
 
 # --- fixed values: text tokens a CSV reader takes as missing ----------------------
 MISSING_TOKENS = (

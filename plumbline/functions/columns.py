@@ -87,10 +87,3 @@ def orderable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.StructType):
         return all(orderable(f.dataType) for f in data_type.fields)
     return True
-
-
-def row_order(df: DataFrame, first: Iterable[str] = ()) -> list[Column]:
-    """An explicit total order of rows: the named columns first, then the others in order."""
-    leading = [c for c in first if c in df.columns]
-    rest = [f.name for f in df.schema.fields if f.name not in leading and orderable(f.dataType)]
-    return [ref(c).asc_nulls_last() for c in leading + rest]

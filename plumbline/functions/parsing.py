@@ -89,10 +89,13 @@ def name_has(column: Column, words: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [lowered.contains(w) for w in words])
 
 
+def name_words(name: Column) -> Column:
+    return F.array_distinct(F.split(F.lower(name), K.NAME_SPLIT_PATTERN))
+
+
 def name_similarity(a: Column, b: Column) -> Column:
     """Jaccard similarity of the tokens of two names."""
-    left = F.array_distinct(F.split(F.lower(a), K.NAME_SPLIT_PATTERN))
-    right = F.array_distinct(F.split(F.lower(b), K.NAME_SPLIT_PATTERN))
+    left, right = name_words(a), name_words(b)
     return F.size(F.array_intersect(left, right)) / F.size(F.array_union(left, right))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +19,9 @@ from pyspark.sql import types as T
 from plumbline import constants as K
 from plumbline.functions import parsing as P
 from plumbline.functions.columns import BOOLEAN, DATE, NUMERIC, STRING, is_float, kind_of, literal, quoted, ref
-from plumbline.session import union_all
+from plumbline.session import together, union_all
 
 LONG_TEXT = 64
-BOUND_ROWS = 1000
 SLOTS = ("bigint", "double", "timestamp_ntz", "string")
 
 
@@ -165,25 +165,6 @@ def top_values(counts: DataFrame, k: int = K.TOP_VALUES) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _bound(data_type: T.DataType, values: list, k: int) -> str | None:
-    """The k-th smallest of some values as SQL text. The k smallest distinct values of the whole
-    column cannot lie above it, whichever rows the values came from."""
-    kind = kind_of(data_type)
-    if isinstance(data_type, (T.DecimalType, T.TimestampType)) or kind == BOOLEAN:
-        return None
-    order = (lambda v: v.encode()) if kind == STRING else None
-    distinct_values = sorted({v for v in values if v is not None}, key=order)
-    if len(distinct_values) < k:
-        return None
-    last = distinct_values[k - 1]
-    if kind == STRING:
-        return literal(last)
-    if kind == DATE:
-        name = "DATE" if isinstance(data_type, T.DateType) else "TIMESTAMP_NTZ"
-        return f"{name} '{last}'"
-    return f"CAST('{last!r}' AS {data_type.simpleString()})"
-
-
 def smallest_values(
     tables: Mapping[str, DataFrame],
     columns: Mapping[str, Iterable[str]] | None = None,
@@ -191,35 +172,42 @@ def smallest_values(
 ) -> DataFrame:
     """The k smallest distinct values per column as text.
 
-    A few rows of each table give an upper bound per column, so that hardly any value above the
-    wanted ones is grouped and shuffled; the result is the same without it."""
-    narrowed = {}
-    for table, df in tables.items():
+    Each round takes the least value above the one before, for all columns of a table in one
+    aggregate: k scans, and one row per task is all that is shuffled, in whatever order the rows
+    lie. Tables are looked at at the same time."""
+
+    def rounds(table: str, df: DataFrame) -> list[dict]:
         wanted = df.columns if columns is None else list(columns.get(table, ()))
-        fields = [f for f in df.schema.fields if f.name in wanted and _slot(f.dataType)]
-        if not fields:
-            narrowed[table] = df.select()
-            continue
-        few = df.select(*[ref(f.name) for f in fields]).take(BOUND_ROWS)
-        kept = []
-        for i, field in enumerate(fields):
-            name = quoted(field.name)
-            bound = _bound(field.dataType, [row[i] for row in few], k)
-            kept.append(f"CASE WHEN {name} <= {bound} THEN {name} END AS {name}" if bound else name)
-        narrowed[table] = df.selectExpr(*kept)
-    parts = []
-    for slot in SLOTS:
-        found = cells(narrowed, slot)
-        if found is None:
-            continue
-        order = Window.partitionBy("key").orderBy("value")
-        parts.append(
-            found.distinct()
-            .withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= k)
-            .withColumn("value", F.col("value").cast("string"))
-        )
-    return named(union_all(parts), narrowed).select("table", "column", "rank", "value")
+        cells = {
+            f.name: (f"CAST({quoted(f.name)} AS {_slot(f.dataType)})", _slot(f.dataType))
+            for f in df.schema.fields
+            if f.name in wanted and _slot(f.dataType)
+        }
+        last: dict[str, str | None] = dict.fromkeys(cells)
+        found = []
+        for rank in range(1, k + 1):
+            least = []
+            for i, (name, value) in enumerate(last.items()):
+                cell, slot = cells[name]
+                above = cell if value is None else (
+                    f"CASE WHEN {cell} > CAST({literal(value)} AS {slot}) THEN {cell} END"
+                )
+                least.append(f"CAST(min({above}) AS STRING) AS `{i}`")
+            if not least:
+                break
+            row = df.selectExpr(*least).first()
+            last = {name: row[i] for i, name in enumerate(last) if row[i] is not None}
+            found += [
+                {"table": table, "column": name, "rank": rank, "value": value}
+                for name, value in last.items()
+            ]
+        return found
+
+    spark = next(iter(tables.values())).sparkSession
+    tasks = [lambda t=t, df=df: rounds(t, df) for t, df in tables.items()]
+    found = [row for rows in together(spark, *tasks) for row in rows]
+    schema = "table string, column string, rank int, value string"
+    return spark.createDataFrame(pa.Table.from_pylist(found) if found else [], schema=schema)
 
 
 def smallest_texts(df: DataFrame, name: str, k: int = K.SAMPLE_VALUES) -> list[str]:

@@ -194,17 +194,3 @@ def null_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
         "null_count",
         P.percent(F.col("null_count"), F.col("row_count")).alias("null_pct"),
     )
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [name for name, kind in kinds(df).items() if kind == NUMERIC]
-
-
-def date_columns(df: DataFrame) -> list[str]:
-    return [name for name, kind in kinds(df).items() if kind == DATE]
-
-
-def countable_columns(df: DataFrame) -> list[str]:
-    return [
-        name for name, kind in kinds(df).items() if kind in (NUMERIC, DATE, BOOLEAN, STRING)
-    ]

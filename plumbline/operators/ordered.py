@@ -10,6 +10,8 @@ of each bucket is carried forward through a table of one row per bucket.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +22,12 @@ BUCKET, RUNNING = "__bucket__", "__running__"
 BROADCAST_ROWS = 1_000_000
 
 
+#: A line of a plan's tree that is a shuffle; names of tables and columns come later in a line.
+SHUFFLE = re.compile(r"^[\s:|+\-*()\d]*(?:Exchange|ShuffleQueryStage|AQEShuffleRead)\b", re.MULTILINE)
+
+
 def _has_shuffle(df: DataFrame) -> bool:
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    return bool(SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString()))
 
 
 def bucketed(df: DataFrame, keys: list[Column], buckets: int | None = None) -> DataFrame:

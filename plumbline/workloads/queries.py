@@ -219,7 +219,8 @@ def infer_fk(spark, folder):
     O.with_clause(CODED, *O.profiled(CODED))
     + f"""SELECT a.tab AS a_table, a.col AS a_column, b.tab AS b_table, b.col AS b_column,
       round({O.similarity('a.col', 'b.col')}, 4) AS similarity
-      FROM p a JOIN p b ON a.typ = b.typ AND a.tab < b.tab"""
+      FROM p a JOIN p b ON a.typ = b.typ AND a.tab < b.tab
+      WHERE {O.similarity('a.col', 'b.col')} > 0"""
 )
 def name_similarity(spark, folder):
     found = infer.infer_types(tables(spark, folder, CODED))
@@ -227,7 +228,11 @@ def name_similarity(spark, folder):
     a = names.select(F.col("table").alias("a_table"), F.col("column").alias("a_column"), "inferred_type")
     b = names.select(F.col("table").alias("b_table"), F.col("column").alias("b_column"), "inferred_type")
     similar = P.name_similarity(F.col("a_column"), F.col("b_column"))
-    return a.join(b, "inferred_type").where("a_table < b_table").select(
+    # only names that share a word meet; all others have a similarity of 0
+    a = a.withColumn("word", F.explode(P.name_words(F.col("a_column"))))
+    b = b.withColumn("word", F.explode(P.name_words(F.col("b_column"))))
+    met = a.join(b, ["inferred_type", "word"]).where("a_table < b_table").drop("word").distinct()
+    return met.select(
         "a_table", "a_column", "b_table", "b_column", F.round(similar, 4).alias("similarity")
     )
 
