@@ -9,10 +9,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import slices, small_batches, strings
+from plumbline.llm.shingles import PIECE
 
 #: Buckets that triplets are counted in.
 BUCKETS = 256
@@ -23,13 +25,14 @@ _MIX = (40503, 30011, 10427)
 
 
 def counts(raw: bytes) -> np.ndarray:
-    b = np.frombuffer(raw, np.uint8).astype(np.uint16)
-    if len(b) < 3:
-        return np.zeros(BUCKETS, np.int64)
-    mixed = b[:-2] * np.uint16(_MIX[0]) + b[1:-1] * np.uint16(_MIX[1]) + b[2:] * np.uint16(_MIX[2])
-    mixed ^= mixed >> np.uint16(7)
-    mixed *= np.uint16(_MIX[0])
-    return np.bincount(mixed >> np.uint16(8), minlength=BUCKETS)
+    total = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(raw) - 2, PIECE):
+        b = np.frombuffer(raw, np.uint8, min(PIECE + 2, len(raw) - at), at).astype(np.uint16)
+        mixed = b[:-2] * np.uint16(_MIX[0]) + b[1:-1] * np.uint16(_MIX[1]) + b[2:] * np.uint16(_MIX[2])
+        mixed ^= mixed >> np.uint16(7)
+        mixed *= np.uint16(_MIX[0])
+        total += np.bincount(mixed >> np.uint16(8), minlength=BUCKETS)
+    return total
 
 
 def fingerprint(raw: bytes) -> str:
@@ -85,8 +88,6 @@ def _heads(cuts: np.ndarray):
             ids = batch.column(0)
             place = _bucket(ids, cuts)
             out = {int(k): ids.filter(pa.array(place == k)) for k in np.unique(place)}
-            import pyarrow.compute as pc
-
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(out), pa.int32()), pa.array([pc.max(v).as_py() for v in out.values()], pa.int64())],
                 ["bucket", "head"],
@@ -100,8 +101,6 @@ def _deal(cuts: np.ndarray, guests: dict):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = pa.array([k for k in guests if k is not None], pa.int64())
-        import pyarrow.compute as pc
-
         for batch in batches:
             ids = batch.column("id")
             own = pa.array(_bucket(ids, cuts))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.llm.common import slices, small_batches, strings
-from plumbline.llm.shingles import text_bytes
+from plumbline.llm.shingles import PIECE, text_bytes
 
 #: Columns for the hashed n-grams of 1, 2 and 3 bytes: one block for each size.
 BLOCKS = (256, 2048, 8192)
@@ -36,6 +36,13 @@ def presence(texts: pa.LargeStringArray) -> np.ndarray:
     """One row of zeros and ones for each text: which n-grams it holds, anywhere in it."""
     raw, ends = text_bytes(texts)
     out = np.zeros((len(ends) - 1, WIDTH), np.uint8)
+    for a in range(0, len(raw), PIECE):  # parts overlap by what an n-gram reaches ahead
+        b = min(len(raw), a + PIECE + len(BLOCKS) - 1)
+        _mark(out, raw[a:b], np.clip(ends, a, b) - a)
+    return out
+
+
+def _mark(out: np.ndarray, raw: np.ndarray, ends: np.ndarray) -> None:
     letters = _FOLD[raw]
     row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     left = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(raw))
@@ -47,7 +54,6 @@ def presence(texts: pa.LargeStringArray) -> np.ndarray:
         inside = inside[: len(at)]
         out[row[: len(at)][inside], base + at[inside].astype(np.int64)] = 1
         base += width
-    return out
 
 
 def kernel(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.llm.common import slices, small_batches, strings
-from plumbline.llm.shingles import _BLANK, _LETTER, text_bytes
+from plumbline.llm.shingles import _BLANK, _LETTER, PIECE, pieces, text_bytes
 
 PASSAGE = 64
 #: Bound of the training sample: documents of each label.
@@ -42,8 +42,29 @@ FEATURES = CLASSES + 7
 
 def passages(texts: pa.LargeStringArray, words_each: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages (rows) of all texts, and where each text's passages start. A
-    passage is `words_each` words with what follows them; a text without words is one passage."""
+    passage is `words_each` words with what follows them; a text without words is one passage.
+    Very long texts are cut at blanks every few MB and worked on part by part."""
     raw, ends = text_bytes(texts)
+    parts = [np.array([0]), *(_parts(raw[a:b]) + a for a, b in zip(ends[:-1], ends[1:], strict=True))]
+    cuts = np.concatenate(parts)  # each text ends one or more parts
+    found, offsets = [], [0]
+    group = np.cumsum(np.diff(cuts)) // PIECE
+    for k in np.unique(group):
+        few = np.flatnonzero(group == k)
+        bounds = np.append(cuts[few], cuts[few[-1] + 1])
+        x, starts = _passages(raw[bounds[0] : bounds[-1]], bounds - bounds[0], words_each)
+        found.append(x)
+        offsets += (starts[1:] + offsets[-1]).tolist()
+    last = np.cumsum([len(p) for p in parts[1:]], dtype=np.int64)  # parts up to each text
+    at = np.array(offsets, np.int64)[np.concatenate([[0], last]).astype(np.int64)]
+    return np.concatenate(found) if found else np.zeros((0, FEATURES)), at
+
+
+def _parts(raw: np.ndarray) -> np.ndarray:
+    return pieces(raw, np.array([0, len(raw)]))[1:]
+
+
+def _passages(raw: np.ndarray, ends: np.ndarray, words_each: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(ends) - 1
     blank = _BLANK[raw]
     start = ~blank

@@ -21,6 +21,8 @@ from plumbline.llm.common import slices, small_batches, strings
 #: Piece types of a model file, and the marker that stands for a blank (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MARKER = "▁"
+#: Bytes of text that are searched at once.
+PIECE = 2 << 20
 #: How far an unknown character's score lies below the worst piece (fixed value).
 UNKNOWN_PENALTY = 10.0
 
@@ -186,17 +188,28 @@ class Encoder:
         if not len(raw):
             return pa.ListArray.from_arrays(pa.array(np.zeros(len(texts) + 1, np.int32)), pa.array([], pa.int32()))
         units = self._units(raw, ends[:-1])
-        bounds = np.append(units, len(raw)).astype(np.int32)
-        array = pa.StringArray.from_buffers(len(units), pa.py_buffer(bounds), pa.py_buffer(raw.tobytes()))
+        bounds = np.append(units, len(raw))
+        ids, sizes = [], []
+        group = units // PIECE  # a very long text is searched part by part
+        for k in np.unique(group):
+            few = np.flatnonzero(group == k)
+            part = bounds[few[0] : few[-1] + 2]
+            found, count = self._search(raw[part[0] : part[-1]], (part - part[0]).astype(np.int32))
+            ids.append(found)
+            sizes.append(count)
+        before = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        offsets = before[np.searchsorted(units, ends)].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
+
+    def _search(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units one after another, and how many each has."""
+        array = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(raw.tobytes()))
         coded = array.dictionary_encode()
         which = coded.indices.to_numpy()
         ids, starts = self._paths(coded.dictionary)
         sizes = np.diff(starts)[which]
         stops = np.cumsum(sizes)
-        flat = ids[np.arange(stops[-1]) + np.repeat(starts[which] - (stops - sizes), sizes)]
-        before = np.concatenate([[0], stops])
-        offsets = before[np.searchsorted(units, ends)].astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+        return ids[np.arange(stops[-1]) + np.repeat(starts[which] - (stops - sizes), sizes)], sizes
 
     def _paths(self, units: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the best paths through all units, and where each unit's ids start."""

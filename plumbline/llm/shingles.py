@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE = 5
+#: Bytes of text that arrays of several bytes a byte are made for at once.
+PIECE = 4 << 20
 
 _U = np.uint64
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -39,6 +41,46 @@ def text_bytes(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     return raw, ends - ends[0]
 
 
+def pieces(raw: np.ndarray, ends: np.ndarray, size: int = PIECE) -> np.ndarray:
+    """Offsets that cut the bytes into pieces of about `size` at blanks or text starts, so that a
+    very long text is never worked on at once; only a longer word stays whole."""
+    if len(raw) <= size:
+        return np.array([0, len(raw)], np.int64)
+    out, blank = [0], _BLANK[raw]
+    while len(raw) - out[-1] > size:
+        at = out[-1] + size
+        ahead = int(blank[at:].argmax()) if blank[at:].any() else len(raw) - at
+        text = int(ends[np.searchsorted(ends, at)])
+        out.append(min(at + ahead, text))
+    return np.array([*out, len(raw)] if out[-1] < len(raw) else out, np.int64)
+
+
+def _word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins, and its hash."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    cuts = pieces(raw, ends)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        part = raw[a:b]
+        inside = ~_BLANK[part]
+        edge = np.zeros(len(part), bool)
+        edge[ends[(ends >= a) & (ends < b)] - a] = True  # a text starts a word of its own
+        start = inside.copy()
+        start[1:] &= ~inside[:-1] | edge[1:]
+        begins = np.flatnonzero(start)
+        if not len(begins):
+            continue
+        terms = _LETTER[_FOLD[part]]
+        terms *= powers(_RADIX, len(part))
+        terms[~inside] = 0
+        words = np.add.reduceat(terms, begins) * powers(_INVERSE, len(part))[begins]
+        del terms
+        lengths = np.add.reduceat(inside, begins, dtype=np.int64).astype(_U)
+        found.append((begins + a, mix(words ^ (lengths * _U(0xD6E8FEB86659FD93)))))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, _U)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def shingle_sets(texts: pa.LargeStringArray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct shingle hashes of all texts one after another, and their offsets.
 
@@ -48,23 +90,9 @@ def shingle_sets(texts: pa.LargeStringArray, size: int = SHINGLE) -> tuple[np.nd
     """
     raw, ends = text_bytes(texts)
     n = len(ends) - 1
-    if not len(raw):
-        return np.zeros(0, _U), np.zeros(n + 1, np.int64)
-    inside = ~_BLANK[raw]
-    edge = np.zeros(len(raw), bool)
-    edge[ends[:-1][ends[:-1] < len(raw)]] = True  # a text starts a word of its own
-    start = inside.copy()
-    start[1:] &= ~inside[:-1] | edge[1:]
-    begins = np.flatnonzero(start)
+    begins, words = _word_hashes(raw, ends)
     if not len(begins):
         return np.zeros(0, _U), np.zeros(n + 1, np.int64)
-    terms = _LETTER[_FOLD[raw]]
-    terms *= powers(_RADIX, len(raw))
-    terms[~inside] = 0
-    words = np.add.reduceat(terms, begins) * powers(_INVERSE, len(raw))[begins]
-    del terms
-    lengths = np.add.reduceat(inside, begins, dtype=np.int64).astype(_U)
-    words = mix(words ^ (lengths * _U(0xD6E8FEB86659FD93)))
 
     doc = np.searchsorted(ends, begins, side="right") - 1
     count = np.bincount(doc, minlength=n)

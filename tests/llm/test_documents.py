@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import helpers as H
 from plumbline.llm import components as C
-from plumbline.llm import decontaminate, fingerprint, langid, ngram_join, quality, queries, shingles
+from plumbline.llm import (
+    decontaminate, fingerprint, langid, ngram_join, quality, queries, sentencepiece, shingles,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -189,6 +192,28 @@ def test_passages_do_not_depend_on_the_slice():
         assert np.allclose(whole[ends[k] : ends[k + 1]], alone)
 
 
+@pytest.mark.parametrize("size", [64, 100, 1000])
+def test_very_long_texts_are_worked_on_in_parts(monkeypatch, size):
+    rng = random.Random(1)
+    make = lambda n: " ".join("".join(rng.choices("abcdé", k=rng.randint(1, 9))) for _ in range(n))
+    texts = arrow([make(rng.randint(0, 700)) + "\nline é" for _ in range(8)] + ["", "x" * 5000, " " * 3000, "a"])
+    model = sentencepiece.encoder(public_tokenizers.path("piece_bpe_32k.model"))
+
+    def all_of():
+        hashes, ends = shingles.shingle_sets(texts)
+        digests = [fingerprint.fingerprint(t.encode()) for t in texts.to_pylist()]
+        return hashes.tolist(), ends.tolist(), langid.presence(texts).tolist(), digests, model.encode(texts).to_pylist()
+
+    whole, (x, ends) = all_of(), quality.passages(texts)
+    for module in (shingles, langid, fingerprint, sentencepiece, quality):
+        monkeypatch.setattr(module, "PIECE", size)
+    monkeypatch.setattr(shingles.pieces, "__defaults__", (size,))
+    assert all_of() == whole
+    parts, more = quality.passages(texts)  # a part begins a passage of its own
+    assert len(parts) >= len(x) and len(more) == len(ends)
+    assert (np.diff(more) >= np.diff(ends)).all()
+
+
 # Languages
 
 
