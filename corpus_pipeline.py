@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import quality
-from plumbline.llm.common import table, written
+from plumbline.llm.common import discard, table, written
 from plumbline.llm.decontaminate import find_leaks
 from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.ngram_join import similar_documents
@@ -69,7 +69,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage for documents; every stage is written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import written
+from plumbline.llm.common import discard, written
 
 
 def _least(edges: DataFrame, node: str, other: str) -> DataFrame:
@@ -32,14 +32,16 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         larger = both.join(_least(both, "a", "b"), F.col("a") == F.col("node")).where("b > a")
-        edges = written(larger.select(F.col("low").alias("a"), "b").where("a <> b").distinct())
-        lows = _least(edges, "b", "a")
-        smaller = edges.join(lows, F.col("b") == F.col("node"))
+        handed = written(larger.select(F.col("low").alias("a"), "b").where("a <> b").distinct())
+        discard(edges)
+        lows = _least(handed, "b", "a")
+        smaller = handed.join(lows, F.col("b") == F.col("node"))
         edges = written(
             smaller.select(F.col("low").alias("a"), F.col("a").alias("b"))
             .unionByName(lows.select(F.col("low").alias("a"), F.col("node").alias("b")))
             .where("a <> b")
             .distinct()
         )
+        discard(handed)
     members = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return members.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import join_counted, slices, small_batches, strings, written
+from plumbline.llm.common import discard, join_counted, slices, small_batches, strings, written
 from plumbline.llm.components import components
 from plumbline.llm.shingles import SHINGLE, mix, shingle_sets
 
@@ -163,9 +163,9 @@ def _prefixes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     A class is left out if its unique shingles fill its prefix. `alone` is the number of unique
     shingles, `place` the rank among the shared ones."""
     tokens = sets.select("c", "n", F.explode("hashes").alias("h"))
-    held = written(tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
+    counts = written(tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
     shared = (
-        join_counted(tokens, held, ["h"], "df")
+        join_counted(tokens, counts, ["h"], "df")
         .groupBy("c", "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "h")))["h"].alias("hashes"))
         .withColumn("alone", F.col("n") - F.size("hashes"))
@@ -173,11 +173,14 @@ def _prefixes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         .where("open > 0")
     )
     shared = written(shared)
+    discard(counts)
     postings = written(
         shared.select("c", "n", "alone", F.posexplode(F.slice("hashes", F.lit(1), F.col("open"))).alias("place", "h"))
     )
     lists = written(postings.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"))
-    return shared, written(join_counted(postings, lists, ["h"], "m"))
+    counted = written(join_counted(postings, lists, ["h"], "m"))
+    discard(postings, lists)
+    return shared, counted
 
 
 def _block_links(shared: DataFrame, longest: DataFrame, percent: int) -> DataFrame:
@@ -269,16 +272,17 @@ def similar_documents(
     shared, postings = _prefixes(held, percent)
     by_length = F.array_sort(F.collect_list(F.struct((-F.col("m")).alias("short"), "h", "m")))
     longest = written(postings.groupBy("c").agg(F.slice(by_length, 1, LISTS).alias("lists")))
-    links = written(_block_links(shared, longest, percent)).unionByName(
-        written(_other_links(shared, postings, longest, percent))
-    )
-    member = components(links)
+    within = written(_block_links(shared, longest, percent))
+    across = written(_other_links(shared, postings, longest, percent))
+    member = components(within.unionByName(across))
+    discard(maybe, held, shared, postings, longest, within, across)
     linked = classes.join(member, classes["c"] == member["node"]).drop("node")
     least = linked.groupBy("component").agg(F.min("rep").alias("least"))
     least_of = linked.join(least, "component").select("c", "least")
     labelled = written(
         classes.join(least_of, "c", "left").select("c", "d", "n", F.coalesce("least", "rep").alias("component_id"), "copies")
     )
+    discard(classes)
     known = F.expr("n > 0 AND id IS NOT NULL")
     grouped = join_counted(sets.where(known), labelled, ["c", "d", "n"], "copies")
     alone = sets.where(~known).withColumn("component_id", F.col("id"))
