@@ -1,11 +1,15 @@
 """Forward fill and as-of lookup over an order of the whole table.
 
-A window without partition columns would sort a table in one task. The rows are range
-partitioned by the complete order instead (date, then all other columns, then a running
-number that spreads identical rows), which cuts hot dates and hot copies too. The bucket
-number is written with the rows before it is used, because range bounds are sampled and a
-recomputation could draw others. Each bucket is filled on its own, and the last known value
-of each bucket is carried forward through a table of one row per bucket.
+A window without partition columns would sort a table in one task. Values are carried in two
+steps instead: within a date by a window over the rows of that date, and from date to date by a
+table of one row per date. The rows are shuffled once, by their date. Dates that hold more
+than a thousandth of all rows, of which there are at most a thousand, are range partitioned by
+the complete order (date, other columns, a running number that spreads identical rows).
+
+The table of dates is range partitioned too, since dates may be as many as rows. Its bucket
+number is written before it is used, because range bounds are sampled and a recomputation could
+draw others. Each bucket is filled on its own, and the last known value of each bucket is
+carried forward through a table of one row per bucket.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from plumbline.session import cut
 
 BUCKET, RUNNING = "__bucket__", "__running__"
 BROADCAST_ROWS = 1_000_000
+#: A date with fewer rows than this fits one task, whatever its share.
+MIN_HEAVY = 100_000
 
 
 #: A line of a plan's tree that is a shuffle; names of tables and columns come later in a line.
@@ -46,11 +52,14 @@ def bucketed(df: DataFrame, keys: list[Column], buckets: int | None = None) -> D
     return cut(ranged.withColumn(BUCKET, F.spark_partition_id()))
 
 
-def carry_forward(df: DataFrame, keys: list[Column], columns: list[str]) -> DataFrame:
-    """Replace nulls in the columns by the last known value before them; needs bucketed rows."""
+def carry_forward(
+    df: DataFrame, keys: list[Column], columns: list[str], own: bool = True
+) -> DataFrame:
+    """Replace nulls in the columns by the last known value before them; needs bucketed rows.
+    Without `own`, every value is replaced by the last known one before its row."""
     order = [*keys, F.col(RUNNING)]
     within = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+        Window.unboundedPreceding, Window.currentRow if own else -1
     )
     filled = df.withColumns({c: F.last(ref(c), ignorenulls=True).over(within) for c in columns})
     # A task holds one bucket, so this grouping shuffles about one row per bucket.
@@ -84,6 +93,10 @@ def carry_forward(df: DataFrame, keys: list[Column], columns: list[str]) -> Data
     )
 
 
+MOMENT, SIDE = "__moment__", "__side__"
+HEAVY_DATES = 1000
+
+
 def forward_fill(
     df: DataFrame,
     date: str | Column,
@@ -94,16 +107,97 @@ def forward_fill(
     """Fill nulls of the columns with the last value by date; rows without a date come last.
 
     Rows of one date are ordered by the tie columns, by default all others that are not
-    filled. Nulls before the first value stay."""
+    filled, and rows that are equal in them by the filled columns. Nulls before the first value
+    stay."""
     if ties is None:
         ties = [
             f.name
             for f in df.schema.fields
             if f.name not in columns and f.name != date and orderable(f.dataType)
         ]
-    moment = ref(date) if isinstance(date, str) else date
-    keys = [moment.isNull(), moment, *[ref(c) for c in ties]]
-    return carry_forward(bucketed(df, keys, buckets), keys, columns)
+    dated = df.withColumn(MOMENT, ref(date) if isinstance(date, str) else date)
+    order = [ref(c) for c in ties]
+    for c in columns:
+        order += [ref(c).isNull(), ref(c)]
+    place = F.struct(*[key.alias(f"k{i}") for i, key in enumerate(order)])
+    # the last known value of each date, combined before the shuffle
+    dates = cut(
+        dated.groupBy(MOMENT).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[
+                F.max_by(ref(c), F.when(ref(c).isNotNull(), place)).alias(f"v{i}")
+                for i, c in enumerate(columns)
+            ],
+        )
+    )
+    total = dates.agg(F.sum("n")).first()[0] or 0
+    heavy = cut(dates.where(F.col("n") * HEAVY_DATES > total).where(f"n >= {MIN_HEAVY}").select(MOMENT))
+    values = [f"v{i}" for i in range(len(columns))]
+    by_date = [F.col(MOMENT).isNull(), F.col(MOMENT)]
+    before = cut(
+        carry_forward(bucketed(dates.drop("n"), by_date, buckets), by_date, values, own=False)
+    )
+    many = heavy.count() > 0
+
+    # What is known before a date comes first in its window, so the rows need no join.
+    carried = {v: c for v, c in zip(values, columns)}
+    first = before.select(
+        MOMENT,
+        *[F.col(v).alias(c) for v, c in carried.items()],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in columns],
+        F.lit(0).alias(SIDE),
+    )
+    light = dated.withColumn(SIDE, F.lit(1)).unionByName(first)
+    if many:
+        light = light.join(F.broadcast(heavy), light[MOMENT].eqNullSafe(heavy[MOMENT]), "left_anti")
+    inside = Window.partitionBy(MOMENT).orderBy(SIDE, *order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    filled = (
+        light.withColumns({c: F.last(ref(c), ignorenulls=True).over(inside) for c in columns})
+        .where(f"{SIDE} = 1")
+        .select(*[ref(c) for c in df.columns])
+    )
+    if not many:
+        return filled
+    hot = dated.join(F.broadcast(heavy), dated[MOMENT].eqNullSafe(heavy[MOMENT]), "left_semi")
+    known = before.withColumnRenamed(MOMENT, "__date__").join(
+        F.broadcast(heavy), F.col("__date__").eqNullSafe(F.col(MOMENT)), "left_semi"
+    )
+    # one row per heavy date
+    joined = _fill_heavy(hot, by_date, order, columns, buckets).join(
+        F.broadcast(known), F.col(MOMENT).eqNullSafe(F.col("__date__")), "left"
+    )
+    return filled.unionByName(
+        joined.select(
+            *[
+                F.coalesce(ref(c), F.col(f"v{columns.index(c)}")).alias(c) if c in columns else ref(c)
+                for c in df.columns
+            ]
+        )
+    )
+
+
+def _fill_heavy(
+    hot: DataFrame, by_date: list[Column], order: list[Column], columns: list[str], buckets: int | None
+) -> DataFrame:
+    """Fill within dates whose rows are too many for one task: a value is carried with its date
+    and taken only by rows of that date."""
+    packed = hot.withColumns(
+        {f"__{c}__": F.when(ref(c).isNotNull(), F.struct(F.col(MOMENT), ref(c).alias("value"))) for c in columns}
+    )
+    keys = [*by_date, *order]
+    carried = carry_forward(bucketed(packed, keys, buckets), keys, [f"__{c}__" for c in columns])
+    return carried.select(
+        *[
+            F.when(
+                ref(f"__{c}__")[MOMENT].eqNullSafe(F.col(MOMENT)), ref(f"__{c}__")["value"]
+            ).alias(c)
+            if c in columns
+            else ref(c)
+            for c in hot.columns
+        ]
+    )
 
 
 def asof_join(
