@@ -23,8 +23,8 @@ LISTS = 3
 BLOCK = 256
 #: Rows of two numbers that may be broadcast.
 SENT = 200_000
-#: Ranges of the shingle hash that the suffix filter counts, and columns of one matrix product.
-RANGES = 16
+#: Leading bits of the shingle hash by which the suffix filter counts; columns of a matrix product.
+RANGE_BITS = 4
 COLUMNS = 8192
 
 _U = np.uint64
@@ -202,10 +202,9 @@ def _block_links(shared: DataFrame, longest: DataFrame, percent: int) -> DataFra
 
 def _other_links(shared: DataFrame, postings: DataFrame, longest: DataFrame, percent: int) -> DataFrame:
     """Links between documents that share a prefix shingle but none of their longest lists."""
-    start, width = F.lit(-(2**63)).cast("decimal(20,0)"), 2**64 // RANGES
-    place = F.transform("hashes", lambda h: F.floor((h.cast("decimal(20,0)") - start) / width).cast("int"))
+    place = F.transform("hashes", lambda h: F.shiftrightunsigned(h, 64 - RANGE_BITS).cast("int"))
     ranges = F.transform(
-        F.sequence(F.lit(0), F.lit(RANGES - 1)), lambda r: F.size(F.filter("at", lambda p: p == r))
+        F.sequence(F.lit(0), F.lit(2**RANGE_BITS - 1)), lambda r: F.size(F.filter("at", lambda p: p == r))
     )
     profile = shared.select("c", place.alias("at")).select("c", ranges.alias("ranges"))
     names = F.transform("lists", lambda x: x["h"])
