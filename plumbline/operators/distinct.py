@@ -125,6 +125,38 @@ def _count_values(found: DataFrame, slot: str, with_tests: bool) -> DataFrame:
     )
 
 
+def row_tests(tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """How many rows of each text column are dates or numbers, in one aggregate per table: without
+    distinct values nothing but counters is shuffled. The other counts are null."""
+    names = ("date_pattern_count", "date_value_count", "number_count")
+    parts = []
+    for table, df in tables.items():
+        text = [f.name for f in df.schema.fields if kind_of(f.dataType) == STRING]
+        if not text:
+            continue
+        counted = df.agg(
+            *[
+                F.count_if(TEXT_TESTS[name](ref(c))).alias(f"{name}{i}")
+                for i, c in enumerate(text)
+                for name in names
+            ]
+        )
+        rows = [
+            F.struct(
+                F.lit(table).alias("table"),
+                F.lit(c).alias("column"),
+                *[F.lit(None).cast("bigint").alias(n) for n in ("unique_count", "repeated_rows")],
+                *[
+                    (F.col(f"{n}{i}") if n in names else F.lit(None).cast("bigint")).alias(n)
+                    for n in TEXT_TESTS
+                ],
+            )
+            for i, c in enumerate(text)
+        ]
+        parts.append(counted.select(F.inline(F.array(*rows))))
+    return union_all(parts) if parts else None
+
+
 def distinct_counts(
     tables: Mapping[str, DataFrame],
     columns: Mapping[str, Iterable[str]] | None = None,

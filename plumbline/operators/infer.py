@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumbline import constants as K
 from plumbline.functions import parsing as P
 from plumbline.functions.columns import STRING, kinds, ref
-from plumbline.operators.distinct import SLOTS, TEXT_TESTS, distinct_counts
+from plumbline.operators.distinct import SLOTS, TEXT_TESTS, distinct_counts, row_tests
 from plumbline.operators.facts import DATES, NULLS, NUMBERS, column_facts
 from plumbline.session import pin, together
 
@@ -110,10 +110,10 @@ def infer_columns(
     """Facts, counts, inferred type and key marks of every column; evaluated once.
 
     Types need the values of text columns only. Keys need those of all columns, so with fewer
-    slots no key is inferred."""
+    slots no key is inferred. With none, text is only told from numbers and dates."""
 
     def counted() -> DataFrame | None:
-        counts = distinct_counts(tables, with_tests=True, slots=slots)
+        counts = distinct_counts(tables, with_tests=True, slots=slots) if slots else row_tests(tables)
         return None if counts is None else pin(counts)
 
     facts, counts = together(

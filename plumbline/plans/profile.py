@@ -232,6 +232,7 @@ def profile(
     key are ids: they take part in relationships and are not measured."""
     stages = set(stages)
     slots = ("string", "timestamp_ntz") if "gaps" in stages else ("string",)
+    slots = () if stages == {"quartiles"} else slots  # numbers need no distinct values
     slots = distinct.SLOTS if "distinct" in stages or integer_keys else slots
     tables = {name: normalise(df) for name, df in tables.items()}
     spark = next(iter(tables.values())).sparkSession
