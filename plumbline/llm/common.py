@@ -16,7 +16,7 @@ from plumbline.session import checkpoint_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Python workers look at no more text than this at a time (a longer single text is one slice).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Rows Spark hands to a Python worker at once; whole texts travel in them.
 BATCH_ROWS = 1000
 #: Shuffle files of a written table go when it is complete; nothing reads them again.
@@ -72,6 +72,13 @@ def strings(column: pa.Array | pa.ChunkedArray) -> pa.StringArray:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def with_text(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches whose struct column `row` holds the text, with the text as a column `text`."""
+    for batch in batches:
+        column = pc.struct_field(batch.column("row"), text)
+        yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "text"])
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds about SLICE_BYTES of text."""
     for batch in batches:
@@ -82,6 +89,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
         starts = np.flatnonzero(np.diff(piece, prepend=-1))
         for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(start, end - start)
+    pa.default_memory_pool().release_unused()  # a worker waits for its next task
 
 
 def join_counted(rows: DataFrame, found: DataFrame, keys: list[str], n: str) -> DataFrame:

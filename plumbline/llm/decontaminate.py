@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.common import slices, small_batches, strings
+from plumbline.llm.common import slices, small_batches, strings, with_text
 from plumbline.session import union_all
 
 WINDOW = 10
@@ -96,7 +96,7 @@ _FOUND = "n_words long, hits array<struct<start:int,end:int>>, items array<strin
 _machines: dict[str, ahocorasick.Automaton] = {}
 
 
-def _scan_with(block, size: int, keep: list[str], only_hits: bool):
+def _scan_with(block, size: int, keep: list[str], only_hits: bool, text: str):
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,9 +104,10 @@ def _scan_with(block, size: int, keep: list[str], only_hits: bool):
             _machines.clear()
             _machines[name] = automaton(block.value, size)
         machine = _machines[name]
-        for batch in slices(batches, "text"):
+        given = with_text(batches, text) if "row" in keep else batches
+        for batch in slices(given, "text"):
             texts = strings(batch.column("text")).to_pylist()
-            found = [scan(machine, text) for text in texts]
+            found = [scan(machine, content) for content in texts]
             pairs = lambda part: [{"start": a, "end": b} for a, b in part]
             out = pa.RecordBatch.from_arrays(
                 [
@@ -169,9 +170,9 @@ def find_leaks(
         F.col(text).alias("text"),
     )
     def scanned(block, keep: list[str], only_hits: bool) -> DataFrame:
-        part = rows.select(*keep, "text")
+        part = rows.select(*keep) if "row" in keep else rows.select(*keep, "text")
         schema = StructType([*part.select(*keep).schema, *StructType.fromDDL(_FOUND)])
-        return part.mapInArrow(_scan_with(block, size, keep, only_hits), schema)
+        return part.mapInArrow(_scan_with(block, size, keep, only_hits, text), schema)
 
     if len(blocks) == 1:
         found = scanned(blocks[0], ["row"], False)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.common import slices, small_batches, strings
+from plumbline.llm.common import slices, small_batches, strings, with_text
 from plumbline.llm.shingles import PIECE, text_bytes
 
 #: Columns for the hashed n-grams of 1, 2 and 3 bytes: one block for each size.
@@ -132,10 +132,10 @@ def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang
     return fit(x.reshape(-1, WIDTH), [name for _, name, _ in found])
 
 
-def _predict(model):
+def _predict(model, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
-        for batch in slices(batches, "text"):
+        for batch in slices(with_text(batches, text), "text"):
             texts = strings(batch.column("text"))
             outputs = known.outputs(presence(texts)) if known.names else np.zeros((len(texts), 1))
             letters = [any(map(str.isalpha, t)) for t in texts.to_pylist()]
@@ -164,6 +164,6 @@ def identify_languages(
     spark = docs.sparkSession
     small_batches(spark)
     model = spark.sparkContext.broadcast(train(docs, usable, text, lang))
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     schema = StructType([rows.schema["row"], *StructType.fromDDL("lang_pred string, score double")])
-    return rows.mapInArrow(_predict(model), schema)
+    return rows.mapInArrow(_predict(model, text), schema)

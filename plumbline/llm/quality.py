@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.common import slices, small_batches, strings
+from plumbline.llm.common import slices, small_batches, strings, with_text
 from plumbline.llm.shingles import _BLANK, _LETTER, PIECE, pieces, text_bytes
 
 PASSAGE = 64
@@ -232,9 +232,9 @@ def train(
     return fit(x, offsets, np.array([y for _, y, _ in found], np.float64))
 
 
-def _score(model):
+def _score(model, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(with_text(batches, text), "text"):
             scores = model.value.scores(strings(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores)], ["row", "score"])
 
@@ -251,6 +251,6 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     spark = docs.sparkSession
     small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     schema = StructType([rows.schema["row"], *StructType.fromDDL("score double")])
-    return rows.mapInArrow(_score(sent), schema)
+    return rows.mapInArrow(_score(sent, text), schema)

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbline.llm.common import slices, small_batches, strings
+from plumbline.llm.common import slices, small_batches, strings, with_text
 
 #: Piece types of a model file, and the marker that stands for a blank (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MARKER = "▁"
 #: Bytes of text that are searched at once.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: How far an unknown character's score lies below the worst piece (fixed value).
 UNKNOWN_PENALTY = 10.0
 
@@ -217,8 +217,8 @@ class Encoder:
         raw = np.frombuffer(units.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
         bounds = bounds - bounds[0]
         n = len(raw)
-        first = np.repeat(bounds[:-1], np.diff(bounds))  # of the unit of each byte
-        left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n)  # bytes to the unit's end
+        first = np.repeat(bounds[:-1], np.diff(bounds)).astype(np.int32)  # of the unit of each byte
+        left = (np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n)).astype(np.int32)  # to its end
         head = (raw & 0xC0) != 0x80
         width = np.where(raw < 0x80, 1, np.where(raw < 0xE0, 2, np.where(raw < 0xF0, 3, 4)))
 
@@ -237,11 +237,11 @@ class Encoder:
                 break
             piece = self.trie.value[node]
             ending = piece >= 0
-            found.append((at[ending], piece[ending]))
+            found.append((at[ending].astype(np.int32), piece[ending]))
             known[at[ending & (width[at] == depth)]] = True
-        strange = np.flatnonzero(head & ~known)
+        strange = np.flatnonzero(head & ~known).astype(np.int32)
         while len(found) < 4:
-            found.append((np.zeros(0, np.int64), np.zeros(0, np.int32)))
+            found.append((np.zeros(0, np.int32), np.zeros(0, np.int32)))
         for size in range(1, 5):
             here = strange[width[strange] == size]
             start, piece = found[size - 1]
@@ -251,16 +251,17 @@ class Encoder:
         # equal scores the one that starts first stays.
         start = np.concatenate([s for s, _ in reversed(found)])
         piece = np.concatenate([p for _, p in reversed(found)])
-        size = np.concatenate([np.full(len(s), d) for d, (s, _) in reversed(list(enumerate(found, 1)))])
+        size = np.concatenate([np.full(len(s), d, np.int32) for d, (s, _) in reversed(list(enumerate(found, 1)))])
         end = start + size
         far = end - first[start]
         far = far.astype(np.uint16) if far.max() < 1 << 16 else far
         order = np.argsort(far, kind="stable")
         start, piece, size, end, far = (x[order] for x in (start, piece, size, end, far))
+        del order, found
         score = np.where(piece >= 0, self.score[piece], self.unknown_score)
         # Ends lie one after the last byte of their edge, so each unit has slots of its own.
         best = np.full(n, -np.inf)
-        back = np.full(n, -1, np.int64)
+        back = np.full(n, -1, np.int32)
         group = np.flatnonzero((np.diff(far.astype(np.int64), prepend=-1) != 0) | (np.diff(size, prepend=-1) != 0))
         for a, b in zip(group, np.append(group[1:], len(start)), strict=True):
             s, e = start[a:b], end[a:b] - 1
@@ -302,11 +303,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(Pieces.load(path))
 
 
-def _encode(path: str, keep: list[str]):
+def _encode(path: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         low, high = (int(coder.byte_ids[0]), int(coder.byte_ids[-1])) if coder.byte_ids is not None else (1, 0)
-        for batch in slices(batches, "text"):
+        for batch in slices(with_text(batches, text), "text"):
             texts = strings(batch.column("text"))
             ids = coder.encode(texts)
             flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
@@ -314,13 +315,13 @@ def _encode(path: str, keep: list[str]):
             fallback = np.concatenate([[0], np.cumsum((flat >= low) & (flat <= high))])
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in keep),
+                    batch.column("row"),
                     pa.array(np.diff(offsets).astype(np.int64)),
                     pa.array((fallback[offsets[1:]] - fallback[offsets[:-1]]).astype(np.int64)),
                     ids,
                     pa.array(decoded, pa.string()),
                 ],
-                [*keep, "n_tokens", "n_bytes", "ids", "decoded"],
+                ["row", "n_tokens", "n_bytes", "ids", "decoded"],
             )
 
     return run
@@ -337,7 +338,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     longer last piece wins, from the end on. A null or empty text has no ids.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     more = "n_tokens long, n_bytes long, ids array<int>, decoded string"
     schema = StructType([rows.schema["row"], *StructType.fromDDL(more)])
-    return rows.mapInArrow(_encode(path, ["row"]), schema)
+    return rows.mapInArrow(_encode(path, text), schema)
