@@ -98,7 +98,7 @@ def shingle_sets(texts: pa.LargeStringArray, size: int = SHINGLE) -> tuple[np.nd
     count = np.bincount(doc, minlength=n)
     factor = mix(np.arange(1, size + 1, dtype=_U) * _INVERSE) | _U(1)
     total = np.zeros(len(words), _U)
-    for k in range(size):
+    for k in range(min(size, len(words))):
         total[: len(words) - k] += words[k:] * factor[k]
     first = np.concatenate([[0], np.cumsum(count)])
     place = np.arange(len(words)) - first[doc]

@@ -117,6 +117,19 @@ def test_shingles_of_a_slice():
         assert all((sets[i] == sets[j]) == (a == plain[j]) for j in range(i))
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_shingles_of_a_slice_with_few_words(n):
+    texts = ["", " ".join("abcdefg"[:n]), None]
+    hashes, ends = shingles.shingle_sets(pa.array([t or "" for t in texts], pa.large_string()))
+    assert list(np.diff(ends)) == [0, len(H.shingle_set(texts[1])), 0] and len(hashes) == ends[-1]
+
+
+@pytest.mark.parametrize("n", [2, 3])
+def test_near_duplicates_of_one_short_document(spark, n):
+    one = spark.createDataFrame([(1, " ".join("abcde"[:n]))], "doc_id long, text string")
+    assert [tuple(r) for r in ngram_join.similar_documents(one).collect()] == [(1, 1, 1)]
+
+
 def test_components(spark):
     rng = random.Random(8)
     links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 180)] + [(7, 7), (200, 199), (199, 200)]
