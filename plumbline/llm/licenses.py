@@ -101,9 +101,10 @@ RULES = [
     LicenceRule("CC0-1.0", ("cc0_notice",)),
 ]
 
-#: A sentence ends at a line end, or at . ! ? : with a blank after it.
+#: A sentence that may be a copyright notice ends at a line end, or at . ! ? : with a blank after it.
 SENTENCE_END = r"\n|(?:[.!?:][ \t\r]+)"
 _NOISE = r"[^a-z0-9]+"
+MARK = "©"
 
 
 def normalise(sentence: str) -> str:
@@ -118,22 +119,24 @@ def sentences(text: Column) -> Column:
     return F.transform(parts, lambda s: F.trim(F.regexp_replace(s, _NOISE, " ")))
 
 
-def identifiers(text: Column, known: dict[str, list[str]]) -> Column:
-    """The known sentences of a text in their order, by identifier. A sentence that starts with
-    `copyright` and holds a year is the identifier `copyright`."""
-    table = F.create_map(
-        *(F.lit(x) for name, texts in known.items() for t in texts for x in (normalise(t), name))
-    )
+def running(text: Column) -> Column:
+    """The words of a text in one line, after a mark at its start. Line ends, comment marks and
+    punctuation are blanks, so the places of line ends don't matter; `MARK` stands before a
+    sentence that starts with `copyright` and holds a year."""
+    notice = lambda s: s.startswith("copyright ") & s.rlike(" [12][0-9]{3}( |$)")
+    parts = F.transform(sentences(text), lambda s: F.when(notice(s), F.concat(F.lit(MARK + " "), s)).otherwise(s))
+    return F.concat(F.lit("| "), F.array_join(F.filter(parts, lambda s: s != ""), " "), F.lit(" "))
 
-    def name_of(s: Column) -> Column:
-        notice = s.startswith("copyright ") & s.rlike(" [12][0-9]{3}( |$)")
-        return F.when(notice, F.lit("copyright")).otherwise(F.element_at(table, s))
 
-    lengths = sorted({len(normalise(t)) for texts in known.values() for t in texts})
-    possible = F.filter(
-        sentences(text), lambda s: s.startswith("copyright ") | F.length(s).isin(lengths)
-    )
-    return F.filter(F.transform(possible, name_of), lambda s: s.isNotNull())
+def identifiers(text: Column, known: dict[str, list[str]]) -> Column:
+    """The known sentences of a text in their order, by identifier: found as whole words anywhere in
+    the running text, of those that start at one word the longest. A sentence that starts with
+    `copyright` and holds a year is the identifier `copyright`."""
+    names = {normalise(t): name for name, texts in known.items() for t in texts} | {MARK: "copyright"}
+    table = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    phrases = "|".join(sorted(names, key=len, reverse=True))
+    found = F.regexp_extract_all(running(text), F.lit(f"(?<= )(?:{phrases})(?= )"), F.lit(0))
+    return F.transform(found, lambda s: F.element_at(table, s))
 
 
 def scan_licences(
