@@ -3,11 +3,14 @@ of identifiers are matched against ordered rules."""
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm import licence_names
 from plumbline.llm.common import ascii_lower
 
 #: Known sentences by identifier, in lower case; compared after normalisation (see `sentences`).
@@ -101,6 +104,20 @@ RULES = [
     LicenceRule("CC0-1.0", ("cc0_notice",)),
 ]
 
+#: Identifiers that notices of these licences have in `SENTENCES`; other notices have one of their own.
+_HAVE = {"MIT": "mit_notice", "Apache-2.0": "apache_notice", "GPL-3.0-only": "gpl3_notice", "CC0-1.0": "cc0_notice",
+         "CC-BY-4.0": "cc_by_notice", "CC-BY-SA-4.0": "cc_by_sa_notice", "CC-BY-NC-4.0": "cc_by_nc_notice"}
+NOTICES = {_HAVE.get(x, f"notice_{x.lower()}"): names for x, names in licence_names.NAMES.items()}
+#: `SENTENCES` and `RULES` with the further texts and licences; what a scan uses by default.
+KNOWN = {k: SENTENCES.get(k, []) + licence_names.TEXTS.get(k, []) for k in [*SENTENCES, *licence_names.TEXTS]}
+ALL_RULES = [
+    *RULES,
+    *(LicenceRule(x, (name, "gpl_hope")) for x, name in licence_names.GNU.items()),
+    *(LicenceRule(x, (name,)) for x, name in licence_names.GNU.items()),
+    LicenceRule("Unlicense", ("unlicense_text",)),
+    *(LicenceRule(x, (f"notice_{x.lower()}",)) for x in licence_names.NAMES if x not in _HAVE),
+]
+
 #: A sentence that may be a copyright notice ends at a line end, or at . ! ? : with a blank after it.
 SENTENCE_END = r"\n|(?:[.!?:][ \t\r]+)"
 _NOISE = r"[^a-z0-9]+"
@@ -124,51 +141,67 @@ def running(text: Column) -> Column:
     punctuation are blanks, so the places of line ends don't matter; `MARK` stands before a
     sentence that starts with `copyright` and holds a year."""
     notice = lambda s: s.startswith("copyright ") & s.rlike(" [12][0-9]{3}( |$)")
+    text = F.regexp_replace(text, r"(?i)(gpl[- ]?v?[0-9.]+)\+", "$1-or-later")
     parts = F.transform(sentences(text), lambda s: F.when(notice(s), F.concat(F.lit(MARK + " "), s)).otherwise(s))
     return F.concat(F.lit("| "), F.array_join(F.filter(parts, lambda s: s != ""), " "), F.lit(" "))
 
 
-def identifiers(text: Column, known: dict[str, list[str]]) -> Column:
+def identifiers(text: Column, known: dict[str, list[str]], notices: dict[str, list[str]]) -> Column:
     """The known sentences of a text in their order, by identifier: found as whole words anywhere in
-    the running text, of those that start at one word the longest. A sentence that starts with
-    `copyright` and holds a year is the identifier `copyright`."""
+    the running text, of those that start at one word the longest. `notices` holds
+    names of licences, which count behind words like `licensed under the`, an SPDX tag, or `or` and
+    `and` after another. A sentence that starts with `copyright` and holds a year is `copyright`."""
     names = {normalise(t): name for name, texts in known.items() for t in texts} | {MARK: "copyright"}
-    table = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
-    phrases = "|".join(sorted(names, key=len, reverse=True))
-    found = F.regexp_extract_all(running(text), F.lit(f"(?<= )(?:{phrases})(?= )"), F.lit(0))
-    return F.transform(found, lambda s: F.element_at(table, s))
+    named = {x: name for name, texts in notices.items() for x in texts}
+    either = lambda xs: "|".join(sorted(xs, key=len, reverse=True))
+    before = f"{licence_names.UNDER}|{licence_names.TAG}"
+    pattern = f"(?<= )(?:{either(names)})(?= )"
+    if named:
+        pattern += f"|(?:(?<= )(?:{before})|{licence_names.NEXT})(?:{either(named)})(?= )"
+    table = F.create_map(*(F.lit(x) for pair in (named | names).items() for x in pair))
+    found = F.regexp_extract_all(running(text), F.lit(pattern), F.lit(0))
+    bare = lambda s: F.regexp_replace(s, f"^(?:{before}| (?:or|and) (?:the )?)", "")
+    return F.transform(found, lambda s: F.coalesce(F.try_element_at(table, s), F.try_element_at(table, bare(s))))
 
 
 def scan_licences(
     docs: DataFrame,
     text: str = "text",
-    known: dict[str, list[str]] = SENTENCES,
-    rules: list[LicenceRule] = RULES,
+    known: dict[str, list[str]] = KNOWN,
+    rules: list[LicenceRule] = ALL_RULES,
+    notices: dict[str, list[str]] = NOTICES,
 ) -> DataFrame:
     """One row per row of `docs`: struct `row`, `sentence_ids` (identifiers of its known sentences, in
     order), `licences` (those found, in the order of the rules) and `n_unused` (identifiers no
     rule has used).
 
+    By default, full texts of MIT, ISC, BSD-2/3-Clause, the Apache-2.0 header, the GNU notices and the
+    Unlicense are known, and notices and SPDX tags of the licences in `licence_names.NAMES`; others are not.
+
     Rules are tried in order. The identifiers of a rule must follow one another directly, but for
     `copyright`; all their occurrences are used up, so that a weaker rule doesn't see them again.
     A null or empty text has no identifiers. Every text is worked on in its own row: no shuffle,
     no join, and the tables of sentences and rules are part of the expression.
     """
-    ids = identifiers(F.coalesce(F.col(text), F.lit("")), known)
+    ids = identifiers(F.coalesce(F.col(text), F.lit("")), known, notices)
     out = docs.select(F.struct("*").alias("row"), ids.alias("ids"))
     chain = F.concat(F.lit("|"), F.array_join(F.filter("ids", lambda s: s != "copyright"), "||"), F.lit("|"))
     out = out.withColumn("chain0", F.when(F.size("ids") > 0, chain).otherwise(""))
+    # neighbouring rules of one identifier each don't affect one another: they are one step
+    steps = [list(g) for _, g in groupby(rules, lambda r: len(r.sequence) == 1 or r)]
     found = []
-    for k, rule in enumerate(rules):
-        wanted = "|" + "||".join(rule.sequence) + "|"
-        out = out.withColumn(f"hit{k}", F.col(f"chain{k}").contains(wanted)).withColumn(
-            f"chain{k + 1}", F.replace(F.col(f"chain{k}"), F.lit(wanted), F.lit("|-|"))
-        )
-        found.append(F.when(F.col(f"hit{k}"), F.lit(rule.licence)))
-    rest = F.filter(F.split(F.col(f"chain{len(rules)}"), r"\|", -1), lambda s: (s != "") & (s != "-"))
+    for k, step in enumerate(steps):
+        wanted = ["|" + "||".join(rule.sequence) + "|" for rule in step]
+        hits = [F.when(F.col(f"chain{k}").contains(w), F.lit(r.licence)) for w, r in zip(wanted, step, strict=True)]
+        used = "|".join(re.escape(w) for w in wanted)
+        out = out.withColumn(
+            f"hit{k}", F.when(F.col(f"chain{k}") != "", F.array_compact(F.array(*hits)))
+        ).withColumn(f"chain{k + 1}", F.regexp_replace(f"chain{k}", used, "|-|"))
+        found.append(F.coalesce(f"hit{k}", F.array().cast("array<string>")))
+    rest = F.filter(F.split(F.col(f"chain{len(steps)}"), r"\|", -1), lambda s: (s != "") & (s != "-"))
     return out.select(
         "row",
         F.col("ids").alias("sentence_ids"),
-        F.array_distinct(F.array_compact(F.array(*found))).alias("licences"),
+        F.array_distinct(F.flatten(F.array(*found))).alias("licences"),
         F.size(rest).cast("long").alias("n_unused"),
     )

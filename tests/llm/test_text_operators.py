@@ -191,6 +191,26 @@ def test_wrapped_licences(spark):
     assert licences_of(spark, marked) == [[x] for x in texts.values()] * 4
 
 
+def test_notices_of_common_licences(spark):
+    texts = {
+        "This file is released under the MIT License": ["MIT"],
+        "// SPDX-License-Identifier: MIT OR Apache-2.0": ["Apache-2.0", "MIT"],
+        "# SPDX-License-Identifier: GPL-2.0+": ["GPL-2.0-or-later"],
+        "SPDX-License-Identifier: LGPL-2.1-only\nmit freundlichem Text": ["LGPL-2.1-only"],
+        "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.": ["MPL-2.0"],
+        "made available under the\nterms of the Eclipse Public License v1.0 which": ["EPL-1.0"],
+        "licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License": ["CC-BY-SA-3.0"],
+        "This is free and unencumbered software released into the public domain.": ["Unlicense"],
+        "it under the terms of the GNU Affero General Public License as\npublished by the Free Software "
+        "Foundation, either version 3 of the\nLicense, or (at your option) any later version.": ["AGPL-3.0-or-later"],
+        "it under the terms of the GNU General Public License version 2 as\n"
+        "published by the Free Software Foundation.": ["GPL-2.0-only"],
+        "Licensed under the GNU GPL v3 or later": ["GPL-3.0-or-later"],
+        "The MIT Press and the Apache are under review": [],
+    }
+    assert licences_of(spark, texts) == list(texts.values())
+
+
 def test_url_rules(spark):
     rules = [
         url_filter.Rule("block", "net/"),
