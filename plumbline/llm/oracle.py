@@ -122,9 +122,121 @@ FROM documents LEFT JOIN ruled USING (doc_id)
 """
 
 
+OP11 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces
+), starts AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words
+), totals AS (
+  SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), f1 AS (
+  SELECT lang, ws[i] AS w1, count(*) AS f FROM starts GROUP BY ALL
+), f2 AS (
+  SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, count(*) AS f FROM starts WHERE i + 1 <= len(ws) GROUP BY ALL
+), f3 AS (
+  SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3, count(*) AS f
+  FROM starts WHERE i + 2 <= len(ws) GROUP BY ALL
+), within AS (
+  SELECT lang, w1, w2, max(f) AS longer FROM (
+    SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3
+  ) WHERE f >= 10 GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 c LEFT JOIN within USING (lang, w1, w2)
+  JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  WHERE c.f >= 10 AND NOT coalesce(100 * longer >= 50 * c.f, false)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1
+  JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3 WHERE c.f >= 10
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2
+  JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3 WHERE c.f >= 10
+), scored AS (
+  SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM scored JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+OP12 = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, coalesce(html, '') AS payload,
+    sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), groups AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+    THEN max(page_id) OVER (PARTITION BY payload_digest, payload) ELSE page_id END AS original
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+FROM groups
+"""
+
+_ROUND = """
+, near{r} AS MATERIALIZED (
+  SELECT x.vec_id, x.label, x.p, x.v, arg_min(b.e, (list_distance2(x.v, b.v) * 64 + b.e)) AS e,
+    min(list_distance2(x.v, b.v)) AS d
+  FROM parts x JOIN book{r} b USING (p) GROUP BY ALL
+)"""
+
+_UPDATE = """
+, sums{n} AS (
+  SELECT p, e, j, sum(v[j])::HUGEINT AS s, count(*) AS c
+  FROM (SELECT p, e, v, unnest(range(1, len(v) + 1)) AS j FROM near{r}) GROUP BY ALL
+), moved{n} AS (
+  SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY j)::BIGINT[] AS v FROM sums{n} GROUP BY ALL
+), book{n} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN moved{n} m USING (p, e)
+)"""
+
+
+def _codes_sql() -> str:
+    """Two rounds of k-means for each of 16 parts, written out."""
+    steps = "".join(_ROUND.format(r=r) + _UPDATE.format(r=r, n=r + 1) for r in range(2)) + _ROUND.format(r=2)
+    steps = steps.replace("list_distance2(x.v, b.v)", "list_sum([(t[1] - t[2]) * (t[1] - t[2]) FOR t IN list_zip(x.v, b.v)])")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS v
+  FROM (SELECT *, unnest(range(16)) AS p FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT p, e, v FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept
+  ) USING (vec_id) WHERE e < 64
+){steps}
+, coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+    sum(d)::BIGINT AS error
+  FROM near2 GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, j)) FROM (
+    SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS j FROM book2)) AS codebooks_sha256
+FROM coded
+"""
+
+
+OP13 = _codes_sql()
+
 ORACLES = {
     "op3_license_scan": _op3(),
     "op4_url_filter": OP4,
     "op5_line_dedup": OP5,
     "op6_decontaminate": OP6,
+    "op11_collocations": OP11,
+    "op12_warc_revisits": OP12,
+    "op13_vector_codes": OP13,
 }

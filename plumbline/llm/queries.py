@@ -13,6 +13,7 @@ from plumbline.llm.fingerprint import fingerprints
 from plumbline.llm.licenses import scan_licences
 from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.ngram_join import similar_documents
+from plumbline.llm.phrases import collocations
 from plumbline.llm.sentencepiece import encode_texts
 from plumbline.llm.token_counts import count_tokens
 from plumbline.llm.url_filter import Rule, judge_urls
@@ -111,6 +112,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -124,5 +129,6 @@ QUERIES = {
         op8_fingerprints,
         op9_ngram_join,
         op10_language_id,
+        op11_collocations,
     )
 }

@@ -55,13 +55,16 @@ def pieces(raw: np.ndarray, ends: np.ndarray, size: int = PIECE) -> np.ndarray:
     return np.array([*out, len(raw)] if out[-1] < len(raw) else out, np.int64)
 
 
-def _word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word begins, and its hash."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+def word_spans(
+    raw: np.ndarray, ends: np.ndarray, blank: np.ndarray = _BLANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins, its length in bytes and its hash, with A-Z lower-cased. `blank` marks the
+    bytes outside of words; the ASCII blanks must be among them."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     cuts = pieces(raw, ends)
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         part = raw[a:b]
-        inside = ~_BLANK[part]
+        inside = ~blank[part]
         edge = np.zeros(len(part), bool)
         edge[ends[(ends >= a) & (ends < b)] - a] = True  # a text starts a word of its own
         start = inside.copy()
@@ -74,11 +77,11 @@ def _word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
         terms[~inside] = 0
         words = np.add.reduceat(terms, begins) * powers(_INVERSE, len(part))[begins]
         del terms
-        lengths = np.add.reduceat(inside, begins, dtype=np.int64).astype(_U)
-        found.append((begins + a, mix(words ^ (lengths * _U(0xD6E8FEB86659FD93)))))
+        lengths = np.add.reduceat(inside, begins, dtype=np.int64)
+        found.append((begins + a, lengths, mix(words ^ (lengths.astype(_U) * _U(0xD6E8FEB86659FD93)))))
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, _U)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U)
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
 def shingle_sets(texts: pa.LargeStringArray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +93,7 @@ def shingle_sets(texts: pa.LargeStringArray, size: int = SHINGLE) -> tuple[np.nd
     """
     raw, ends = text_bytes(texts)
     n = len(ends) - 1
-    begins, words = _word_hashes(raw, ends)
+    begins, _, words = word_spans(raw, ends)
     if not len(begins):
         return np.zeros(0, _U), np.zeros(n + 1, np.int64)
 
