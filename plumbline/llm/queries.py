@@ -17,6 +17,7 @@ from plumbline.llm.phrases import collocations
 from plumbline.llm.sentencepiece import encode_texts
 from plumbline.llm.token_counts import count_tokens
 from plumbline.llm.url_filter import Rule, judge_urls
+from plumbline.llm.vector_codes import compress, hex_code, summed_over
 
 URL_RULES = [
     Rule("block", "net/"),
@@ -116,6 +117,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    rows = found.select("row.vec_id", "row.label", hex_code().alias("code"), "error")
+    digest = F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256")
+    return summed_over(rows, "label", "error", "label_error").select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,5 +138,6 @@ QUERIES = {
         op9_ngram_join,
         op10_language_id,
         op11_collocations,
+        op13_vector_codes,
     )
 }
