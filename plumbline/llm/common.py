@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +35,34 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write an intermediate table to the shared checkpoint folder and read it from there:
-    it survives lost executors and is computed once."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/plumbline-{uuid.uuid4().hex}"
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files of what is written in here as soon as it is complete."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
+def fresh_path(spark: SparkSession) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/plumbline-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared checkpoint folder and read it from there:
+    it survives lost executors and is computed once."""
+    spark = df.sparkSession
+    path = fresh_path(spark)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
@@ -53,9 +71,7 @@ def written(df: DataFrame) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that nothing will read again."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.written_to)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, quality
-from plumbline.llm.common import table
+from plumbline.llm import langid, quality, warc
+from plumbline.llm.common import discard, fresh_path, remove, table, written
 from plumbline.llm.decontaminate import find_leaks
 from plumbline.llm.fingerprint import fingerprints
 from plumbline.llm.licenses import scan_licences
@@ -117,6 +117,24 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op12_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crawled, kept = fresh_path(spark), fresh_path(spark)
+    warc.write_archive(table(spark, sf_dir, "pages"), crawled, "page_id", "url", "html")
+    warc.deduplicate_archive(spark, crawled, kept)
+    records = written(warc.read_archive(spark, kept, payload=False).drop("payload"))
+    found = warc.resolved(records)
+    discard(records)
+    for folder in (crawled, kept):
+        remove(spark, folder)
+    return found.select(
+        F.col("source_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_source").cast("long").alias("refers_to"),
+    )
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, books = compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     rows = found.select("row.vec_id", "row.label", hex_code().alias("code"), "error")
@@ -138,6 +156,7 @@ QUERIES = {
         op9_ngram_join,
         op10_language_id,
         op11_collocations,
+        op12_warc_revisits,
         op13_vector_codes,
     )
 }

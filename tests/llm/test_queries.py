@@ -13,7 +13,7 @@ import helpers as H
 from plumbline.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
 
@@ -33,7 +33,7 @@ def in_order(rows, columns):
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in entry.oracle_sql()])
