@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline import constants as K
@@ -150,3 +150,53 @@ def numeric_range_drift(before: DataFrame, now: DataFrame) -> DataFrame:
         .withColumn("max_change", change("max"))
         .where(F.greatest("min_change", "max_change") > K.RANGE_DRIFT_SHARE)
     )
+
+
+#: New values that a drift event names.
+NAMED_VALUES = 5
+NO_DRIFT = "type string, table string, column string, risk string, detail string"
+
+
+def run_drift(before, now) -> DataFrame:
+    """What changed between the stored states of two runs (tables, columns, values): tables and columns that
+    came or went, row counts, values that no column of the former run held, and numeric ranges.
+
+    Values are compared where the former run kept them; a column whose values were not kept then has no
+    new values. Only value rows are shuffled; each column's event names its least new values."""
+    listed = before.columns.where("has_values").select("table", "column")
+    known = now.values.join(F.broadcast(listed), ["table", "column"])  # one row per column
+    order = Window.partitionBy("table", "column").orderBy("value")
+    fresh = value_set_drift(before.values, known)
+    counted = fresh.groupBy("table", "column").agg(F.count("*").alias("values"), F.sum("n").alias("rows"))
+    named = (
+        fresh.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= NAMED_VALUES)
+        .groupBy("table", "column")
+        .agg(F.array_sort(F.collect_list("value")).alias("names"))
+    )
+    more = F.when(F.col("values") > NAMED_VALUES, F.lit(", …")).otherwise(F.lit(""))
+    value_events = counted.join(named, ["table", "column"]).select(
+        F.lit("VALUE_SET_DRIFT").alias("type"),
+        "table",
+        "column",
+        F.lit("MEDIUM").alias("risk"),
+        F.format_string("%d new value(s) in %d row(s): ", "values", "rows").alias("count"),
+        F.concat(F.array_join("names", ", "), more).alias("named"),
+    )
+    numeric = [state.columns.where("inferred_type = 'numeric'") for state in (before, now)]
+    moved = [
+        F.concat(F.lit(f"{end} "), F.col(f"old_{end}").cast("string"), F.lit(" -> "), F.col(f"new_{end}").cast("string"))
+        for end in ("min", "max")
+    ]
+    range_events = numeric_range_drift(*numeric).select(
+        F.lit("NUMERIC_RANGE_DRIFT").alias("type"),
+        "table",
+        "column",
+        F.lit("MEDIUM").alias("risk"),
+        F.concat_ws(", ", *moved).alias("detail"),
+    )
+    return union_all([
+        snapshot_drift(before.tables, now.tables),
+        value_events.withColumn("detail", F.concat("count", "named")).drop("count", "named"),
+        range_events,
+    ])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -12,7 +13,8 @@ from plumbline.operators import drift, remediate, rules
 from plumbline.plans import results
 from plumbline.plans.checks import all_findings
 from plumbline.plans.profile import Profile, profile
-from plumbline.session import cut
+from plumbline.session import cut, pin
+from plumbline.sources import snapshots
 
 
 @dataclass
@@ -23,6 +25,23 @@ class Results:
     suggestions: DataFrame
     cleaned: Mapping[str, DataFrame]
     unknown_values: DataFrame
+    history: str | None = None
+
+    @cached_property
+    def state(self) -> snapshots.State:
+        """What is kept of this run to compare the next one with."""
+        return snapshots.state(self.profile.tables, self.table_profile, self.column_profile)
+
+    @cached_property
+    def baseline_drift(self) -> DataFrame:
+        """What changed since the latest run of the history: tables, columns, row counts, new
+        values and numeric ranges. No rows without a history or a run in it."""
+        return self.drift_since(snapshots.latest_state(self.profile.spark, self.history) if self.history else None)
+
+    def drift_since(self, before: snapshots.State | None) -> DataFrame:
+        if before is None:
+            return self.profile.spark.createDataFrame([], drift.NO_DRIFT)
+        return pin(drift.run_drift(before, self.state))  # a few rows per table and column
 
     @property
     def column_profile(self) -> DataFrame:
@@ -77,10 +96,12 @@ def run_quality(
     with_snippets: bool = True,
     with_additions: bool = False,
     integer_keys: bool = False,
+    history: str | None = None,
 ) -> Results:
     """Run everything; dates after `as_of`, by default now, are future dates.
 
-    `integer_keys` lets whole numbers named like keys take part in relationships.
+    `history` is the folder of earlier runs that `export` keeps; the latest is the baseline of
+    `baseline_drift`. `integer_keys` lets whole numbers named like keys take part in relationships.
     Configuration: business_rules, expected_schema, primary_keys (all optional)."""
     config = config or {}
     as_of = as_of or datetime.now().isoformat(sep=" ", timespec="seconds")
@@ -99,4 +120,5 @@ def run_quality(
         suggestions=results.suggestions(findings),
         cleaned=remediate.remediate(found.tables, found.rows),
         unknown_values=unknown,
+        history=history,
     )

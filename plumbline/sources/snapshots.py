@@ -1,12 +1,19 @@
-"""Run snapshots: what each run loaded, kept as an append-only Parquet table."""
+"""Run snapshots: what each run loaded and found in its columns, kept as an append-only history.
+
+A run is written in parts (tables, columns, values) under a name of its own, and its commit last.
+Only committed runs are read back, so a run that was broken off is never a baseline."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.distinct import value_counts
 from plumbline.operators.drift import normalised_name
 from plumbline.sources.catalog import _exists
 
@@ -14,6 +21,25 @@ SCHEMA = (
     "table string, row_count bigint, columns array<string>, files array<string>, "
     "saved_at string, run_id string"
 )
+COLUMNS = (
+    "table string, column string, inferred_type string, row_count bigint, null_count bigint, "
+    "unique_count bigint, num_min double, num_max double, num_mean double, num_std double, "
+    "date_min timestamp_ntz, date_max timestamp_ntz, has_values boolean"
+)
+VALUES = "table string, column string, value string, n bigint"
+COMMITS = "run_id string, saved_at string, committed_at string, written_as string"
+#: The folder of each part and its columns; rows lie under the name their run was written as.
+PARTS = {"tables": SCHEMA, "columns": COLUMNS, "values": VALUES}
+
+
+@dataclass
+class State:
+    """What is kept of a run: a row for each table, for each column, and for each value of a column
+    with a limited set of values."""
+
+    tables: DataFrame
+    columns: DataFrame
+    values: DataFrame
 
 
 def snapshot(tables: DataFrame, files: Mapping[str, str], run_id: str, saved_at: str) -> DataFrame:
@@ -33,17 +59,83 @@ def snapshot(tables: DataFrame, files: Mapping[str, str], run_id: str, saved_at:
     )
 
 
-def append(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").partitionBy("run_id").parquet(path)
+def listed_columns(columns: DataFrame) -> DataFrame:
+    """Columns whose values are kept: categories, and ids that point elsewhere."""
+    return columns.where(
+        "inferred_type = 'categorical' OR (inferred_type = 'id' AND is_likely_fk AND NOT is_likely_pk)"
+    ).select("table", "column")
+
+
+def state(
+    tables: Mapping[str, DataFrame],
+    table_profile: DataFrame,
+    column_profile: DataFrame,
+    files: Mapping[str, str] | None = None,
+    run_id: str = "",
+    saved_at: str = "",
+) -> State:
+    """The state of a run from its profile; the values of the listed columns are counted from the tables."""
+    spark = table_profile.sparkSession
+    listed = [tuple(r) for r in listed_columns(column_profile).collect()]  # schema-sized
+    by_table: dict[str, list[str]] = {}
+    for table, column in listed:
+        by_table.setdefault(table, []).append(column)
+    values = value_counts(tables, by_table) if listed else spark.createDataFrame([], VALUES)
+    kept = spark.createDataFrame(listed, "table string, column string").withColumn("kept", F.lit(True))
+    columns = column_profile.join(F.broadcast(kept), ["table", "column"], "left")  # one row per column
+    names = [part.split()[0] for part in COLUMNS.split(", ")]
+    return State(
+        snapshot(table_profile, files or {}, run_id, saved_at),
+        columns.withColumns(
+            {"table": normalised_name(F.col("table")), "has_values": F.coalesce("kept", F.lit(False))}
+        ).select(*names),
+        values.withColumn("table", normalised_name(F.col("table"))),
+    )
+
+
+def append(rows: DataFrame, path: str, columns: DataFrame | None = None, values: DataFrame | None = None) -> None:
+    """Add a run to the history: its table rows, and what is given of its columns and values; at last the
+    commit that makes it a baseline. A run is rows of one run id and one time."""
+    written_as = uuid.uuid4().hex
+    for name, df in {"tables": rows, "columns": columns, "values": values}.items():
+        if df is not None:
+            df.write.parquet(f"{path}/{name}/written_as={written_as}")
+    spark = rows.sparkSession
+    committed = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    saved = spark.read.schema(SCHEMA).parquet(f"{path}/tables/written_as={written_as}")
+    commit = saved.agg(F.max("run_id").alias("run_id"), F.max("saved_at").alias("saved_at"))
+    commit.select(
+        "run_id", "saved_at", F.lit(committed).alias("committed_at"), F.lit(written_as).alias("written_as")
+    ).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def _last(spark: SparkSession, path: str) -> str | None:
+    """The name the latest run was written as: by the time it was saved, then by that of its commit,
+    then by its id. Ids are names and have no order of their own."""
+    if not _exists(spark, f"{path}/commits/*.parquet"):
+        return None
+    commits = spark.read.schema(COMMITS).parquet(f"{path}/commits")
+    found = commits.agg(F.max_by("written_as", F.struct("saved_at", "committed_at", "run_id"))).first()
+    return found[0]
+
+
+def latest_state(spark: SparkSession, path: str) -> State | None:
+    """What was kept of the latest run; None if there is none yet."""
+    last = _last(spark, path)
+    if last is None:
+        return None
+    parts = {}
+    for name, schema in PARTS.items():
+        folder = f"{path}/{name}/written_as={last}"
+        found = _exists(spark, folder)
+        parts[name] = spark.read.schema(schema).parquet(folder) if found else spark.createDataFrame([], schema)
+    return State(**parts)
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the latest run; no rows if there is none yet."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], SCHEMA)
-    history = spark.read.schema(SCHEMA).parquet(path)
-    last = history.agg(F.max("run_id").alias("run_id"))
-    return history.join(F.broadcast(last), "run_id")  # a single row
+    """The table rows of the latest run; no rows if there is none yet."""
+    found = latest_state(spark, path)
+    return found.tables if found else spark.createDataFrame([], SCHEMA)
 
 
 def baseline_info(rows: DataFrame) -> DataFrame:

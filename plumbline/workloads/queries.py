@@ -698,15 +698,18 @@ def drift_numeric_range(spark, folder):
       CAST(sum(row_count) AS BIGINT) AS total_rows FROM t"""
 )
 def drift_snapshot(spark, folder):
-    """Two runs are appended; the later one is read back."""
+    """Two runs are appended; the later one is read back, whatever the order of their ids. A third
+    is broken off before its commit."""
     path = scratch(spark)
     files = {"orders": "in/orders.parquet", "fx_v2": "in/fx.csv"}
     names = {"orders": "orders", "part": "part", "fx_v2": "fx"}
     given = {n: table(spark, folder, v) for n, v in names.items()}
     sizes = pin(facts.table_sizes(given))
     first = sizes.where("`table` <> 'part'")
-    snapshots.append(snapshots.snapshot(first, files, "run-1", "2024-01-01 00:00:00"), path)
-    snapshots.append(snapshots.snapshot(sizes, files, "run-2", "2024-01-02 00:00:00"), path)
+    snapshots.append(snapshots.snapshot(first, files, "run-9", "2024-01-01 00:00:00"), path)
+    snapshots.append(snapshots.snapshot(sizes, files, "run-10", "2024-01-02 00:00:00"), path)
+    broken = snapshots.snapshot(first, files, "run-11", "2024-01-03 00:00:00")
+    broken.write.parquet(f"{path}/tables/written_as=broken")
     info = snapshots.baseline_info(snapshots.latest(spark, path))
     return info.select(
         "saved_at", F.array_join("files", "|").alias("files"),
@@ -714,6 +717,62 @@ def drift_snapshot(spark, folder):
     )
 
 
+RUN_EVENTS = """
+    listed(tab, col) AS (VALUES ('orders', 'o_orderstatus'), ('orders', 'o_orderpriority')),
+    was AS (SELECT 'o_orderstatus' AS col, o_orderstatus AS v FROM before_orders
+      UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM before_orders),
+    is_now AS (SELECT 'o_orderstatus' AS col, o_orderstatus AS v FROM orders
+      UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders),
+    fresh AS (SELECT col, v, count(*) AS n FROM is_now
+      WHERE v IS NOT NULL AND (col, v) NOT IN (SELECT col, v FROM was WHERE v IS NOT NULL) GROUP BY ALL),
+    named AS (SELECT col, count(*) AS vs, sum(n) AS n, list(v ORDER BY v)[1:5] AS names FROM fresh GROUP BY col),
+    ranges AS (
+      SELECT 'o_totalprice' AS col, min(o_totalprice) AS a, max(o_totalprice) AS b,
+        (SELECT min(o_totalprice) FROM before_orders) AS c, (SELECT max(o_totalprice) FROM before_orders) AS d
+      FROM orders
+      UNION ALL SELECT 'o_custkey', min(o_custkey), max(o_custkey),
+        (SELECT min(o_custkey) FROM before_orders), (SELECT max(o_custkey) FROM before_orders) FROM orders
+      UNION ALL SELECT 'o_orderkey', min(o_orderkey), max(o_orderkey),
+        (SELECT min(o_orderkey) FROM before_orders), (SELECT max(o_orderkey) FROM before_orders) FROM orders)
+"""
+
+
+@query(
+    """WITH before_orders AS (
+      SELECT * FROM orders WHERE o_totalprice < 100000 AND o_orderstatus <> 'P' AND o_orderpriority NOT LIKE '1%'),"""
+    + RUN_EVENTS
+    + """SELECT 'TABLE_REMOVED' AS "type", 'part' AS "table", NULL AS "column", 'HIGH' AS risk, 'table removed' AS detail
+    UNION ALL SELECT 'TABLE_ADDED', 'nation', NULL, 'MEDIUM', 'table added'
+    UNION ALL SELECT 'COLUMN_REMOVED', 'orders', 'o_colour', 'HIGH', 'column removed'
+    UNION ALL SELECT 'ROW_COUNT_CHANGE', 'orders', NULL, 'LOW',
+      (SELECT count(*) FROM before_orders) || ' -> ' || (SELECT count(*) FROM orders)
+    UNION ALL SELECT 'VALUE_SET_DRIFT', 'orders', col, 'MEDIUM',
+      vs || ' new value(s) in ' || n || ' row(s): ' || array_to_string(names, ', ')
+        || CASE WHEN vs > 5 THEN ', …' ELSE '' END FROM named
+    UNION ALL SELECT 'NUMERIC_RANGE_DRIFT', 'orders', col, 'MEDIUM', '' FROM ranges
+      WHERE abs(a - c) > 0.5 * abs(c) OR abs(b - d) > 0.5 * abs(d)"""
+)
+def drift_run_baseline(spark, folder):
+    """A run over today's tables against the stored state of one over a part of the orders with one
+    more column and one more table. Of ranges the event is compared, not the wording of its numbers."""
+    now = {n: table(spark, folder, n) for n in ("orders", "nation")}
+    part = now["orders"].where(
+        "o_totalprice < 100000 AND o_orderstatus <> 'P' AND o_orderpriority NOT LIKE '1%'"
+    )
+    before = {"orders_v1": part.withColumn("o_colour", F.lit("red")), "part": table(spark, folder, "part")}
+    path, stages = scratch(spark), ("distinct",)
+    old, new = (profile(t, AS_OF, stages=stages) for t in (before, now))
+    kept = snapshots.state(old.tables, old.table_profile, old.columns, {}, "run-9", "2024-01-01 00:00:00")
+    snapshots.append(kept.tables, path, kept.columns, kept.values)
+    events = pin(
+        drift.run_drift(
+            snapshots.latest_state(spark, path), snapshots.state(new.tables, new.table_profile, new.columns)
+        )
+    )
+    ranged = F.col("type") == "NUMERIC_RANGE_DRIFT"
+    return events.withColumn("detail", F.when(ranged, F.lit("")).otherwise(F.col("detail")))
+
+
 # ---- findings and derived tables -----------------------------------------------------
 
 CONFIG = {"business_rules": [TYPE_RULE, COLUMN_RULE, RANGE_RULE]}

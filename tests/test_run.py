@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import export, load_tables, run_quality
-from plumbline.operators import rules
+from plumbline.operators import drift, rules
 from plumbline.plans import results
 from plumbline.sources import catalog, sinks, snapshots
 
@@ -140,6 +140,37 @@ def test_snapshots(spark, run, tmp_path):
     }
 
 
+def test_a_run_broken_off_is_no_baseline(spark, run, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    rows = lambda name, at: snapshots.snapshot(run.table_profile, {}, name, at)
+    snapshots.append(rows("run-9", "2024-01-02"), path, run.state.columns, run.state.values)
+    missing = run.state.values.withColumn("value", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        snapshots.append(rows("run-99", "2024-01-09"), path, run.state.columns, missing)
+    kept = snapshots.latest_state(spark, path)
+    assert {r["run_id"] for r in kept.tables.collect()} == {"run-9"}
+    assert kept.values.count() == run.state.values.count() > 0
+    assert kept.columns.count() == run.column_profile.count()
+    # ids are names: neither run-10 nor the time of writing decides, but the time a run was saved
+    snapshots.append(rows("run-10", "2024-01-03"), path)
+    snapshots.append(rows("run-8", "2024-01-01"), path)
+    assert {r["run_id"] for r in snapshots.latest(spark, path).collect()} == {"run-10"}
+    snapshots.append(rows("a", "2024-01-03"), path)  # of two runs saved at a time the later commit
+    assert {r["run_id"] for r in snapshots.latest(spark, path).collect()} == {"a"}
+    assert snapshots.latest_state(spark, path).values.count() == 0
+
+
+def test_new_values_are_named_up_to_a_few(spark):
+    before = {"t": spark.createDataFrame([("A", 1.0)] * 30 + [("B", 3.0)] * 30, "kind string, x double")}
+    rows = [(f"N{k}", 1.4) for k in range(7)] + [("A", 1.0)] * 60 + [(None, None)] * 3 + [("B", 4.5)]
+    now = {"t": spark.createDataFrame(rows, "kind string, x double")}
+    states = [run_quality(t).state for t in (before, now)]
+    events = [tuple(r) for r in drift.run_drift(*states).where("type <> 'ROW_COUNT_CHANGE'").collect()]
+    assert events == [
+        ("VALUE_SET_DRIFT", "t", "kind", "MEDIUM", "7 new value(s) in 7 row(s): N0, N1, N2, N3, N4, …"),
+    ]
+
+
 def test_a_single_table(spark):
     df = spark.createDataFrame([(i, "a") for i in range(3)], "id int, v string")
     found = run_quality({"t": df})
@@ -151,11 +182,44 @@ def test_export(spark, run, tmp_path):
         "trades": {"type": "csv", "file": "in/trades.csv"}, "customers": {"type": "parquet", "file": "in/customers"},
     }}
     paths, before = export(run, config, str(tmp_path), "run-1")
-    assert before.count() == 0 and len(paths) == 16
+    assert before.count() == 0 and len(paths) == 17
+    assert spark.read.parquet(str(tmp_path / "baseline_drift")).count() == 0
     _, before = export(run, config, str(tmp_path), "run-2")
     assert before.first()["files"] == ["customers", "trades.csv"]
     assert spark.read.parquet(str(tmp_path / "cleaned_customers")).count() == 10
     assert spark.read.parquet(str(tmp_path / "checklist")).count() == run.issues.count()
+    assert spark.read.parquet(str(tmp_path / "baseline_drift")).count() == 0  # nothing has changed
+
+
+def changed(spark):
+    """The tables of a later run: a side and a currency more, a price beyond the range, a row less, a
+    column and a table more, a column less."""
+    tables = make(spark)
+    trades = tables["trades"].where("`trade-code` <> 'TR-00001'").withColumn("desk", F.lit("A")).drop("trade-date")
+    trades = trades.withColumn("side", F.expr("CASE WHEN `trade-code` IN ('TR-00008', 'TR-00010') THEN 'Z' ELSE side END"))
+    trades = trades.withColumn("unit-price", F.expr("CASE WHEN `trade-code` = 'TR-00033' THEN 99999 ELSE `unit-price` END"))
+    return {"trades_v2": trades, "customers": tables["customers"], "notes": tables["customers"].select("currency")}
+
+
+def test_drift_since_the_run_before(spark, run, tmp_path):
+    history = str(tmp_path / "snapshots")
+    export(run, CONFIG, str(tmp_path), "run-9")
+    later = run_quality(changed(spark), as_of="2024-02-15", history=history)
+    events = {(r["type"], r["table"], r["column"]): (r["risk"], r["detail"]) for r in later.baseline_drift.collect()}
+    assert events == {
+        ("TABLE_ADDED", "notes", None): ("MEDIUM", "table added"),
+        ("COLUMN_ADDED", "trades", "desk"): ("MEDIUM", "column added"),
+        ("COLUMN_REMOVED", "trades", "trade-date"): ("HIGH", "column removed"),
+        ("ROW_COUNT_CHANGE", "trades", None): ("LOW", "60 -> 59"),
+        ("VALUE_SET_DRIFT", "trades", "side"): ("MEDIUM", "1 new value(s) in 2 row(s): Z"),
+        ("NUMERIC_RANGE_DRIFT", "trades", "unit-price"): ("MEDIUM", "min -2.0 -> -2.0, max 1300.0 -> 99999.0"),
+    }
+    paths, _ = export(later, {}, str(tmp_path), "run-10")
+    assert f"{tmp_path}/baseline_drift" in paths
+    assert spark.read.parquet(f"{tmp_path}/baseline_drift").count() == len(events)
+    again = run_quality(changed(spark), as_of="2024-02-15", history=history)
+    assert again.baseline_drift.count() == 0  # run-10 is the baseline, not run-9
+    assert run_quality(changed(spark), history=str(tmp_path / "nothing")).baseline_drift.count() == 0
 
 
 def test_allowed_values_of_numbers(spark):
