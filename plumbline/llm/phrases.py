@@ -24,10 +24,12 @@ TOP = 2000
 UNKNOWN = "und"
 #: Entries of a container that becomes a node with a container for each next word.
 BURST = 1 << 12
-#: Phrases a task holds before it spills its largest subtrees, until half as many are left.
-SPILL = 1 << 20
+#: Phrases a task holds before it spills its largest subtrees, until an eighth is left.
+SPILL = 3 << 19
 #: Spilled runs are cut into parts by the first two words of the phrase.
 PARTS = 1 << 16
+#: Parts of a language that are ranked for themselves; their best are ranked together.
+RANK_PARTS = 16
 #: Bits of the table of frequent phrases that tasks get: 4 MB at every size.
 TABLE_BITS = 25
 #: Further seeds that are tried if two words get the same id.
@@ -233,7 +235,7 @@ def _phrases(depth: int, table, seed: int, limit: int):
             _, first, counts = np.unique(code, return_index=True, return_counts=True)
             trie.add([ids[at[first] + place].tolist() for place in range(depth)], counts.tolist())
             if trie.entries > limit:
-                yield _run(*trie.spill(limit // 2))
+                yield _run(*trie.spill(limit // 8))
         if trie.entries:
             yield _run(*trie.spill(0))
 
@@ -369,8 +371,12 @@ def collocations(
         tables.append(_counted(rows, depth, table, seed, least, spill))
         table.unpersist()
     scored = union_all(_scored(tables, frequent, depth, cover) for depth in range(2, longest + 1))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # no language's candidates come together in one task: first the best of each of its parts
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).orderBy(*order)
+    best = scored.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= top)
+    last = Window.partitionBy("lang").orderBy(*order)
+    ranked = best.withColumn("rank", F.row_number().over(last).cast("long")).where(F.col("rank") <= top)
     totals = everything.groupBy("lang").agg(F.sum("n").alias("n"))
     out = written(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
     discard(everything, *tables[1:])
