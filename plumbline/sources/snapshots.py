@@ -5,17 +5,15 @@ Only committed runs are read back, so a run that was broken off is never a basel
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.distinct import value_counts
 from plumbline.operators.drift import normalised_name
-from plumbline.sources.catalog import _exists
+from plumbline.sources import history
 
 SCHEMA = (
     "table string, row_count bigint, columns array<string>, files array<string>, "
@@ -27,7 +25,6 @@ COLUMNS = (
     "date_min timestamp_ntz, date_max timestamp_ntz, has_values boolean"
 )
 VALUES = "table string, column string, value string, n bigint"
-COMMITS = "run_id string, saved_at string, committed_at string, written_as string"
 #: The folder of each part and its columns; rows lie under the name their run was written as.
 PARTS = {"tables": SCHEMA, "columns": COLUMNS, "values": VALUES}
 
@@ -96,40 +93,18 @@ def state(
 def append(rows: DataFrame, path: str, columns: DataFrame | None = None, values: DataFrame | None = None) -> None:
     """Add a run to the history: its table rows, and what is given of its columns and values; at last the
     commit that makes it a baseline. A run is rows of one run id and one time."""
-    written_as = uuid.uuid4().hex
-    for name, df in {"tables": rows, "columns": columns, "values": values}.items():
-        if df is not None:
-            df.write.parquet(f"{path}/{name}/written_as={written_as}")
-    spark = rows.sparkSession
-    committed = datetime.now(timezone.utc).isoformat(timespec="microseconds")
-    saved = spark.read.schema(SCHEMA).parquet(f"{path}/tables/written_as={written_as}")
-    commit = saved.agg(F.max("run_id").alias("run_id"), F.max("saved_at").alias("saved_at"))
-    commit.select(
-        "run_id", "saved_at", F.lit(committed).alias("committed_at"), F.lit(written_as).alias("written_as")
-    ).coalesce(1).write.mode("append").parquet(f"{path}/commits")
-
-
-def _last(spark: SparkSession, path: str) -> str | None:
-    """The name the latest run was written as: by the time it was saved, then by that of its commit,
-    then by its id. Ids are names and have no order of their own."""
-    if not _exists(spark, f"{path}/commits/*.parquet"):
-        return None
-    commits = spark.read.schema(COMMITS).parquet(f"{path}/commits")
-    found = commits.agg(F.max_by("written_as", F.struct("saved_at", "committed_at", "run_id"))).first()
-    return found[0]
+    named = rows.agg(F.max("run_id"), F.max("saved_at")).first()
+    parts = {"tables": rows, "columns": columns, "values": values}
+    given = {name: df for name, df in parts.items() if df is not None}
+    history.add(rows.sparkSession, path, given, named[0] or "", named[1] or "")
 
 
 def latest_state(spark: SparkSession, path: str) -> State | None:
     """What was kept of the latest run; None if there is none yet."""
-    last = _last(spark, path)
+    last = history.latest(spark, path)
     if last is None:
         return None
-    parts = {}
-    for name, schema in PARTS.items():
-        folder = f"{path}/{name}/written_as={last}"
-        found = _exists(spark, folder)
-        parts[name] = spark.read.schema(schema).parquet(folder) if found else spark.createDataFrame([], schema)
-    return State(**parts)
+    return State(**{name: history.part(spark, path, name, schema, [last]) for name, schema in PARTS.items()})
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from plumbline.functions import parsing as P
 from plumbline.functions.columns import ref
 from plumbline.operators import (
-    distinct, drift, duplicates, facts, infer, measures, ordered, relate, remediate, rules,
+    distinct, drift, duplicates, facts, footers, infer, measures, ordered, relate, remediate, rules,
     statistics, temporal,
 )
-from plumbline.plans import checks, results
+from plumbline.plans import checks, incremental, results
 from plumbline.plans.profile import profile
 from plumbline.plans.quality import run_quality
 from plumbline.session import checkpoint_dir, pin, union_all
@@ -565,6 +565,51 @@ def check_benford(spark, folder):
     return rounded(statistics.first_digits(tables(spark, folder, BENFORD), BENFORD))
 
 
+@query(
+    O.with_clause(GIVEN, *O.profiled(GIVEN))
+    + """SELECT tab AS "table", col AS "column", row_count, null_count, round(num_min, 4) AS num_min,
+      round(num_max, 4) AS num_max, date_min, date_max FROM p"""
+)
+def profile_footers(spark, folder):
+    """Counts and bounds of whole files from their footers; fractions and moments are scanned."""
+    paths = {name: f"{folder}/{name}.parquet" for name in GIVEN}
+    found = footers.footer_facts(spark, paths)
+    return rounded(found.drop("position", "kind", "from_footer"))
+
+
+GROWING = ["dirty_orders_empty", "dirty_strings"]
+
+
+@query(
+    O.with_clause(GROWING, *O.profiled(GROWING))
+    + """SELECT tab AS "table", col AS "column", typ AS inferred_type, row_count, null_count, unique_count,
+      CAST(repeated_rows AS BIGINT) AS repeated_rows, pk AS is_likely_pk, fk AS is_likely_fk,
+      round(num_min, 4) AS num_min, round(num_max, 4) AS num_max, round(num_mean, 4) AS num_mean,
+      round(num_std, 4) AS num_std, date_min, date_max,
+      CAST(CASE WHEN tab = 'dirty_strings' THEN 1 ELSE 2 END AS BIGINT) AS files_read FROM p"""
+)
+def profile_incremental(spark, folder):
+    """Tables that grow by files: profiled, then extended by one or two files and profiled again. The second
+    profile reads the new files only."""
+    parts = []
+    for name in GROWING:
+        path = scratch(spark)
+        rows = table(spark, folder, name).withColumn("part", F.pmod(F.xxhash64("o_orderkey"), F.lit(3)))
+        for numbers in ((0, 1), (2,)) if name == "dirty_strings" else ((0,), (1, 2)):
+            for number in numbers:
+                some = rows.where(F.col("part") == number).drop("part")
+                some.coalesce(1).write.mode("append").parquet(f"{path}/rows")
+            found = incremental.profile_files(spark, f"{path}/rows", f"{path}/state", name, AS_OF)
+        parts.append(found.columns.withColumn("files_read", F.lit(len(found.read)).cast("bigint")))
+    return rounded(
+        union_all(parts).select(
+            "table", "column", "inferred_type", "row_count", "null_count", "unique_count", "repeated_rows",
+            "is_likely_pk", "is_likely_fk", "num_min", "num_max", "num_mean", "num_std", "date_min", "date_max",
+            "files_read",
+        )
+    )
+
+
 # ---- drift ---------------------------------------------------------------------------
 
 # the book as delivered: one column dropped, one added, one table missing, one versioned
