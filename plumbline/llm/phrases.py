@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import LOWER, UPPER, discard, slices, small_batches, strings, written
+from plumbline.llm.common import discard, slices, small_batches, strings, written
 from plumbline.llm.shingles import mix, text_bytes, word_spans
 from plumbline.session import union_all
 
@@ -25,7 +25,7 @@ UNKNOWN = "und"
 #: Entries of a container that becomes a node with a container for each next word.
 BURST = 1 << 12
 #: Phrases a task holds before it spills its largest subtrees, until an eighth is left.
-SPILL = 3 << 19
+SPILL = 1 << 20
 #: Spilled runs are cut into parts by the first two words of the phrase.
 PARTS = 1 << 16
 #: Parts of a language that are ranked for themselves; their best are ranked together.
@@ -58,6 +58,18 @@ class HatTrie:
         self.root = self._add(self.root, columns, counts)
 
     def _add(self, tree: dict, columns: list[list[int]], counts: list[int]) -> dict:
+        if isinstance(tree, Node) and len(columns) == 2:  # containers of single ids never burst
+            head, box, new = None, {}, 0
+            for word, key, n in zip(*columns, counts, strict=True):
+                if word != head:
+                    head, box = word, tree.setdefault(word, {})
+                if key in box:
+                    box[key] += n
+                else:
+                    box[key] = n
+                    new += 1
+            self.entries += new
+            return tree
         if isinstance(tree, Node):
             first, at = columns[0], 0
             while at < len(first):
@@ -150,10 +162,8 @@ class _Words:
 
     def text(self, at: int) -> str:
         begin = self.begins[at]
-        return self.raw[begin : begin + self.lengths[at]].tobytes().decode("utf-8", "replace").translate(_FOLD)
-
-
-_FOLD = str.maketrans(UPPER, LOWER)
+        word = self.raw[begin : begin + self.lengths[at]].tobytes()
+        return word.lower().decode("utf-8", "replace")  # bytes: A-Z only
 
 
 def _vocabulary(seed: int, limit: int):
@@ -228,10 +238,14 @@ def _phrases(depth: int, table, seed: int, limit: int):
             at = np.flatnonzero(fits)
             if not len(at):
                 continue
-            _, local = np.unique(ids, return_inverse=True)
-            code = local[at]
+            # numbers in the order of the ids, put together to numbers in the order of the phrases
+            used, local = np.unique(np.concatenate([ids[at + place] for place in range(depth)]), return_inverse=True)
+            local = local.reshape(depth, -1)
+            code = local[0]
             for place in range(1, depth):
-                _, code = np.unique(code * n + local[at + place], return_inverse=True)
+                code = code * len(used) + local[place]
+                if place < depth - 1:
+                    _, code = np.unique(code, return_inverse=True)
             _, first, counts = np.unique(code, return_index=True, return_counts=True)
             trie.add([ids[at[first] + place].tolist() for place in range(depth)], counts.tolist())
             if trie.entries > limit:
