@@ -8,10 +8,10 @@ so Spark limits each group inside the task before shuffling.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from plumbline import constants as K
 from plumbline.functions import parsing as P
 from plumbline.functions.columns import BOOLEAN, DATE, NUMERIC, STRING, is_float, kind_of, literal, quoted, ref
-from plumbline.session import together, union_all
+from plumbline.operators.facts import measure
+from plumbline.session import pin, union_all
 
 LONG_TEXT = 64
 SLOTS = ("bigint", "double", "timestamp_ntz", "string")
@@ -197,49 +198,142 @@ def top_values(counts: DataFrame, k: int = K.TOP_VALUES) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+#: Counters per column of the first pass of `heavy_values`, and how many of the largest are looked into.
+COUNTERS = 1 << 16
+LOOKED_INTO = 64
+
+
+def heavy_values(
+    tables: Mapping[str, DataFrame],
+    columns: Mapping[str, Iterable[str]],
+    k: int = K.TOP_VALUES,
+    counters: int = COUNTERS,
+    looked_into: int = LOOKED_INTO,
+) -> DataFrame:
+    """The k most frequent values per column (table, column, rank, value, n), ties by value, without
+    grouping all distinct values where that can be avoided.
+
+    The first pass adds up the rows of a fixed number of counters, to which values are dealt by hash. The
+    second counts the values of the largest counters exactly. A value of any other counter has at most the rows
+    of the largest of those, so if the k-th count found is above that, nothing is missing: that is the proof.
+    Only columns without proof, in which no k values stand out, have all their values grouped."""
+    tables = {t: df.select(*[ref(c) for c in columns[t]]) for t, df in tables.items() if columns.get(t)}
+    spark = next(iter(tables.values())).sparkSession
+    proven, rest = [], {}
+    parts = [(slot, found) for slot in SLOTS if (found := cells(tables, slot)) is not None]
+    dealt = F.pmod(F.xxhash64("value"), F.lit(counters)).cast("int").alias("counter")
+    counted = union_all(found.select("key", dealt) for _, found in parts).groupBy("key", "counter").agg(F.count("*").alias("n"))
+    largest = Window.partitionBy("key").orderBy(F.desc("n"), "counter")
+    rows = counted.withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= looked_into + 1).collect()
+    beyond = {r["key"]: r["n"] for r in rows if r["rank"] > looked_into}
+    chosen = spark.createDataFrame(
+        [(r["key"], r["counter"]) for r in rows if r["rank"] <= looked_into], "key int, counter int"
+    )
+    order = Window.partitionBy("key").orderBy(F.desc("n"), "value")
+
+    def top(found: DataFrame) -> DataFrame:
+        counts = found.groupBy("key", "value").agg(F.count("*").alias("n"))
+        ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return ranked.select("key", "rank", F.col("value").cast("string").alias("value"), "n")
+
+    # a few counters of each column
+    kept = pin(
+        union_all(
+            top(found.withColumn("counter", dealt).join(F.broadcast(chosen), ["key", "counter"]).drop("counter"))
+            for _, found in parts
+        )
+    )
+    last = {r["key"]: r["n"] for r in kept.where(F.col("rank") == k).select("key", "n").collect()}
+    listing = [(table, c) for table, df in tables.items() for c in df.columns]
+    for key, (table, column) in enumerate(listing):
+        if key in beyond and last.get(key, 0) <= beyond[key]:
+            rest.setdefault(table, []).append(column)
+        else:
+            proven.append(key)
+    out = [named(kept.where(F.col("key").isin(proven)), tables)]
+    if rest:
+        open_tables = {t: tables[t].select(*[ref(c) for c in cs]) for t, cs in rest.items()}
+        whole = [top(found) for slot in SLOTS if (found := cells(open_tables, slot)) is not None]
+        out.append(named(union_all(whole), open_tables))
+    return union_all(out).select("table", "column", "rank", "value", "n")
+
+
+#: Groups of values whose least ones bound the k smallest; more than k.
+BOUND_GROUPS = 8
+
+
+def _year_first(moment: str) -> tuple[int, str]:
+    year, rest = re.match(r"([+-]?\d+)-(.*)", moment).groups()
+    return int(year), rest
+
+
+#: The order of values of each type, given as text.
+IN_ORDER = {"bigint": int, "double": float, "timestamp_ntz": _year_first, "string": str.encode}
+
+
+def _bounds(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]], k: int) -> dict[tuple, str | None]:
+    """A value that at least k distinct values of the column don't exceed, or None if fewer were seen.
+
+    The values are dealt to a few groups by hash. The least of each group are different values of the column,
+    so the k-th of them is a bound, whatever the order of the rows: one plain aggregate, one row per task."""
+    groups = max(BOUND_GROUPS, k + k // 2)
+    wanted = []
+    for table, names in columns.items():
+        for name in names:
+            slot = _slot(tables[table].schema[name].dataType)
+            value = f"CAST({quoted(name)} AS {slot})"
+            least = {
+                f"g{g}": f"CAST(min(CASE WHEN pmod(xxhash64({value}), {groups}) = {g} THEN {value} END) AS STRING)"
+                for g in range(groups)
+            }
+            wanted.append((table, name, slot, least))
+    found = measure(tables, [(table, exprs) for table, _, _, exprs in wanted])
+    bounds = {}
+    for (table, name, slot, least), row in zip(wanted, found):
+        seen = sorted((row[g] for g in least if row[g] is not None), key=IN_ORDER[slot])
+        bounds[table, name] = seen[k - 1] if len(seen) >= k else None
+    return bounds
+
+
 def smallest_values(
     tables: Mapping[str, DataFrame],
     columns: Mapping[str, Iterable[str]] | None = None,
     k: int = K.SAMPLE_VALUES,
 ) -> DataFrame:
-    """The k smallest distinct values per column as text.
-
-    Each round takes the least value above the one before, for all columns of a table in one
-    aggregate: k scans, and one row per task is all that is shuffled, in whatever order the rows
-    lie. Tables are looked at at the same time."""
-
-    def rounds(table: str, df: DataFrame) -> list[dict]:
-        wanted = df.columns if columns is None else list(columns.get(table, ()))
-        cells = {
-            f.name: (f"CAST({quoted(f.name)} AS {_slot(f.dataType)})", _slot(f.dataType))
-            for f in df.schema.fields
-            if f.name in wanted and _slot(f.dataType)
-        }
-        last: dict[str, str | None] = dict.fromkeys(cells)
-        found = []
-        for rank in range(1, k + 1):
-            least = []
-            for i, (name, value) in enumerate(last.items()):
-                cell, slot = cells[name]
-                above = cell if value is None else (
-                    f"CASE WHEN {cell} > CAST({literal(value)} AS {slot}) THEN {cell} END"
-                )
-                least.append(f"CAST(min({above}) AS STRING) AS `{i}`")
-            if not least:
-                break
-            row = df.selectExpr(*least).first()
-            last = {name: row[i] for i, name in enumerate(last) if row[i] is not None}
-            found += [
-                {"table": table, "column": name, "rank": rank, "value": value}
-                for name, value in last.items()
-            ]
-        return found
-
-    spark = next(iter(tables.values())).sparkSession
-    tasks = [lambda t=t, df=df: rounds(t, df) for t, df in tables.items()]
-    found = [row for rows in together(spark, *tasks) for row in rows]
-    schema = "table string, column string, rank int, value string"
-    return spark.createDataFrame(pa.Table.from_pylist(found) if found else [], schema=schema)
+    """The k smallest distinct values per column as text, ranked from 1.
+
+    Two scans: the first gives a proven upper bound of the k-th value of every column; the second
+    groups the few values up to it. Copies are combined before the shuffle, and what is shuffled doesn't grow
+    with the number of values, in whatever order the rows lie."""
+    wanted = {
+        table: [
+            f.name for f in df.schema.fields
+            if _slot(f.dataType) and (columns is None or f.name in set(columns.get(table, ())))
+        ]
+        for table, df in tables.items()
+    }
+    bounds = _bounds(tables, {t: names for t, names in wanted.items() if names}, k)
+    low = {}
+    for table, names in wanted.items():
+        kept = []
+        for name in names:
+            slot, bound = _slot(tables[table].schema[name].dataType), bounds[table, name]
+            value = f"CAST({quoted(name)} AS {slot})"
+            within = value if bound is None else f"CASE WHEN {value} <= CAST({literal(bound)} AS {slot}) THEN {value} END"
+            kept.append(f"{within} AS {quoted(name)}")
+        if kept:
+            low[table] = tables[table].selectExpr(*kept)
+    parts = []
+    for slot in SLOTS:
+        found = cells(low, slot)
+        if found is not None:
+            order = Window.partitionBy("key").orderBy("value")
+            ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            parts.append(ranked.select("key", "rank", F.col("value").cast("string").alias("value")))
+    if not parts:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "table string, column string, rank int, value string")
+    return named(union_all(parts), low).select("table", "column", "rank", "value")
 
 
 def smallest_texts(df: DataFrame, name: str, k: int = K.SAMPLE_VALUES) -> list[str]:

@@ -1,10 +1,11 @@
 """Exact quantiles with bounded memory.
 
-An exact `percentile` keeps all distinct values of a column in one task. Here a wanted rank
-is narrowed first: an approximate sketch proposes an interval around it, one counting pass
-proves on which side of the interval ends the rank lies, and this repeats until few rows are
-left inside. Only those rows are sorted. The result is exact whatever the sketch returned,
-because every step is checked by counts.
+An exact `percentile` keeps all distinct values of a column in one task. Here a wanted rank is narrowed
+first: one mergeable sketch per column proposes a row of values around each rank, within the error its
+size allows; one pass counts exactly how many rows lie below each of them, which proves between
+which two neighbours the rank lies; and the rows between these are selected from. Three scans in all,
+whatever the number of rows. Should the sketch have been off, the counts show it and the
+next round starts from what they prove. The result is exact whatever the sketch returned.
 """
 
 from __future__ import annotations
@@ -19,10 +20,15 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import quoted
 from plumbline.operators.facts import measure
-from plumbline.session import union_all
+from plumbline.session import cut, union_all
 
+#: Up to so many rows of an interval are put in order by one task; more are dealt out by range.
 SORTED_ROWS = 1_000_000
-SKETCH_ACCURACY = 2_000
+#: Size parameter of the sketch, and three times the rank error it has for that size.
+SKETCH_SIZE = 4096
+MARGIN = 3 * 2.296 / SKETCH_SIZE**0.9723
+#: Values proposed on either side of a rank.
+STEPS = 8
 
 
 def _number(value: float) -> str:
@@ -53,60 +59,79 @@ class Target:
         return f"{self.number} IS NOT NULL{low}{high}"
 
 
-def _narrow(tables: Mapping[str, DataFrame], targets: list[Target]) -> None:
-    """One round: propose an interval per target by sketch, then prove it by counting."""
-    margin = 3 / SKETCH_ACCURACY
-    shares: dict[tuple, list[float]] = {}
-    places = []
-    for t in targets:  # targets of one column and interval share a sketch
-        wanted = shares.setdefault((t.table, t.number, t.interval), [])
-        share = (t.rank - t.below) / t.inside
-        places.append(((t.table, t.number, t.interval), len(wanted)))
-        wanted += [max(0.0, share - margin), min(1.0, share + margin)]
+def _proposed(tables: Mapping[str, DataFrame], targets: list[Target]) -> dict[tuple, list[float]]:
+    """Values around each wanted rank, from one sketch per column and interval."""
+    shares: dict[tuple, set[float]] = {}
+    for t in targets:
+        middle = (t.rank - t.below) / t.inside
+        around = {middle + MARGIN * step / STEPS for step in range(-STEPS, STEPS + 1)}
+        # ranks next to each other ask for the same values
+        near = (round(min(1.0, max(0.0, share)), 6) for share in around)
+        shares.setdefault((t.table, t.number, t.interval), set()).update(near)
     sketches = [
         (
             table,
             {
-                "found": f"percentile_approx(CASE WHEN {interval} THEN {number} END, "
-                f"array({', '.join(f'{s}D' for s in wanted)}), {SKETCH_ACCURACY})"
+                "found": "kll_sketch_get_quantile_double("
+                f"kll_sketch_agg_double(CASE WHEN {interval} THEN {number} END, {SKETCH_SIZE}), "
+                f"array({', '.join(f'{s!r}D' for s in sorted(wanted))}))"
             },
         )
         for (table, number, interval), wanted in shares.items()
     ]
-    found = {key: row["found"] for key, row in zip(shares, measure(tables, sketches))}
-    ends = [found[key][i : i + 2] for key, i in places]
-    counted = measure(
-        tables,
-        [
-            (
-                t.table,
-                {
-                    "below_a": f"count_if({t.number} < {_number(a)})",
-                    "upto_a": f"count_if({t.number} <= {_number(a)})",
-                    "below_b": f"count_if({t.number} < {_number(b)})",
-                    "upto_b": f"count_if({t.number} <= {_number(b)})",
-                },
-            )
-            for t, (a, b) in zip(targets, ends)
-        ],
-    )
-    for t, (a, b), c in zip(targets, ends, counted):
+    found = measure(tables, sketches)
+    return {key: sorted(set(row["found"])) for key, row in zip(shares, found)}
+
+
+def _narrow(tables: Mapping[str, DataFrame], targets: list[Target]) -> None:
+    """One round: propose values per target by sketch, then prove by counting between which two the rank
+    lies, or that it is one of them."""
+    proposed = _proposed(tables, targets)
+    entries = [
+        (
+            table,
+            {
+                "below": "array(" + ", ".join(f"count_if({number} < {_number(v)})" for v in values) + ")",
+                "upto": "array(" + ", ".join(f"count_if({number} <= {_number(v)})" for v in values) + ")",
+            },
+        )
+        for (table, number, _), values in proposed.items()
+    ]
+    counted = dict(zip(proposed, measure(tables, entries)))
+    for t in targets:
+        key = (t.table, t.number, t.interval)
         top = t.below + t.inside
-        if c["below_a"] <= t.rank < c["upto_a"]:
-            t.value = a
-        elif c["below_b"] <= t.rank < c["upto_b"]:
-            t.value = b
-        elif t.rank < c["below_a"]:
-            t.high, t.inside = a, c["below_a"] - t.below
-        elif t.rank >= c["upto_b"]:
-            t.low, t.below, t.inside = b, c["upto_b"], top - c["upto_b"]
-        else:
-            t.low, t.below = a, c["upto_a"]
-            t.high, t.inside = b, c["below_b"] - c["upto_a"]
-
-
-def _select(tables: Mapping[str, DataFrame], targets: list[Target]) -> None:
-    """Sort the few rows left inside each interval and read off the ranks."""
+        for value, below, upto in zip(proposed[key], counted[key]["below"], counted[key]["upto"]):
+            if below <= t.rank < upto:
+                t.value = value
+                break
+            if upto <= t.rank:
+                t.low, t.below = value, upto
+            elif below < top:
+                t.high, top = value, below
+                break
+        t.inside = top - t.below
+
+
+def _with_upto(counts: DataFrame, *keys: str) -> DataFrame:
+    """How many rows of the group have a value up to each value."""
+    order = Window.partitionBy(*keys).orderBy("x")
+    return counts.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _ranked_by_parts(counts: DataFrame) -> DataFrame:
+    """The same for intervals of any size: values are dealt out by range, each part is put in order for
+    itself, and the rows of the parts before it are added."""
+    dealt = cut(counts.repartitionByRange("interval", "x").withColumn("part", F.spark_partition_id()))
+    sizes = dealt.groupBy("interval", "part").agg(F.sum("n").alias("rows"))  # one row per task
+    before = Window.partitionBy("interval").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")
+    placed = _with_upto(dealt, "interval", "part").join(F.broadcast(offsets), ["interval", "part"])
+    return placed.select("interval", "x", "n", (F.col("upto") + F.col("before")).alias("upto"))
+
+
+def _select(tables: Mapping[str, DataFrame], targets: list[Target], sorted_rows: int) -> None:
+    """Put the rows left inside each interval in order and read off the ranks."""
     intervals: dict[tuple, list[Target]] = {}
     for t in targets:
         intervals.setdefault((t.table, t.column, t.low, t.high), []).append(t)
@@ -119,15 +144,11 @@ def _select(tables: Mapping[str, DataFrame], targets: list[Target]) -> None:
         )
         long = narrow.unpivot([], [f"`{i}`" for i, _ in chosen], "interval", "x")
         parts.append(long.where("x IS NOT NULL").selectExpr("CAST(interval AS INT)", "x"))
-    running = Window.partitionBy("interval").orderBy("x").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = (
-        union_all(parts)
-        .groupBy("interval", "x")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(running))
-    )
+    counts = union_all(parts).groupBy("interval", "x").agg(F.count(F.lit(1)).alias("n"))
+    if any(group[0].inside > sorted_rows for _, group in groups):
+        ranked = _ranked_by_parts(counts)
+    else:
+        ranked = _with_upto(counts, "interval")
     ranks = [(i, t.rank - t.below) for i, group in groups for t in group]
     wanted = ranked.sparkSession.createDataFrame(
         pa.table({"interval": [r[0] for r in ranks], "local": [r[1] for r in ranks]}),
@@ -157,14 +178,19 @@ def exact_quantiles(
             position = p * (n - 1)
             for rank in (math.floor(position), math.ceil(position)):
                 ranks.setdefault((table, column, rank), Target(table, column, rank, n))
-    while True:
-        wide = [t for t in ranks.values() if t.value is None and t.inside > sorted_rows]
-        if not wide:
-            break
+    wide = [t for t in ranks.values() if t.inside > sorted_rows]
+    while wide:
+        sizes_before = {id(t): t.inside for t in wide}
         _narrow(tables, wide)
+        # one round leaves less than the margin of the sketch; only if it was off, another may help
+        wide = [
+            t for t in wide
+            if t.value is None and t.inside > sorted_rows
+            and sizes_before[id(t)] * MARGIN < t.inside < sizes_before[id(t)]
+        ]
     left = [t for t in ranks.values() if t.value is None]
     if left:
-        _select(tables, left)
+        _select(tables, left, sorted_rows)
     result = {}
     for (table, column), n in sizes.items():
         if not n:

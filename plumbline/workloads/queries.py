@@ -565,6 +565,24 @@ def check_benford(spark, folder):
     return rounded(statistics.first_digits(tables(spark, folder, BENFORD), BENFORD))
 
 
+FREQUENT = {
+    "documents": ["text", "lang", "source"], "conversations": ["text", "role"], "pages": ["url"],
+    "lineitem": ["l_shipdate", "l_partkey", "l_quantity"], "events": ["event_type"],
+}
+
+
+@query(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) AS INTEGER)
+          AS rank, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} QUALIFY rank <= 10"""
+        for t, cs in FREQUENT.items() for c in cs
+    ) + ")"
+)
+def profile_heavy_values(spark, folder):
+    """The most frequent values of whole columns, long texts and numbers among them."""
+    return distinct.heavy_values(tables(spark, folder, list(FREQUENT)), FREQUENT)
+
+
 @query(
     O.with_clause(GIVEN, *O.profiled(GIVEN))
     + """SELECT tab AS "table", col AS "column", row_count, null_count, round(num_min, 4) AS num_min,
@@ -871,21 +889,54 @@ def findings_summary(spark, folder):
     return results.severity_counts(_findings(spark, folder)[1])
 
 
+#: What each finding advises, from the fields the oracle has; the texts are those of the checks.
+ADVISED = """, advised AS (SELECT *, CASE
+    WHEN check_id = 'CHK-04' THEN 'Drop the rows in which every column is null.'
+    WHEN check_id = 'CHK-05' THEN 'Keep one copy of each row (dropDuplicates).'
+    WHEN check_id = 'CHK-06' THEN 'Check repeated [' || col || '] values; suffixes such as -01 and -02 may be versions of one code.'
+    WHEN check_id IN ('CHK-01', 'CHK-02', 'CHK-03') THEN CASE
+      WHEN (SELECT typ FROM p WHERE p.tab = found.tab AND p.col = found.col) = 'date'
+        THEN 'Fill [' || col || '] forward if it is a series; otherwise ask the source.'
+      WHEN (SELECT typ FROM p WHERE p.tab = found.tab AND p.col = found.col) = 'numeric'
+        THEN 'Impute [' || col || '] by its median or mark it as missing; zero would be wrong.'
+      WHEN check_id = 'CHK-01' THEN 'Key [' || col || '] must be complete; ask the source now.'
+      WHEN check_id = 'CHK-02' THEN 'Rows without [' || col || '] will not join and drop out of reports.'
+      ELSE 'Find out whether nulls in [' || col || '] are expected.' END
+    WHEN check_id = 'CHK-16' THEN 'Look for offsetting pairs among the large [' || col || '] values; keep them in sums.'
+    WHEN check_id = 'CHK-11' THEN 'Flag outliers of [' || col || '] in a column of their own and leave flagged rows out of averages.'
+    WHEN check_id = 'CHK-12' THEN 'Confirm and document the sign convention of [' || col || '].'
+    WHEN check_id = 'CHK-D1' THEN 'Deliver [' || col || '] as YYYY-MM-DD.'
+    WHEN check_id = 'CHK-D2' THEN 'Check [' || col || ']: dates after today may be entry errors.'
+    WHEN check_id = 'CHK-15' THEN 'Check whether the days missing from [' || col || '] are intended.'
+    WHEN check_id = 'CHK-10' THEN 'Set the type of [' || col || '] and turn other values into nulls.'
+    WHEN check_id = 'CHK-07' THEN 'Move [' || col || '] to a lookup table if its values repeat.'
+    WHEN check_id IN ('CHK-13', 'CHK-14') THEN 'Add the orphaned codes to ['
+      || regexp_extract(description, 'not found in \\[(.*?)\\.', 1) || '] or keep their rows apart; never drop them silently.'
+    WHEN check_id = 'CHK-17' THEN 'Check whether [' || tab || '] should start at ' || regexp_extract(description, ' starts (\\S+) ', 1) || '.'
+    WHEN check_id = 'CHK-18' THEN 'Check whether [' || tab || '] should end at ' || regexp_extract(description, ' ends (\\S+) ', 1) || '.'
+    WHEN check_id = 'CHK-19' THEN 'Do not join by key; look values up by date.'
+    WHEN check_id = 'CHK-09' THEN 'Add [' || col || '] to [' || tab || '], or take the rule out of the configuration.'
+    WHEN check_id = 'CHK-08' THEN 'Extend the allowed set or correct the listed values of [' || col || '].'
+    WHEN check_id = 'X6' THEN 'Check the bounds of [' || col || '].' END AS suggestion FROM found)
+"""
+
+
 @query(
-    FOUND + """SELECT CAST(ordinal AS INTEGER) AS ordinal,
+    FOUND + ADVISED + """SELECT CAST(ordinal AS INTEGER) AS ordinal,
       CASE WHEN is_observation THEN 'OBS' ELSE severity END AS label, category,
-      concat_ws('.', tab, col) AS location, description FROM found"""
+      concat_ws('.', tab, col) AS location, description,
+      CASE WHEN length(suggestion) > 80 THEN suggestion[1:80] || '…' ELSE suggestion END AS suggestion FROM advised"""
 )
 def findings_overview(spark, folder):
-    return results.overview(_findings(spark, folder)[1]).drop("suggestion")
+    return results.overview(_findings(spark, folder)[1])
 
 
 @query(
-    FOUND + """SELECT CAST(ordinal AS INTEGER) AS ordinal, severity, tab AS "table", col AS "column"
-      FROM found WHERE NOT is_observation AND severity IN ('HIGH', 'MEDIUM')"""
+    FOUND + ADVISED + """SELECT CAST(ordinal AS INTEGER) AS ordinal, severity, tab AS "table", col AS "column", suggestion
+      FROM advised WHERE NOT is_observation AND severity IN ('HIGH', 'MEDIUM')"""
 )
 def findings_to_remediate(spark, folder):
-    return results.to_remediate(_findings(spark, folder)[1]).drop("suggestion")
+    return results.to_remediate(_findings(spark, folder)[1])
 
 
 @query(
@@ -952,7 +1003,7 @@ def findings_snippets(spark, folder):
 
 
 TASKS = """, issues AS (
-  SELECT *, row_number() OVER (ORDER BY ordinal) AS number FROM found WHERE NOT is_observation),
+  SELECT *, row_number() OVER (ORDER BY ordinal) AS number FROM advised WHERE NOT is_observation),
 tasks AS (
   SELECT *, 'S-' || CASE WHEN number < 1000 THEN lpad(CAST(number AS VARCHAR), 3, '0')
     ELSE CAST(number AS VARCHAR) END AS id,
@@ -979,26 +1030,23 @@ HINT = """CASE
 
 
 @query(
-    FOUND + TASKS + """SELECT id, CAST(priority AS INTEGER) AS priority, severity, category,
-      tab AS "table", affected AS affected_rows, description, """ + HINT + """ AS hint FROM tasks"""
+    FOUND + ADVISED + TASKS + """SELECT id, CAST(priority AS INTEGER) AS priority, severity, category,
+      tab AS "table", affected AS affected_rows, description, suggestion AS action,
+      coalesce(""" + HINT + """, suggestion) AS hint FROM tasks"""
 )
 def suggestions(spark, folder):
-    """The hint is null where it is the suggestion of the finding itself."""
-    listed = results.suggestions(_findings(spark, folder)[1])
-    return listed.withColumn("hint", F.when(F.col("hint") != F.col("action"), F.col("hint"))).drop("action")
+    return results.suggestions(_findings(spark, folder)[1])
 
 
 @query(
-    FOUND + TASKS + """SELECT CAST(i.number AS INTEGER) AS number, 'Open' AS status, i.severity,
-      i.category, i.tab AS "table", coalesce(i.col, '—') AS "column", i.description AS issue,
-      EXISTS (SELECT 1 FROM tasks k WHERE k.description = i.description) AS has_hint
+    FOUND + ADVISED + TASKS + """SELECT CAST(i.number AS INTEGER) AS number, 'Open' AS status, i.severity,
+      i.category, i.tab AS "table", coalesce(i.col, '—') AS "column", i.description AS issue, i.suggestion,
+      coalesce((SELECT arg_max(coalesce(""" + HINT + """, suggestion), id) FROM tasks k WHERE k.description = i.description), '') AS hint
       FROM issues i"""
 )
 def quality_checklist(spark, folder):
     listed = _findings(spark, folder)[1]
-    return results.checklist(listed, results.suggestions(listed)).withColumn(
-        "has_hint", F.col("hint") != ""
-    ).drop("hint", "suggestion")
+    return results.checklist(listed, results.suggestions(listed))
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import (
     distinct, drift, duplicates, facts, infer, measures, ordered, relate, remediate, temporal,
 )
+from plumbline.operators import quantiles
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.plans.profile import fences, profile
 
@@ -42,6 +43,30 @@ def test_quantiles_with_hot_values(spark, limit):
         assert found["t", c] == pytest.approx(expected, abs=1e-12), c
 
 
+def test_quantiles_take_three_scans(spark, monkeypatch):
+    """One sketch, one count, one selection; the rows between two proposed values are few."""
+    n = 200_000
+    df = spark.range(n).selectExpr("pmod(xxhash64(id), 1000000007) / 7 AS x", "CAST(id % 5 AS DOUBLE) AS y", "CAST(id AS DOUBLE) AS z")
+    calls, left = [], []
+    plain, chosen = quantiles.measure, quantiles._select
+    monkeypatch.setattr(quantiles, "measure", lambda *a: (calls.append(1), plain(*a))[1])
+    monkeypatch.setattr(quantiles, "_select", lambda t, targets, limit: (left.extend(targets), chosen(t, targets, limit))[1])
+    columns = ["x", "y", "z"]
+    found = exact_quantiles({"t": df}, {("t", c): n for c in columns}, sorted_rows=100)
+    for c in columns:
+        assert found["t", c] == pytest.approx(df.toPandas()[c].quantile([0.25, 0.75]).tolist(), rel=1e-12), c
+    assert len(calls) == 2 and 0 < max(t.inside for t in left) < n * quantiles.MARGIN
+
+
+def test_quantiles_when_the_sketch_is_off(spark, monkeypatch):
+    n = 5000
+    df = spark.range(n).selectExpr("CAST(id AS DOUBLE) AS x").repartition(3)
+    plain = quantiles._proposed
+    wrong = [{("t", "CAST(`x` AS DOUBLE)", "CAST(`x` AS DOUBLE) IS NOT NULL"): [4000.0, 4990.0]}]
+    monkeypatch.setattr(quantiles, "_proposed", lambda *a: wrong.pop() if wrong else plain(*a))
+    assert exact_quantiles({"t": df}, {("t", "x"): n}, sorted_rows=50) == {("t", "x"): [1249.75, 3749.25]}
+
+
 def test_quantiles_of_tiny_columns(spark):
     df = frame(spark, [(1.0, None), (None, None)], "a double, b double")
     assert exact_quantiles({"t": df}, {("t", "a"): 1, ("t", "b"): 0}) == {("t", "a"): [1.0, 1.0]}
@@ -80,6 +105,61 @@ def test_top_values_break_ties_by_value(spark):
     assert [(r["value"], r["n"]) for r in top.collect()] == [("a", 2), ("b", 2), ("c", 2), ("d", 1)]
 
 
+@pytest.mark.parametrize("counters,looked_into", [(1 << 16, 64), (16, 4), (2, 1), (1, 1)])
+def test_heavy_values(spark, monkeypatch, counters, looked_into):
+    """Exact whether the first counters prove it or all values are grouped."""
+    rng = random.Random(4)
+    rows = [
+        (rng.choice(["hot", "warm"]) if k % 3 else f"v{rng.randint(0, 500)}", f"id{k}", float(rng.randint(0, 3)),
+         rng.choice([None, "x" * 5000, "y" * 5000]), None)
+        for k in range(3000)
+    ]
+    names = ["a", "unique", "d", "long", "none"]
+    df = frame(spark, rows, "a string, unique string, d double, long string, none string")
+    found = distinct.heavy_values({"t": df, "u": df}, {"t": names, "u": ["a"]}, 5, counters, looked_into)
+    got = {}
+    for r in found.collect():
+        got.setdefault((r["table"], r["column"]), []).append((r["rank"], r["value"], r["n"]))
+    for place, name in enumerate(names):
+        counts = Counter(str(r[place]) for r in rows if r[place] is not None)
+        top = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:5]
+        assert sorted(got.pop(("t", name), [])) == [(i, v, n) for i, (v, n) in enumerate(top, 1)]
+    assert set(got) == {("u", "a")}
+
+
+def test_heavy_values_do_not_group_every_text(spark, monkeypatch):
+    """Ten texts stand out of thousands: only those of the largest counters are grouped."""
+    rows = [(f"rare text {k} " * 50,) for k in range(4000)] + [(f"hot text {k} " * 50,) for k in range(10)] * 40
+    df = frame(spark, rows, "s string")
+    grouped = []
+    plain = distinct.cells
+    monkeypatch.setattr(distinct, "cells", lambda *args: (grouped.append(args[0]), plain(*args))[1])
+    found = distinct.heavy_values({"t": df}, {"t": ["s"]}, 10).collect()
+    assert [r["n"] for r in found] == [40] * 10 and all(r["value"].startswith("hot") for r in found)
+    assert len(grouped) == len(distinct.SLOTS)  # no second look at all values
+
+
+@pytest.mark.parametrize("rows", [[5, 4, 3, 2, 1] * 40, list(range(3000, 0, -1)), [7] * 50, [], [None, 3, None, 1]])
+def test_smallest_values_take_two_scans(spark, rows):
+    """Falling order, few values and none: the bound holds, and values above it are not grouped."""
+    df = spark.createDataFrame([(v, None if v is None else f"{v:05d}", None if v is None else v / 2) for v in rows],
+                               "i int, s string, d double").coalesce(1)
+    found = {}
+    for r in distinct.smallest_values({"t": df}, k=5).collect():
+        found.setdefault(r["column"], []).append((r["rank"], r["value"]))
+    least = sorted({v for v in rows if v is not None})[:5]
+    for column, show in (("i", str), ("s", lambda v: f"{v:05d}"), ("d", lambda v: str(v / 2))):
+        assert sorted(found.get(column, [])) == [(i, show(v)) for i, v in enumerate(least, 1)]
+    if len(set(rows)) > 100:
+        bound = distinct._bounds({"t": df}, {"t": ["i"]}, 5)["t", "i"]
+        assert 5 <= int(bound) < 100
+
+
+def test_years_of_any_length_are_in_order():
+    moments = ["-0005-01-01 00:00:00", "0099-05-01 00:00:00", "2024-01-01 00:00:00", "+10000-01-01 00:00:00"]
+    assert sorted(moments[::-1], key=distinct._year_first) == moments
+
+
 def test_rank_filters_limit_inside_the_task(spark):
     df = frame(spark, [(v,) for v in "aabbc"], "v string")
     top = distinct.top_values(distinct.value_counts({"t": df}, {"t": ["v"]}), 2)
