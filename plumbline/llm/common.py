@@ -123,3 +123,30 @@ def join_counted(rows: DataFrame, found: DataFrame, keys: list[str], n: str) ->
     hot = flagged.where("__heavy__").drop("__heavy__")
     rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys)
     return hot.select(*rest.columns).unionByName(rest)
+
+
+#: Bits of a table of keys that all tasks get: 4 MB, whatever the number of keys.
+TABLE_BITS = 25
+
+
+def bit_table(keys: Column, rows: DataFrame) -> bytes:
+    """One bit for each key of 64 bits that is a hash. A key without a bit isn't among them; one with a bit
+    may be. Where the table fills up it tells less, and what is decided by it must be checked."""
+    slot = F.shiftrightunsigned(keys, 64 - TABLE_BITS).alias("slot")
+    blocks = (
+        rows.select(slot)
+        .selectExpr("cast(slot div 64 as int) AS at", "shiftleft(1L, cast(slot % 64 as int)) AS bits")
+        .groupBy("at")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table[blocks.column("at").to_numpy()] = blocks.column("bits").to_numpy()
+    return table.tobytes()
+
+
+def has_bit(table: bytes, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be among those of the table."""
+    slot = keys.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+    bits = np.frombuffer(table, np.uint8)[slot >> np.uint64(3)]
+    return (bits >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import discard, join_counted, slices, small_batches, strings, written
+from plumbline.llm.common import (
+    bit_table, discard, has_bit, join_counted, slices, small_batches, strings, written,
+)
 from plumbline.llm.components import components
 from plumbline.llm.shingles import SHINGLE, mix, shingle_sets
 
@@ -21,8 +23,6 @@ PROBE = 0.3
 LISTS = 3
 #: Documents of one side of a comparison of two blocks.
 BLOCK = 256
-#: Rows of two numbers that may be broadcast.
-SENT = 200_000
 #: Leading bits of the shingle hash by which the suffix filter counts; columns of a matrix product.
 RANGE_BITS = 4
 COLUMNS = 8192
@@ -69,15 +69,18 @@ def _probes(size: int, share: float):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted):
+    """The sets of the rows whose key may be in the table."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            hashes, ends, c, _ = _hashed(batch, size)
-            arrays = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64)))
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(c), pa.array(np.diff(ends)), arrays], ["c", "n", "hashes"]
-            )
-            yield out.filter(pa.array(c == batch.column("wanted").to_numpy(zero_copy_only=False)))
+        for whole in batches:
+            maybe = has_bit(wanted.value, whole.column("key").to_numpy())
+            for batch in slices(iter([whole.filter(pa.array(maybe))]), "text"):
+                hashes, ends, c, _ = _hashed(batch, size)
+                arrays = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(c), pa.array(np.diff(ends)), arrays], ["id", "c", "n", "hashes"]
+                )
 
     return run
 
@@ -209,7 +212,9 @@ def _other_links(shared: DataFrame, postings: DataFrame, longest: DataFrame, per
     profile = shared.select("c", place.alias("at")).select("c", ranges.alias("ranges"))
     names = F.transform("lists", lambda x: x["h"])
     rows = postings.join(longest.select("c", names.alias("lists")), "c").join(profile, "c")
-    x, y = rows.alias("x"), rows.alias("y")
+    rows = rows.withColumn("listed", F.array_contains("lists", F.col("h")))
+    # two documents that both have the list among their longest were compared there: one side is unlisted
+    x, y = rows.where(~F.col("listed")).alias("x"), rows.alias("y")
     nx, ny = F.col("x.n"), F.col("y.n")
     least = F.floor((percent * (nx + ny) + 99 + percent) / (100 + percent))
     after = F.least(*(F.col(f"{r}.n") - F.col(f"{r}.alone") - F.col(f"{r}.place") - 1 for r in "xy"))
@@ -218,14 +223,15 @@ def _other_links(shared: DataFrame, postings: DataFrame, longest: DataFrame, per
     )
     fits = (
         (F.col("x.h") == F.col("y.h"))
-        & (F.col("x.c") < F.col("y.c"))
+        & ((F.col("x.c") < F.col("y.c")) | (F.col("y.listed") & (F.col("x.c") > F.col("y.c"))))
         & (100 * nx >= percent * ny)  # length filter
         & (100 * ny >= percent * nx)
         & (F.least("x.place", "y.place") + 1 + after >= least)  # positional filter
         & ~F.arrays_overlap("x.lists", "y.lists")
         & (within >= least)  # suffix filter: overlap by ranges of the hash
     )
-    pairs = x.join(y, fits).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct()
+    ends = (f(F.col("x.c"), F.col("y.c")).alias(name) for f, name in ((F.least, "a"), (F.greatest, "b")))
+    pairs = x.join(y, fits).select(*ends).distinct()
     left = shared.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     right = shared.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
@@ -249,7 +255,8 @@ def similar_documents(
     an id are compared each by its own text.
 
     Equal sets are one class with one copy of the set. Classes with enough shingles of their own are
-    set aside without being compared; the others are ordered rare-first by exact counts. Shingles
+    set aside without being compared; the others are ordered rare-first by exact counts. Which rows may hold
+    one of them tasks know from a table of fixed size; the join that follows is exact. Shingles
     are 64-bit hashes and classes 64-bit digests of them, so results are exact but for collisions
     (a probability below n^2 / 2^65 for n classes).
     """
@@ -260,14 +267,12 @@ def similar_documents(
     sets = written(rows.mapInArrow(_digests(size), f"id {id_type}, n long, c long, d long"))
     classes = written(_classes(sets))
     maybe = written(_candidates(rows, classes, size, percent))
-    named = maybe.select(F.col("rep").alias("id"), F.col("c").alias("wanted"))
-    # two numbers a row: a few MB at most are sent to the texts, else the texts are shuffled
-    wanted = rows.join(F.broadcast(named) if maybe.count() <= SENT else named, "id")
-    held = written(
-        wanted.select("text", "wanted")
-        .mapInArrow(_sets(size), "c long, n long, hashes array<long>")
-        .dropDuplicates(["c"])
+    key = F.xxhash64(F.lit(9), "id").alias("key")
+    wanted = spark.sparkContext.broadcast(bit_table(key, maybe.select(F.col("rep").alias("id"))))
+    found = rows.where("id IS NOT NULL").select("id", "text", key).mapInArrow(
+        _sets(size, wanted), f"id {id_type}, c long, n long, hashes array<long>"
     )
+    held = written(found.join(maybe, "c").where("id = rep").select("c", "n", "hashes").dropDuplicates(["c"]))
     shared, postings = _prefixes(held, percent)
     by_length = F.array_sort(F.collect_list(F.struct((-F.col("m")).alias("short"), "h", "m")))
     longest = written(postings.groupBy("c").agg(F.slice(by_length, 1, LISTS).alias("lists")))

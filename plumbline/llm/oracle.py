@@ -122,6 +122,33 @@ FROM documents LEFT JOIN ruled USING (doc_id)
 """
 
 
+OP9 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(
+    [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, greatest(len(ws) - 4, CASE WHEN ws = [] THEN 0 ELSE 1 END) + 1)])) AS s
+  FROM words
+), classes AS MATERIALIZED (
+  SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), tokens AS MATERIALIZED (
+  SELECT rep, n, unnest(s) AS h FROM classes
+), links AS MATERIALIZED (
+  SELECT a.rep AS x, b.rep AS y FROM tokens a JOIN tokens b ON a.h = b.h AND a.rep < b.rep
+    AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 180 * count(*) >= 80 * (a.n + b.n)
+), ways AS MATERIALIZED (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT x, x AS y FROM ways UNION SELECT reach.x, ways.y FROM reach JOIN ways ON reach.y = ways.x
+), least AS (
+  SELECT x AS rep, min(y) AS low FROM reach GROUP BY x
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(low, c.rep, d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes c ON c.s = d.s AND len(d.s) > 0 LEFT JOIN least USING (rep)
+"""
+
 OP11 = f"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
@@ -236,6 +263,7 @@ ORACLES = {
     "op4_url_filter": OP4,
     "op5_line_dedup": OP5,
     "op6_decontaminate": OP6,
+    "op9_ngram_join": OP9,
     "op11_collocations": OP11,
     "op12_warc_revisits": OP12,
     "op13_vector_codes": OP13,
