@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -111,22 +111,24 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang") -> Model:
-    """Learn from a sample of the rows in `usable` that have a text and a language: about TRAIN of
-    each language and TRAIN_ALL in all, chosen by a hash of the text. Only their presence
-    bits reach the driver."""
-    rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
-    if not counts:
-        return fit(np.zeros((0, WIDTH), np.uint8), [])
-    quota = min(TRAIN, max(2, TRAIN_ALL // len(counts)))
-    shares = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, quota / n))))
-    place = (F.pmod(F.xxhash64(F.lit(10), F.col(text)), F.lit(1 << 30)) / (1 << 30)).alias("place")
-    chosen = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), place).where(
-        F.col("place") < F.element_at(shares, F.col("lang"))
+    """Learn from a sample of the rows in `usable` that have a text and a language: of each language the TRAIN
+    different texts with the least hashes, but TRAIN_ALL in all (and never less than two of a language).
+
+    Copies of a text count once, so a language of few texts held by many rows is learned from all of
+    them, and no text held by very many rows fills the sample. Hashes are shuffled, not texts; only the
+    presence bits of the chosen texts reach the driver."""
+    rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), F.xxhash64(F.lit(10), F.col(text)).alias("place"), F.col(text).alias("text")
     )
+    places = rows.select("lang", "place").distinct()
+    n_langs = rows.select("lang").distinct().count()
+    quota = min(TRAIN, max(2, TRAIN_ALL // max(1, n_langs)))
+    first = Window.partitionBy("lang").orderBy("place")
+    chosen = places.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= quota).drop("rank")
+    sample = rows.join(F.broadcast(chosen), ["lang", "place"])  # about TRAIN_ALL rows of two values
+    packed = sample.select("lang", "place", "text").mapInArrow(_packed, "lang string, place long, bits binary")
     found = sorted(
-        (r["place"], r["lang"], bytes(r["bits"]))
-        for r in chosen.mapInArrow(_packed, "lang string, place double, bits binary").collect()
+        (r["place"], r["lang"], bytes(r["bits"])) for r in packed.dropDuplicates(["lang", "place"]).collect()
     )
     x = np.array([np.unpackbits(np.frombuffer(bits, np.uint8), count=WIDTH) for _, _, bits in found], np.uint8)
     return fit(x.reshape(-1, WIDTH), [name for _, name, _ in found])
