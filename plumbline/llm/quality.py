@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,6 +18,8 @@ from plumbline.llm.shingles import _BLANK, _LETTER, PIECE, pieces, text_bytes
 PASSAGE = 64
 #: Bound of the training sample: documents of each label.
 TRAIN = 1500
+#: Passages of a document to learn from.
+TRAIN_PASSAGES = 256
 HIDDEN, GATE, ROUNDS, RATE, DECAY = 24, 12, 300, 0.02, 1e-4
 THRESHOLD = 0.3
 SEED = 7
@@ -199,18 +201,22 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         x, offsets = passages(strings(batch.column("text")))
         x = x.astype(np.float32)
-        bags = pa.array([x[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("place"), batch.column("label"), bags], ["place", "label", "bag"]
-        )
+        bags = []
+        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+            some = np.linspace(a, b - 1, min(b - a, TRAIN_PASSAGES)).astype(np.int64)
+            bags.append(x[some].tobytes())
+        columns = [batch.column("place"), batch.column("label"), batch.column("text_hash"), pa.array(bags, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "label", "text_hash", "bag"])
 
 
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> Model:
-    """Learn from about TRAIN labelled documents of each label, chosen by a hash of their id among
-    those that are not held out. The chosen ids, at most a few thousand, are broadcast; only the
-    passages' features reach the driver. A document with several labels has their mean."""
+    """Learn from at most TRAIN labelled documents of each label, chosen by a hash of their id among
+    those that are not held out, and from at most TRAIN_PASSAGES passages of each, evenly spread. Rows with
+    one id and one text count once; an id held by many texts does not go beyond the bound. The chosen
+    ids, at most a few thousand, are broadcast; only the passages' features reach the driver. A document with
+    several labels has their mean."""
     known = (
         labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & learnable(F.col(doc_id)))
         .groupBy(F.col(doc_id).alias("id"))
@@ -221,11 +227,12 @@ def train(
     share = [min(1.0, TRAIN / counts[k]) if k in counts else 0.0 for k in (0, 1)]
     chosen = known.where(F.col("place") < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sample = rows.join(F.broadcast(chosen), "id").select("place", "label", "text")
-    found = sorted(
-        (r["place"], r["label"], bytes(r["bag"]))
-        for r in sample.mapInArrow(_features, "place double, label int, bag binary").collect()
-    )
+    sample = rows.join(F.broadcast(chosen), "id").select("place", "label", F.xxhash64("text").alias("text_hash"), "text")
+    schema = "place double, label int, text_hash long, bag binary"
+    different = sample.mapInArrow(_features, schema).dropDuplicates(["place", "label", "text_hash"])
+    first = Window.partitionBy("label").orderBy("place", "text_hash")
+    bounded = different.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= TRAIN)
+    found = sorted((r["place"], r["label"], bytes(r["bag"])) for r in bounded.select("place", "label", "bag").collect())
     bags = [np.frombuffer(bag, np.float32).reshape(-1, FEATURES) for _, _, bag in found]
     x = np.concatenate(bags).astype(np.float64) if bags else np.zeros((0, FEATURES))
     offsets = np.concatenate([[0], np.cumsum([len(b) for b in bags])]).astype(np.int64)

@@ -188,6 +188,24 @@ def test_quality_without_labels_or_documents(spark):
     assert quality.score_quality(docs, quality.train(docs, one)).first()["score"] > 0.9
 
 
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    """An id held by thousands of rows, the same text or others, does not go beyond the bound."""
+    seen = []
+    plain = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, offsets, y: (seen.append((len(y), np.diff(offsets).max())), plain(x, offsets, y))[1])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    kept = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5 != 0]
+    base = [(k, f"text number {k}") for k in range(60)]
+    same = spark.createDataFrame(base + [(kept[0], "held by many rows")] * 3000, "doc_id long, text string")
+    quality.train(same, labels)
+    assert seen.pop()[0] == len(kept) + 1
+    monkeypatch.setattr(quality, "TRAIN", 100)
+    other = [(kept[0], f"one of many {k}") for k in range(3000)] + [(kept[1], "word " * 40_000)]
+    quality.train(spark.createDataFrame(base + other, "doc_id long, text string"), labels)
+    count, longest = seen.pop()
+    assert count <= 2 * 100 and longest == quality.TRAIN_PASSAGES
+
+
 def test_fit_separates_a_small_sample():
     rng = np.random.default_rng(0)
     x, offsets = rng.normal(size=(30, quality.FEATURES)), np.array([0, 4, 5, 12, 30])
@@ -248,6 +266,21 @@ def test_languages_on_held_out_documents(spark):
     assert all(0 <= s <= 1 for _, s in got.values())
 
 
+def test_languages_of_few_texts_held_by_many_rows(spark, monkeypatch):
+    """Copies count once: no language is lost, and none fills the sample."""
+    seen = []
+    plain = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda x, names: (seen.append(list(names)), plain(x, names))[1])
+    rows = [(f"the text of number {k}", "en") for k in range(2000)]
+    rows += [(f"der text der nummer {k % 4}", "de") for k in range(5000)] + [("un texte", "fr")] * 3000
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    model = langid.train(docs, F.lit(True))
+    assert set(model.names) == {"en", "de", "fr"}
+    assert seen[0].count("en") == langid.TRAIN and seen[0].count("de") == 4 and seen[0].count("fr") == 1
+    many = [(f"word{k} some text {k}", f"l{k % 700}") for k in range(2800)]
+    assert len(set(langid.train(spark.createDataFrame(many, "text string, lang string"), F.lit(True)).names)) == 700
+
+
 def test_languages_without_anything_to_learn(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
     found = langid.identify_languages(docs, F.lit(True)).collect()
@@ -306,6 +339,17 @@ def test_pipeline_stages_as_plain_python(spark):
     assert all(r["lossless"] and len(r["ids"]) == r["n_tokens"] for r in tokens)
 
 
+def test_near_duplicates_are_dropped_row_by_row(spark):
+    """Of two rows with one id only the copy goes; rows without id stay."""
+    a = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, a), (5, a), (5, "a clean text of its own"), (7, a.upper()), (9, None), (None, a), (2, "x"), (2, "x")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, mark int")
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert found.columns == docs.columns
+    kept = sorted((r["mark"], r["doc_id"], r["text"]) for r in found.collect())
+    assert [k[0] for k in kept] == [0, 2, 4, 5, 6, 7]
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
@@ -315,4 +359,4 @@ def test_pipeline_on_nothing(spark):
 
 def test_stages_use_the_operators_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier"
-    assert decontaminate.WINDOW == 10 and ngram_join.PERCENT == 80 and len(queries.QUERIES) == 10
+    assert decontaminate.WINDOW == 10 and ngram_join.PERCENT == 80 and len(queries.QUERIES) == 13
