@@ -37,10 +37,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that links hold together, the one with the least id stays."""
-    found = similar_documents(docs.select("doc_id", "text"))
-    later = written(found.where("component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of documents that links hold together, the one with the least id stays. Rows are told
+    apart by id and text: of rows that share an id, each is kept or dropped by its own text. Repeated rows
+    of one id and one text stay or go together; rows without id stay."""
+    mark = F.struct(F.xxhash64("text").alias("text"), F.hash("text").alias("more"))
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", mark.alias("mark")))
+    found = similar_documents(docs.select(row.alias("doc_id"), "text"))
+    later = written(found.where("component_id <> doc_id").select("doc_id.doc_id", "doc_id.mark").distinct())
+    marked = docs.select(F.struct("*").alias("row"), "doc_id", mark.alias("mark"))
+    return marked.join(later, ["doc_id", "mark"], "left_anti").select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
