@@ -7,7 +7,7 @@ def _versions(name: str, version: str) -> list[str]:
     """A name with its version, as it is normalised: words in lower case."""
     v = version.replace(".", " ")
     whole = [v] if not v.endswith(" 0") else [v, v[:-2]]
-    return [f"{name}{middle}{x}" for x in whole for middle in (" ", " version ", " v ", " v")]
+    return [f"{name}{middle}{x}" for x in whole for middle in (" ", " version ", " v ", " v", "v")]
 
 
 def _names() -> dict[str, list[str]]:
@@ -20,6 +20,7 @@ def _names() -> dict[str, list[str]]:
                          "two clause bsd license", "bsd 2 clause"],
         "BSD-3-Clause": ["new bsd license", "modified bsd license", "revised bsd license", "3 clause bsd license",
                          "bsd 3 clause license", "three clause bsd license", "bsd 3 clause"],
+        "BSD": ["bsd license", "bsd licence", "bsd style license", "bsd style licence"],
         "Unlicense": ["unlicense"],
         "Zlib": ["zlib license", "zlib"],
         "WTFPL": ["wtfpl"],
@@ -69,17 +70,25 @@ def _names() -> dict[str, list[str]]:
     return out
 
 
-#: Names by SPDX identifier. A name is a licence only behind `UNDER`, an SPDX tag or `or` / `and` after another.
+#: Names by SPDX identifier, and BSD where the clauses are not said. A name is a licence only behind `UNDER` or
+#: `WIDE`, an SPDX tag, a line `License:`, or `or` / `and` after another.
 NAMES = _names()
+#: Names that are also those of a body, a library or a mark: not behind `WIDE`, and not behind `and`.
+BARE = {"mit", "isc", "zlib", "cc0"}
 
+_TERMS = r" (?:either )?(?:of )?(?:(?:the|a|an) )?(?:terms (?:and conditions )?of (?:the |a )?)?(?:gnu (?=gnu ))?"
 #: What stands before a name, normalised.
-UNDER = (
-    r"(?:(?:licensed|licenced|released|distributed|redistributed|published|provided|offered|available|covered|"
-    r"dedicated) (?:under|by)|governed by|subject to) (?:(?:the|a|an) )?(?:terms (?:and conditions )?of (?:the |a )?)?(?:gnu (?=gnu ))?"
-)
+UNDER = rf"(?:licensed|licenced|released|distributed|redistributed|available) under{_TERMS}"
+#: What stands before a name that can't be anything but a licence.
+WIDE = rf"(?:(?:published|provided|offered|covered|dedicated) under|governed by|subject to){_TERMS}"
 TAG = r"spdx license identifier "
+#: A line that names the licence is read as an SPDX tag.
+LINE = r"(?i)(?<![-a-z])licen[sc]e\s*:\s*"
+#: A notice behind one of these says the opposite.
+NOT = r"(?<! not )(?<! never )(?<! no longer )(?<! isn t )(?<! aren t )"
 #: Only directly behind what was found before.
 NEXT = r"\G (?:or|and) (?:the )?"
+NEXT_BARE = r"\G or (?:the )?"
 
 #: The sentences of the GNU notices for each licence and version, and of the Unlicense.
 TEXTS: dict[str, list[str]] = {
@@ -93,6 +102,10 @@ TEXTS: dict[str, list[str]] = {
         "nor the names of its contributors may be used to endorse or promote products derived from this software "
         "without specific prior written permission."
     ],
+    "isc_permission": [
+        "permission to use, copy, modify, and distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ],
     "mit_conditions": [
         "the above copyright notice and this permission notice (including the next paragraph) shall be included in "
         "all copies or substantial portions of the software."

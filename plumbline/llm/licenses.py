@@ -142,6 +142,7 @@ def running(text: Column) -> Column:
     sentence that starts with `copyright` and holds a year."""
     notice = lambda s: s.startswith("copyright ") & s.rlike(" [12][0-9]{3}( |$)")
     text = F.regexp_replace(text, r"(?i)(gpl[- ]?v?[0-9.]+)\+", "$1-or-later")
+    text = F.regexp_replace(text, licence_names.LINE, licence_names.TAG)
     parts = F.transform(sentences(text), lambda s: F.when(notice(s), F.concat(F.lit(MARK + " "), s)).otherwise(s))
     return F.concat(F.lit("| "), F.array_join(F.filter(parts, lambda s: s != ""), " "), F.lit(" "))
 
@@ -149,15 +150,19 @@ def running(text: Column) -> Column:
 def identifiers(text: Column, known: dict[str, list[str]], notices: dict[str, list[str]]) -> Column:
     """The known sentences of a text in their order, by identifier: found as whole words anywhere in
     the running text, of those that start at one word the longest. `notices` holds
-    names of licences, which count behind words like `licensed under the`, an SPDX tag, or `or` and
-    `and` after another. A sentence that starts with `copyright` and holds a year is `copyright`."""
+    names of licences, which count behind words like `licensed under the`, an SPDX tag, a line `License:`, or
+    `or` and `and` after another; behind `not` neither they nor known sentences count. A sentence that starts with `copyright` and holds a year is `copyright`."""
     names = {normalise(t): name for name, texts in known.items() for t in texts} | {MARK: "copyright"}
     named = {x: name for name, texts in notices.items() for x in texts}
     either = lambda xs: "|".join(sorted(xs, key=len, reverse=True))
-    before = f"{licence_names.UNDER}|{licence_names.TAG}"
-    pattern = f"(?<= )(?:{either(names)})(?= )"
-    if named:
-        pattern += f"|(?:(?<= )(?:{before})|{licence_names.NEXT})(?:{either(named)})(?= )"
+    strict = f"{licence_names.UNDER}|{licence_names.TAG}"
+    before = f"{strict}|{licence_names.WIDE}"
+    pattern = f"(?<= ){licence_names.NOT}(?:{either(names)})(?= )"
+    bare_names = sorted(x for x in named if x in licence_names.BARE)
+    if whole := [x for x in named if x not in licence_names.BARE]:
+        pattern += f"|(?:(?<= ){licence_names.NOT}(?:{before})|{licence_names.NEXT})(?:{either(whole)})(?= )"
+    if bare_names:
+        pattern += f"|(?:(?<= ){licence_names.NOT}(?:{strict})|{licence_names.NEXT_BARE})(?:{either(bare_names)})(?= )"
     table = F.create_map(*(F.lit(x) for pair in (named | names).items() for x in pair))
     found = F.regexp_extract_all(running(text), F.lit(pattern), F.lit(0))
     bare = lambda s: F.regexp_replace(s, f"^(?:{before}| (?:or|and) (?:the )?)", "")

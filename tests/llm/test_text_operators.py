@@ -191,6 +191,24 @@ def test_wrapped_licences(spark):
     assert licences_of(spark, marked) == [[x] for x in texts.values()] * 4
 
 
+def test_what_is_no_licence_and_what_is(spark):
+    texts = {
+        "published by MIT Press": [], "Courses offered by MIT are free": [], "Funding was provided by MIT": [],
+        "This is not licensed under the MIT License.": [], "is no longer released under the MIT License": [],
+        "It isn't licensed under the GPL version 3": [], "subject to MIT rules": [], "published under ISC guidance": [],
+        "Licensed under the Apache License 2.0 and MIT students": ["Apache-2.0"], "the license MIT chose": [],
+        "This file is licensed under either MIT or Apache-2.0.": ["Apache-2.0", "MIT"],
+        "Licensed under Apache-2.0 or MIT": ["Apache-2.0", "MIT"],
+        "Licensed under GPLv2+": ["GPL-2.0-or-later"], "distributed under the GPLv3": ["GPL-3.0-only"],
+        "License: MIT": ["MIT"], "# Licence : ISC\n": ["ISC"], "Licensed under the BSD license.": ["BSD"],
+        "SPDX-License-Identifier: MIT": ["MIT"], "governed by the Mozilla Public License, version 2.0": ["MPL-2.0"],
+        "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby "
+        "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": ["ISC"],
+        "not here. Released under the MIT License.": ["MIT"],
+    }
+    assert [sorted(x) for x in licences_of(spark, texts)] == list(texts.values())
+
+
 def test_notices_of_common_licences(spark):
     texts = {
         "This file is released under the MIT License": ["MIT"],
