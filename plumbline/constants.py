@@ -134,7 +134,7 @@ FINDING_TEXT = {
 
 # --- wording of the findings and suggestions of configured rules --------------------
 RULE_TEXT = {
-    "missing_column": "[{id}] Required column [{column}] missing from [{table}]",
+    "missing_column": "[{id}] [{table}] lacks the column [{column}] that a rule calls for",
     "unknown_values": "[{id}] [{column}] has {values} value(s) outside the allowed set, listed in [unknown_values]",
     "value_range": "[{id}] [{column}] has {outside} value(s) outside [{min}, {max}]",
 }
@@ -177,6 +177,6 @@ FINDING_STATISTICS = {
     },
     "isolated": {
         "Date columns found": "{found_dates}",
-        "Reason": "No shared key column detected with any other table",
+        "Reason": "It has no key column in common with any other table",
     },
 }

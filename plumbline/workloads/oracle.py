@@ -512,7 +512,7 @@ def rule_column(index: int, rule: dict) -> str:
     return (
         f"SELECT 4 AS stage, {index} AS o0, 0 AS o1, 0 AS o2, 0 AS o3, 0 AS step, "
         f"'CHK-09' AS check_id, 'HIGH' AS severity, 'STRUCTURE' AS category, '{name}' AS tab, "
-        f"'{c}' AS col, '[{rule['id']}] Required column [{c}] missing from [{name}]' "
+        f"'{c}' AS col, '[{rule['id']}] [{name}] lacks the column [{c}] that a rule calls for' "
         f"AS description, count(*) AS affected, false AS is_observation, '' AS examples "
         f"FROM {name} WHERE '{c}' NOT IN ({known}) HAVING count(*) > 0"
     )

@@ -155,6 +155,20 @@ def test_smallest_values_take_two_scans(spark, rows):
         assert 5 <= int(bound) < 100
 
 
+def test_days_come_from_bitmaps(spark):
+    rng = random.Random(3)
+    days = ["0001-01-01", "1582-10-15", "1969-12-31", "1970-01-01", "9999-12-31", None]
+    days += [str(datetime(1900, 1, 1) + timedelta(days=rng.randint(0, 70_000)))[:10] for _ in range(3000)] * 2
+    df = frame(spark, [(d, d and f"{d} 23:59:59") for d in days], "a string, b string").selectExpr(
+        "CAST(a AS DATE) AS a", "CAST(b AS TIMESTAMP_NTZ) AS b"
+    )
+    found = temporal._days({"t": df, "u": df.limit(0)}, [("t", "a"), ("t", "b"), ("u", "a")])
+    got = sorted((r["series"], str(r["day"])) for r in found.selectExpr("series", "CAST(day AS STRING) AS day").collect())
+    assert got == sorted((s, d) for s in (0, 1) for d in {d for d in days if d})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "Distinct" not in plan
+
+
 def test_years_of_any_length_are_in_order():
     moments = ["-0005-01-01 00:00:00", "0099-05-01 00:00:00", "2024-01-01 00:00:00", "+10000-01-01 00:00:00"]
     assert sorted(moments[::-1], key=distinct._year_first) == moments

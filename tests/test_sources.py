@@ -28,6 +28,57 @@ def test_surplus_fields_are_an_error(spark, tmp_path):
         load(spark, tmp_path / "b.csv")
 
 
+def test_a_surplus_missing_token_is_an_error_too(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("x;y\n1;2\n3;4;N/A\n5;6;\n")
+    with pytest.raises(catalog.MalformedSource, match="source 't'.*1 record"):
+        load(spark, tmp_path / "b.csv")
+
+
+def test_one_scan_settles_a_delimited_file(spark, tmp_path, monkeypatch):
+    """Surplus fields, date forms, lost dates and types come from one aggregate."""
+    (tmp_path / "a.csv").write_text(
+        "id;price;flag;day;us;note\n1;1.5;true;04/03/2022;12/25/2022;x\n2;N/A;false;soon;01/02/2022;\n3;;true;2022-03-05;;7\n"
+    )
+    scans, plain = [], type(spark.range(1)).agg
+    monkeypatch.setattr(type(spark.range(1)), "agg", lambda self, *a: (scans.append(1), plain(self, *a))[1])
+    source = {"type": "csv", "file": str(tmp_path / "a.csv"), "delimiter": ";", "multiline": False,
+              "date_columns": ["day", "us", "absent"]}
+    df = catalog.load_tables(spark, {"sources": {"t": source}})["t"]
+    assert len(scans) == 1
+    assert dict(df.dtypes) == {"id": "bigint", "price": "double", "flag": "boolean", "day": "timestamp_ntz",
+                               "us": "timestamp_ntz", "note": "string"}
+    rows = [(r["id"], r["price"], str(r["day"])[:10], str(r["us"])[:10], r["note"]) for r in df.orderBy("id").collect()]
+    assert rows == [(1, 1.5, "2022-03-04", "2022-12-25", "x"), (2, None, "None", "2022-01-02", None), (3, None, "2022-03-05", "None", "7")]
+
+
+def test_a_source_that_fails_is_named_or_skipped(spark, tmp_path, caplog):
+    (tmp_path / "good.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "bad.csv").write_text("x,y\n1,2,3\n")
+    (tmp_path / "odd.parquet").write_text("this is no parquet file")
+    sources = {name: {"type": kind, "file": f"{tmp_path}/{name}.{kind}"} for name, kind in
+               (("bad", "csv"), ("odd", "parquet"), ("good", "csv"))}
+    with pytest.raises(catalog.MalformedSource, match="source 'bad'"):
+        catalog.load_tables(spark, {"sources": sources})
+    assert list(catalog.load_tables(spark, {"sources": sources}, skip_errors=True)) == ["good"]
+    assert "'bad'" in caplog.text and "'odd'" in caplog.text
+    with pytest.raises(catalog.NoTables):
+        catalog.load_tables(spark, {"sources": {"bad": sources["bad"]}}, skip_errors=True)
+
+
+def test_sources_of_a_folder(spark, tmp_path):
+    (tmp_path / "My Trades-2024.csv").write_text("\ufeffa;b,c;d\n1;2;3\n")
+    (tmp_path / "fx.CSV").write_text("a,b;c,d\n1,2,3\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "notes.txt").write_text("a,b\n")
+    spark.range(3).write.parquet(f"{tmp_path}/Part.parquet")
+    found = catalog.find_sources(spark, str(tmp_path))
+    assert {name: (s["type"], s.get("delimiter")) for name, s in found.items()} == {
+        "my_trades_2024": ("csv", ";"), "fx": ("csv", ","), "empty": ("csv", ","), "part": ("parquet", None),
+    }
+    tables = catalog.load_tables(spark, {"sources": {k: v for k, v in found.items() if k != "empty"}})
+    assert tables["my_trades_2024"].columns == ["a", "b,c", "d"] and tables["part"].count() == 3
+
+
 def test_missing_fields_are_null(spark, tmp_path):
     (tmp_path / "c.csv").write_text("x;y\n1;2\n3\n")
     assert [tuple(r) for r in load(spark, tmp_path / "c.csv").collect()] == [("1", "2"), ("3", None)]
