@@ -224,8 +224,8 @@ def deduplicate_archive(spark: SparkSession, source: str, target: str, least_byt
     headers = written(read_archive(spark, source, payload=False).drop("payload"))
     revisits = written(repeated(headers, least_bytes))
     others = read_archive(spark, source).where("type IS DISTINCT FROM 'revisit'")
-    # by merge at every size: ids of revisits grow with the archive and are not broadcast
-    others = others.join(revisits.select("record_id").hint("merge"), "record_id", "left_anti").select(_record())
+    # by hash at every size: ids of revisits grow with the archive and are not broadcast, payloads not sorted
+    others = others.join(revisits.select("record_id").hint("shuffle_hash"), "record_id", "left_anti").select(_record())
     moved = revisits.select(
         F.col("record_id").alias("refers_to"), F.col("refers_to").alias("now"), F.col("refers_uri").alias("now_uri")
     )
