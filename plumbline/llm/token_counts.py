@@ -117,11 +117,15 @@ def encode_spliced(
     return out + ids
 
 
+RESULTS = ("n_bytes", "n_tokens", "over_limit")
+WHOLE = "__text__"
+
+
 def _count(path: str, keep: list[str], limit: int, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        for batch in slices(batches, "text"):
-            texts = strings(batch.column("text"))
+        for batch in slices(batches, WHOLE):
+            texts = strings(batch.column(WHOLE))
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
             counts = np.array(
                 [
@@ -137,7 +141,7 @@ def _count(path: str, keep: list[str], limit: int, chunk: int, overlap: int):
                     pa.array(counts),
                     pa.array(counts > limit),
                 ],
-                [*keep, "n_bytes", "n_tokens", "over_limit"],
+                [*keep, *RESULTS],
             )
 
     return run
@@ -152,15 +156,16 @@ def count_tokens(
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
 ) -> DataFrame:
-    """The columns `keep` of every row, `n_bytes` (UTF-8), `n_tokens` and `over_limit`.
+    """The columns `keep` of every row, `n_bytes` (UTF-8), `n_tokens` and `over_limit`. A kept column of
+    one of these names has `_` after it.
 
     `path` is the vocabulary file, which every worker opens (the package that holds it is
     installed there). No begin, end or padding tokens; a special string inside a text is one
     token. A null or empty text has none. Rows are independent of each other: no shuffle.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(*(F.col(c) for c in keep), F.col(text).alias("text")) if text not in keep else docs.select(*keep)
-    schema = StructType(
-        [*docs.select(*keep).schema, *StructType.fromDDL("n_bytes long, n_tokens long, over_limit boolean")]
-    )
-    return rows.mapInArrow(_count(path, keep, limit, chunk, overlap), schema)
+    names = [f"{c}_" if c in RESULTS else c for c in keep]
+    kept = docs.select(*(F.col(c).alias(name) for c, name in zip(keep, names, strict=True)))
+    rows = docs.select(*(F.col(c).alias(name) for c, name in zip(keep, names, strict=True)), F.col(text).alias(WHOLE))
+    schema = StructType([*kept.schema, *StructType.fromDDL("n_bytes long, n_tokens long, over_limit boolean")])
+    return rows.mapInArrow(_count(path, names, limit, chunk, overlap), schema)

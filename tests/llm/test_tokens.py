@@ -137,3 +137,12 @@ def test_count_tokens(spark, tokenizer):
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 1024)
     assert len(found) == len(rows)
     assert token_counts.count_tokens(docs.limit(0), BPE, ["doc_id"]).collect() == []
+
+
+def test_kept_columns_of_any_name(spark, tokenizer):
+    docs = spark.createDataFrame([(1, "two words", 7, "x", None)], "doc_id long, body string, n_tokens int, text string, over_limit string")
+    found = token_counts.count_tokens(docs, BPE, ["doc_id", "n_tokens", "text", "over_limit", "body"], text="body")
+    assert found.columns == ["doc_id", "n_tokens_", "text", "over_limit_", "body", "n_bytes", "n_tokens", "over_limit"]
+    n = len(tokenizer.encode("two words", add_special_tokens=False).ids)
+    assert tuple(found.select("*").first()) == (1, 7, "x", None, "two words", 9, n, False)
+    assert found.select("n_tokens").first()[0] == n
