@@ -58,6 +58,18 @@ def test_quantiles_take_three_scans(spark, monkeypatch):
     assert len(calls) == 2 and 0 < max(t.inside for t in left) < n * quantiles.MARGIN
 
 
+def test_quantiles_count_few_at_once(spark, monkeypatch):
+    """No entry holds more counts than a scan should, so that scans stay within compiled code."""
+    n = 5000
+    df = spark.range(n).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS y")
+    entries, plain = [], quantiles.measure
+    monkeypatch.setattr(quantiles, "measure", lambda tables, wanted: (entries.extend(wanted), plain(tables, wanted))[1])
+    found = exact_quantiles({"t": df}, {("t", "x"): n, ("t", "y"): n}, sorted_rows=50)
+    assert found == {("t", "x"): [1249.75, 3749.25], ("t", "y"): [0.0, 2.0]}
+    counts = [sum(e.count("count_if(") for e in exprs.values()) for _, exprs in entries]
+    assert sum(counts) > facts.AGGREGATES_PER_SCAN >= max(counts)
+
+
 def test_quantiles_when_the_sketch_is_off(spark, monkeypatch):
     n = 5000
     df = spark.range(n).selectExpr("CAST(id AS DOUBLE) AS x").repartition(3)
