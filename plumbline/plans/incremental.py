@@ -29,6 +29,10 @@ STATE = (
 )
 VALUES = "file string, position int, slot string, value string, bits int, n bigint"
 FILE = "__file__"
+ROW = "__row__"
+NUMBER = "__number__"
+#: Cells, or values of the state, that one task groups at most on average: a file or a part of it may hold any number.
+CELLS = 250_000
 
 
 @dataclass
@@ -104,10 +108,25 @@ def _facts(df: DataFrame) -> DataFrame:
     return union_all(parts)
 
 
-def _values(df: DataFrame) -> DataFrame:
+def _tasks(cells: int) -> int:
+    return max(1, -(-cells // CELLS))
+
+
+def _with_origin(found: DataFrame) -> DataFrame:
+    """The rows of Parquet files with their file and their place in it."""
+    return normalise(found).withColumns({FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
+
+
+def _values(df: DataFrame, files: list[str]) -> DataFrame:
     """The histogram of every column by file. Text is tested while it is at hand; long text that is neither
-    number nor date is kept as its digest."""
-    fields = [f for f in df.schema.fields if f.name != FILE]
+    number nor date is kept as its digest.
+
+    Before the values are grouped, rows are dealt out evenly, so that no task has to hold the values of
+    a whole file; and files are numbered, so that their names are not held with each value."""
+    fields = [f for f in df.schema.fields if f.name not in (FILE, ROW)]
+    spark = df.sparkSession
+    numbers = F.broadcast(spark.createDataFrame(list(enumerate(files)), f"{NUMBER} int, {FILE} string"))  # names of files
+    rows = df.count()
     parts = []
     for slot in distinct.SLOTS:
         pairs = [
@@ -117,8 +136,12 @@ def _values(df: DataFrame) -> DataFrame:
         ]
         if not pairs:
             continue
-        cells = df.selectExpr(f"`{FILE}` AS file", f"stack({len(pairs)}, {', '.join(pairs)}) AS (position, value)")
-        counted = cells.where("value IS NOT NULL").groupBy("file", "position", "value").agg(F.count("*").alias("n"))
+        chosen = df.select(FILE, ROW, *[quoted(f.name) for f in fields if distinct._slot(f.dataType) == slot])
+        numbered = chosen.join(numbers, FILE).drop(FILE)
+        dealt = numbered.repartition(_tasks(rows * len(pairs)), NUMBER, ROW)
+        cells = dealt.selectExpr(NUMBER, f"stack({len(pairs)}, {', '.join(pairs)}) AS (position, value)")
+        counted = cells.where("value IS NOT NULL").groupBy(NUMBER, "position", "value").agg(F.count("*").alias("n"))
+        counted = counted.join(numbers, NUMBER).withColumnRenamed(FILE, "file")
         text = F.col("value").cast("string")
         bits = F.lit(0) if slot != "string" else distinct._test_bits(F.col("value"))
         counted = counted.select("file", "position", F.lit(slot).alias("slot"), text.alias("value"), bits.alias("bits"), "n")
@@ -130,7 +153,6 @@ def _values(df: DataFrame) -> DataFrame:
             plain = F.col("bits").bitwiseAND(parsed) != 0
             counted = counted.withColumn("value", F.when(plain, F.col("value")).otherwise(distinct.compact(F.col("value"))))
         parts.append(counted)
-    spark = df.sparkSession
     return union_all(parts) if parts else spark.createDataFrame([], VALUES)
 
 
@@ -164,7 +186,9 @@ def _merged_facts(states: DataFrame, table: str) -> DataFrame:
 def _merged_values(values: DataFrame, table: str, names: list[str]) -> DataFrame:
     """The histogram of all files together."""
     listing = F.array(*[F.lit(name) for name in names or [""]])
-    summed = values.groupBy("position", "slot", "value").agg(F.max("bits").alias("bits"), F.sum("n").alias("n"))
+    # a value comes once a file, so nothing is gained by grouping before the shuffle
+    dealt = values.repartition(_tasks(values.count()), "position", "slot", "value")
+    summed = dealt.groupBy("position", "slot", "value").agg(F.max("bits").alias("bits"), F.sum("n").alias("n"))
     is_digest = (F.col("slot") == "string") & (F.length("value") >= distinct.LONG_TEXT) & (F.col("bits") < 2)
     return summed.select(
         F.lit(table).alias("table"), listing[F.col("position")].alias("column"),
@@ -177,7 +201,8 @@ def _counted(values: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0, F.col("n")).otherwise(0)).alias(name)
         for i, name in enumerate(distinct.TEXT_TESTS)
     ]
-    tests = [F.when(F.first("slot") == "string", total).alias(name) for total, name in zip(rows, distinct.TEXT_TESTS)]
+    is_text = F.bool_or(F.col("slot") == "string")  # a column has one slot; text as state would take sorting
+    tests = [F.when(is_text, total).alias(name) for total, name in zip(rows, distinct.TEXT_TESTS)]
     repeated = F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated_rows")
     return values.groupBy("table", "column").agg(F.count("*").alias("unique_count"), repeated, *tests)
 
@@ -229,13 +254,15 @@ def profile_files(
     ready = [row["written_as"] for row in history.commits(spark, state).select("written_as").collect()]
     known = history.part(spark, state, "files", FILES, ready)
     identity = ["file", "modified", "bytes"]
-    new = [row["path"] for row in files.join(known, identity, "left_anti").select("path").collect()]
+    unknown = files.join(known, identity, "left_anti").select("path", "file").collect()
+    new = [row["path"] for row in unknown]
     if new:
         reader = spark.read.option("basePath", source)
         found = (reader.schema(schema) if schema else reader).parquet(*sorted(new))
-        rows = normalise(found).withColumn(FILE, F.col("_metadata.file_path"))
+        rows = _with_origin(found)
         fresh = files.join(spark.createDataFrame([(p,) for p in new], "path string"), "path").select(*identity)
-        history.add(spark, state, {"facts": _facts(rows), "values": _values(rows), "files": fresh})
+        histogram = _values(rows, [row["file"] for row in unknown])
+        history.add(spark, state, {"facts": _facts(rows.drop(ROW)), "values": histogram, "files": fresh})
         ready = [row["written_as"] for row in history.commits(spark, state).select("written_as").collect()]
     # a file's state counts if it was written for the file as it is now
     present = pin(_present(spark, state, files, ready))

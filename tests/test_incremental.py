@@ -3,12 +3,14 @@
 import hashlib
 import os
 import random
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import distinct, infer
+from plumbline.plans import incremental
 from plumbline.plans.incremental import profile_files
 from plumbline.plans.profile import profile
 from plumbline.sources import history
@@ -157,3 +159,27 @@ def test_no_rows(spark, tmp_path):
     spark.createDataFrame([], "a string, b double").write.parquet(source)
     found = profile_files(spark, source, state, "t")
     assert found.columns.count() == 0  # a file without rows has no facts
+
+
+def test_no_task_groups_a_whole_file(spark, tmp_path, monkeypatch):
+    """Values of one large file are grouped by many tasks, and nothing is sorted for a count of columns."""
+    monkeypatch.setattr(incremental, "CELLS", 500, raising=False)
+    n = 4000
+    df = spark.range(n).selectExpr("id", "id % 3 AS number", "CAST(id / 7 AS STRING) AS file", "CAST(id % 11 AS STRING) AS position")
+    path = str(tmp_path / "rows")
+    df.coalesce(1).write.parquet(path)
+    plain, dealt = history.add, []
+
+    def add(session, state, parts):
+        scan = parts["values"]._jdf.queryExecution().toString()
+        dealt.extend(int(k) for k in re.findall(r"RepartitionByExpression \[[^]]*\], (\d+)", scan))
+        return plain(session, state, parts)
+
+    monkeypatch.setattr(incremental.history, "add", add)
+    found = profile_files(spark, path, str(tmp_path / "state"), "t")
+    assert max(dealt, default=1) >= n * 2 // 500
+    sizes = [r["count"] for r in found.values.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2 * n + 3 + 11 and max(sizes) < 2 * 500
+    assert "SortAggregate" not in incremental._counted(found.values)._jdf.queryExecution().executedPlan().toString()
+    unique = {r["column"]: (r["row_count"], r["unique_count"], r["repeated_rows"]) for r in found.columns.collect()}
+    assert unique == {"id": (n, n, 0), "number": (n, 3, n), "file": (n, n, 0), "position": (n, 11, n)}
