@@ -105,6 +105,36 @@ def test_distinct_counts_and_samples(spark):
     assert distinct.smallest_texts(df, "s", 2) == [long_a, long_b]
 
 
+def test_members_are_counted_in_one_grouping(spark, monkeypatch):
+    """Values of all key columns are shuffled once and no lists are collected; the result is that of the lists."""
+    a = frame(spark, [("x", "1", 7), ("x", "2", 7), (None, "x", 7), ("y", "9", 7)], "`a.1` string, b string, z int")
+    b = frame(spark, [("x", "q"), ("", "9"), ("", None)], "c string, d string")
+    listed = [(3, "t", "a.1"), (1, "t", "b"), (0, "u", "d"), (2, "u", "c")]
+    keys = spark.createDataFrame(listed, "key int, table string, column string")
+    plans = []
+    monkeypatch.setattr(relate, "cut", lambda df: (plans.append(df._jdf.queryExecution().sparkPlan().toString()), df)[1])
+    wanted = {"t": ["a.1", "b"], "u": ["d", "c"]}
+    found = relate.group_values({"t": a, "u": b}, keys)
+    expected = relate.value_members(distinct.value_counts({"t": a, "u": b}, wanted), keys)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.select("value", "members", "keys").collect()))
+    assert found.columns == expected.columns and len(plans) == 1 and "collect_list" not in plans[0]
+    monkeypatch.setattr(relate, "COUNTED_KEYS", 3)
+    assert sorted(map(str, relate.group_values({"t": a, "u": b}, keys).collect())) == sorted(map(str, found.collect()))
+
+
+def test_numbers_are_bounded_apart_from_text(spark, monkeypatch):
+    """Aggregates of text are not compiled, so no scan holds both."""
+    df = spark.range(100).selectExpr("id", "CAST(id % 7 AS STRING) AS s", "id / 3 AS d", "CAST(id AS STRING) AS t")
+    calls, plain = [], distinct.measure
+    monkeypatch.setattr(distinct, "measure", lambda tables, wanted: (calls.append(wanted), plain(tables, wanted))[1])
+    got = {}
+    for r in distinct.smallest_values({"t": df}, k=2).orderBy("column", "rank").collect():
+        got.setdefault(r["column"], []).append(r["value"])
+    assert got == {"id": ["0", "1"], "s": ["0", "1"], "d": ["0.0", "0.3333333333333333"], "t": ["0", "1"]}
+    texts = [{"`s`" in str(e) or "`t`" in str(e) for _, e in wanted} for wanted in calls if wanted]
+    assert texts == [{False}, {True}]
+
+
 def test_smallest_texts_skips_hot_values(spark):
     df = frame(spark, [("b",)] * 90 + [("a",)] * 90 + [("c",), ("d",)], "s string")
     assert distinct.smallest_texts(df, "s", 5) == ["a", "b", "c", "d"]
