@@ -18,6 +18,8 @@ LEAST_BYTES = 1000
 FILE_RECORDS = 50_000
 #: Payload bytes of a batch of records.
 BATCH_BYTES = 4 << 20
+#: Archives are compressed twice and read back twice; higher levels cost more time than they save space.
+LEVEL = {"compression": "gzip", "zlib.compress.level": "THREE"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A header field of our own with the id of the row a record was made from.
 SOURCE_ID = "X-Source-ID"
@@ -69,7 +71,7 @@ def _record(revisit: bool = False) -> Column:
 
 def _write(records: DataFrame, path: str) -> None:
     """Archive files of records, one gzip stream each."""
-    out = records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS)
+    out = records.write.option("lineSep", END).options(**LEVEL).option("maxRecordsPerFile", FILE_RECORDS)
     with shuffles_dropped(records.sparkSession):
         out.text(path)
 

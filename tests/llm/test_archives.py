@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import zlib
 
 import pytest
 
@@ -124,3 +125,14 @@ def test_revisit_of_a_missing_record(spark, tmp_path):
 
     found = warc.resolved(written(warc.read_archive(spark, f"{tmp_path}/in").drop("payload"))).collect()
     assert [(r["type"], r["payload_bytes"], r["refers_source"]) for r in found] == [("revisit", None, None)] * 2
+
+
+def test_archives_are_compressed_at_a_low_level(spark, tmp_path):
+    """Records are packed and unpacked twice, so time counts more than the last share of space."""
+    words = [f"word{(k * k) % 977} " for k in range(4000)]
+    df = spark.createDataFrame([(k, "http://a/", "".join(words[k:])) for k in range(40)], "id long, url string, html string")
+    warc.write_archive(df.coalesce(1), str(tmp_path / "a"), "id", "url", "html")
+    (file,) = (tmp_path / "a").glob("*.gz")
+    text = gzip.decompress(file.read_bytes())
+    low, usual = (len(zlib.compress(text, level)) for level in (3, 6))
+    assert abs(file.stat().st_size - low) < abs(file.stat().st_size - usual)
